@@ -1,0 +1,5 @@
+"""No streaming operator is offered: the work covered here is batch work throughout.
+
+The row-wise functions of :mod:`fernwick.functions` are plain column expressions, so they may be
+used on a streaming DataFrame as they are.
+"""
