@@ -16,3 +16,10 @@ def _c(col: str | Column) -> Column:
 def words(col: str | Column) -> Column:
     """All runs of word characters."""
     return F.regexp_extract_all(_c(col), F.lit(f"([{WORD_CHARS}]+)"), F.lit(1))
+
+
+def ngrams(tokens: Column, n: int) -> Column:
+    """The runs of ``n`` tokens, each joined by a space."""
+    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(
+        F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from fernwick.plans.catalog import relational
+from fernwick.plans.catalog import ordered, relational
 from fernwick.plans.catalog.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "relational"]
+__all__ = ["QUERIES", "SQL", "ordered", "relational"]

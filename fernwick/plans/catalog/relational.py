@@ -12,7 +12,7 @@ WORDS = r"regexp_extract_all(text, '[\p{L}\p{N}_]+')"
 
 
 @query("split_repo_path", """
-    SELECT page_id, split_part(url, '/', 3) AS nwo, '/' || array_to_string(list_slice(string_split(url, '/'), 4, NULL), '/') AS path
+    SELECT page_id, split_part(url, '/', 3) AS nwo, '/' || array_to_string((string_split(url, '/'))[4:], '/') AS path
     FROM pages""")
 def _(t):
     host = F.regexp_extract("url", r"^\w+://([^/]+)", 1)
@@ -133,11 +133,11 @@ def _(t):
 
 @query("derive", """
     SELECT l_orderkey, l_linenumber, l_partkey, year(l_shipdate) - 1990 AS age,
-           round(l_extendedprice / l_quantity, 6) AS unit_price FROM lineitem""")
+           round(l_extendedprice / l_quantity, 9) AS unit_price FROM lineitem""")
 def _(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey",
                              (F.year("l_shipdate") - 1990).cast("long").alias("age"),
-                             F.round(F.col("l_extendedprice") / F.col("l_quantity"), 6).alias("unit_price"))
+                             F.round(F.col("l_extendedprice") / F.col("l_quantity"), 9).alias("unit_price"))
 
 
 @query("fill_constant", """
@@ -173,7 +173,7 @@ def _(t):
 
 @query("join_special_slice", """
     WITH m AS (SELECT n_name, n_regionkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)
-    SELECT o_orderkey, r_name AS r_name, s.n_name AS n_name_DE
+    SELECT o_orderkey, o.r_name AS r_name, s.n_name AS n_name_DE
     FROM (SELECT o_orderkey, CAST(o_orderkey % 5 AS INTEGER) AS rk, r_name
           FROM orders LEFT JOIN region ON CAST(o_orderkey % 5 AS INTEGER) = r_regionkey) o
     LEFT JOIN (SELECT * FROM m WHERE n_name = 'NATION_3') s ON rk = s.n_regionkey""")
@@ -322,7 +322,8 @@ _DESC = ["l_quantity", "l_tax", "l_extendedprice"]
 def _(t):
     out = R.describe(t.lineitem, _DESC)
     places = {"mean": 5, "std": 5, "p25": 6, "p50": 6, "p75": 6}
-    return out.select(*[(F.round(c, places[c]) if c in places else F.col(c)).alias(c.replace("p", "q") if c in ("p25", "p50", "p75") else c)
+    renamed = {"p25": "q25", "p50": "q50", "p75": "q75"}
+    return out.select(*[(F.round(c, places[c]) if c in places else F.col(c)).alias(renamed.get(c, c))
                         for c in out.columns])
 
 
