@@ -1,15 +1,27 @@
-"""Vocabularies and id sequences."""
+"""Vocabularies, id sequences, term counts and token streams."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fernwick.functions.text import characters, ngrams
+from fernwick.operators.ordered import global_position, running_totals
+from fernwick.session import fits
+
 # The four special tokens at ids 0 to 3.
 SPECIALS = ("_bos_", "_pad_", "_eos_", "_unk_")
 
+# A vocabulary up to this many rows (a few MB of tokens and ids) is sent to every task.
+BROADCAST_VOCAB_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
+    """Broadcast hint only after checking the row count; larger tables are joined by shuffle."""
+    return F.broadcast(df) if fits(df, max_rows) else df
+
 
 def build_vocab(tokens: DataFrame, max_vocab: int = 50000, min_freq: int = 0,
                 specials: Sequence[str] = SPECIALS, col: str = "token") -> DataFrame:
@@ -26,3 +38,132 @@ def build_vocab(tokens: DataFrame, max_vocab: int = 50000, min_freq: int = 0,
     marks = tokens.sparkSession.createDataFrame(
         [(s, i, None) for i, s in enumerate(specials)], "token string, id long, n long")
     return marks.unionByName(ranked) if specials else ranked
+
+
+def _map_items(df: DataFrame, seq: str, id_col: str, pairs: DataFrame, key: str, value: str, default: Column,
+               out: str) -> DataFrame:
+    """Replace each array item by its partner in ``pairs`` and keep the order.
+
+    Items are counted out with their positions, looked up, and gathered per row id; a group is
+    what was one array before. Rows with an empty array keep an empty one.
+    """
+    items = df.select(id_col, F.posexplode_outer(seq).alias("_pos", key))
+    found = items.join(pairs.select(key, value), key, "left").select(
+        id_col, "_pos", F.when(F.col("_pos").isNotNull(), F.coalesce(value, default)).alias("_v"))
+    gathered = found.groupBy(id_col).agg(F.sort_array(F.collect_list(
+        F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_v")))).alias("_items"))
+    return gathered.select(id_col, F.col("_items._v").alias(out))
+
+
+def numericalize_docs(df: DataFrame, tokens: str, vocab: DataFrame, id_col: str, unk: int = 3,
+                      append: int | None = None) -> DataFrame:
+    """``(id, ids)``: token ids in order, unknown tokens as ``unk``, and ``append`` at the end."""
+    pairs = bounded_broadcast(vocab.select(F.col("token").alias("_t"), F.col("id").alias("_id")))
+    out = _map_items(df, tokens, id_col, pairs, "_t", "_id", F.lit(unk).cast("long"), "ids")
+    if append is not None:
+        out = out.withColumn("ids", F.concat("ids", F.array(F.lit(append).cast("long"))))
+    return out
+
+
+def denumericalize(df: DataFrame, ids: str, vocab: DataFrame, id_col: str, unk: str = "_unk_") -> DataFrame:
+    """``(id, tokens)``: ids back to tokens."""
+    pairs = bounded_broadcast(vocab.select(F.col("id").alias("_id"), F.col("token").alias("_t")))
+    return _map_items(df, ids, id_col, pairs, "_id", "_t", F.lit(unk), "tokens")
+
+
+def resample_vocab(ids: DataFrame, size: int, col: str = "token_id") -> DataFrame:
+    """``(old id, new id)``: the ``size`` most frequent ids behind the two kept ids 0 and 1.
+
+    Ids that are not listed map to 0. The result has at most ``size`` + 2 rows.
+    """
+    counts = ids.groupBy(col).agg(F.count("*").alias("n"))
+    top = counts.orderBy(F.desc("n"), col).limit(size)
+    place = F.row_number().over(Window.orderBy(F.desc("n"), col)) + 1
+    ranked = top.select(F.col(col).alias("old_id"), place.cast("long").alias("new_id"))
+    fixed = ids.sparkSession.createDataFrame([(0, 0), (1, 1)], "old_id long, new_id long")
+    # A kept id that is frequent again takes its later place.
+    rest = fixed.join(ranked.select("old_id"), "old_id", "left_anti")
+    return rest.unionByName(ranked.withColumn("old_id", F.col("old_id").cast("long")))
+
+
+def doc_term(df: DataFrame, tokens: str, id_col: str, ngram_range: tuple[int, int] = (1, 1),
+             max_features: int | None = None) -> DataFrame:
+    """``(id, term, n)`` counts of lower-cased n-grams, of the ``max_features`` most frequent terms."""
+    lo, hi = ngram_range
+    low = df.select(id_col, F.transform(tokens, F.lower).alias("_t"))
+    grams = F.flatten(F.array(*[ngrams(F.col("_t"), n) for n in range(lo, hi + 1)])) if (lo, hi) != (1, 1) else F.col("_t")
+    counts = low.select(id_col, F.explode(grams).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("n"))
+    if max_features is None:
+        return counts
+    totals = counts.groupBy("term").agg(F.sum("n").alias("_n"))
+    kept = totals.orderBy(F.desc("_n"), "term").limit(max_features).select("term")
+    return counts.join(kept, "term", "left_semi").select(id_col, "term", "n")
+
+
+def binarize(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("n", F.signum("n").cast("long"))
+
+
+def char_index(df: DataFrame, text: str) -> DataFrame:
+    """``(char, idx)``: distinct characters in sorted order from 1; index 0 is the NUL filler.
+
+    There are no more rows than characters in Unicode.
+    """
+    chars = df.select(F.explode(characters(text)).alias("char")).distinct()
+    ranked = chars.select("char", F.row_number().over(Window.orderBy("char")).alias("idx"))
+    zero = df.sparkSession.createDataFrame([("\0", 0)], "char string, idx int")
+    return zero.unionByName(ranked.filter("char <> '\\0'"))
+
+
+def stream_starts(df: DataFrame, seq: str, id_col: str) -> DataFrame:
+    """``(id, start, n)``: where each document begins in the concatenated stream, in id order.
+
+    Only one narrow row per document takes part in the running total.
+    """
+    sizes = df.select(id_col, F.size(seq).cast("long").alias("n"))
+    return running_totals(sizes, [id_col], {"_end": "n"}).select(
+        id_col, (F.col("_end") - F.col("n")).alias("start"), "n")
+
+
+def concat_corpus(df: DataFrame, tokens: str, id_col: str, eos: str = "<eos>") -> DataFrame:
+    """The corpus as one token stream ``(pos, token)`` with an end mark after each row."""
+    marked = df.select(id_col, F.concat(tokens, F.array(F.lit(eos))).alias("_t"))
+    starts = stream_starts(marked, "_t", id_col).select(id_col, "start")
+    return marked.join(starts, id_col).select("start", F.posexplode("_t").alias("_i", "token")).select(
+        (F.col("start") + F.col("_i")).alias("pos"), "token")
+
+
+def lm_stream(df: DataFrame, ids: str, id_col: str, bs: int, bptt: int, backwards: bool = False) -> DataFrame:
+    """Training windows over the concatenated id stream.
+
+    The stream is cut to a multiple of ``bs`` and laid out as ``bs`` columns of equal length
+    (``backwards`` turns the columns upside down), which are cut into windows of ``bptt`` rows.
+    Returns ``(col, row, window, id, target)``; the target is the id of the next row, taken from
+    the same document or, at its edge, from a narrow table of document edges.
+    """
+    starts = stream_starts(df, ids, id_col).filter("n > 0")
+    edges = df.select(id_col, F.element_at(ids, 1 if not backwards else -1).alias("_edge"),
+                      F.size(ids).alias("_n")).filter("_n > 0").drop("_n")
+    docs = starts.join(edges, id_col).withColumn("end", F.col("start") + F.col("n"))
+    meet, mine = ("start", "end") if not backwards else ("end", "start")
+    # Documents without tokens hold no position, so neighbours meet exactly at an edge.
+    beyond = docs.select(F.col(meet).alias(mine), F.col("_edge").alias("_beyond"))
+    placed = docs.select(id_col, "start", "end").join(beyond, mine, "left").select(id_col, "start", "_beyond")
+    total = starts.agg(F.sum("n")).scalar()
+    rows = df.select(id_col, F.col(ids).alias("_ids")).join(placed, id_col)
+    step = -1 if backwards else 1
+    items = rows.select("start", "_beyond", "_ids", F.posexplode("_ids").alias("_i", "id")).select(
+        (F.col("start") + F.col("_i")).alias("_pos"), "id",
+        F.coalesce(F.get("_ids", F.col("_i") + step), F.col("_beyond")).alias("target"))
+    items = items.withColumn("_nb", F.floor(total / bs))
+    items = items.filter(F.col("_pos") < F.col("_nb") * bs).withColumn("col", F.floor(F.col("_pos") / F.col("_nb")))
+    down = F.col("_pos") % F.col("_nb")
+    row = F.col("_nb") - 1 - down if backwards else down
+    items = items.withColumn("row", row)
+    return items.filter(F.col("row") < F.col("_nb") - 1).select(
+        "col", "row", F.floor(F.col("row") / bptt).alias("window"), "id", "target")
+
+
+def token_positions(df: DataFrame, order: Sequence) -> DataFrame:
+    """Global position of token rows, for streams that are already one token per row."""
+    return global_position(df, order)

@@ -128,7 +128,8 @@ def _(t):
     s AS (SELECT doc_id, w, unnest(range(0, len(w) - 8, 8)) AS start FROM w WHERE len(w) > 8)
     SELECT doc_id, CAST(start AS INTEGER) AS start, array_to_string(w[start+1:start+8], ' ') AS items, w[start+9] AS "next" FROM s""")
 def _(t):
-    rows = t.documents.select("doc_id", F.inline(A.windows(words("text"), 8, 8)))
+    docs = t.documents.select("doc_id", words("text").alias("w"))
+    rows = docs.select("doc_id", F.inline(A.windows(F.col("w"), 8, 8)))
     return rows.withColumn("items", F.array_join("items", " "))
 
 
