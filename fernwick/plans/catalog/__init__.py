@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from fernwick.plans.catalog import ordered, relational, texts
+from fernwick.plans.catalog import ordered, relational, texts, vectors
 from fernwick.plans.catalog.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "ordered", "relational", "texts"]
+__all__ = ["QUERIES", "SQL", "ordered", "relational", "texts", "vectors"]
