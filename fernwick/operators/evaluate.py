@@ -190,10 +190,11 @@ def corpus_bleu(df: DataFrame, ref: str, hyp: str, id_col: str, max_n: int = 4)
     """
     from fernwick.functions.text import ngrams
 
+    def tagged(col: str, n: int) -> Column:
+        return F.transform(ngrams(F.col(col), n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("g")))
+
     def grams(col: str, side: int) -> DataFrame:
-        each = F.flatten(F.array(*[
-            F.transform(ngrams(F.col(col), n), lambda g, n=n: F.struct(F.lit(n).alias("n"), g.alias("g")))
-            for n in range(1, max_n + 1)]))
+        each = F.flatten(F.array(*[tagged(col, n) for n in range(1, max_n + 1)]))
         return df.select(id_col, F.inline(each), F.lit(1 - side).alias("_r"), F.lit(side).alias("_h"))
 
     counted = grams(ref, 0).unionByName(grams(hyp, 1)).groupBy(id_col, "n", "g").agg(
@@ -206,3 +207,8 @@ def corpus_bleu(df: DataFrame, ref: str, hyp: str, id_col: str, max_n: int = 4)
     return per_n.agg(log_p.alias("lp"), full.alias("ok")).select(
         "lp", "ok", lengths["r"].alias("r"), lengths["h"].alias("h")).select(
         F.when(F.col("ok"), brevity * F.exp("lp")).otherwise(0.0).alias("bleu"))
+
+
+def evaluate(df: DataFrame, metrics: dict[str, Column]) -> DataFrame:
+    """One row of user metrics, given as aggregate expressions on prediction and target."""
+    return df.agg(*[c.alias(n) for n, c in metrics.items()])

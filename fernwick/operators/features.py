@@ -79,9 +79,12 @@ def fix_missing(df: DataFrame, cols: Sequence[str] | None = None, na_dict: Mappi
         return df, fillers
     missing = df.agg(*[F.max(F.col(c).isNull()).alias(c) for c in cols]).first()
     touched = [c for c in cols if missing[c] or c in fillers]
-    for c in touched:
-        if c not in fillers:
-            fillers[c] = median(df, c).first()["median"]
+    unknown = [c for c in touched if c not in fillers]
+    if unknown:
+        # The medians of all columns in one run: one row per column reaches the driver.
+        long = df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in unknown])))
+        fillers |= {r["column"]: r["median"] for r in median(long, "value", ["column"]).collect()}
     out = df.withColumns({f"{c}_na": F.col(c).isNull() for c in touched})
     types = dict(df.dtypes)
     return out.withColumns({

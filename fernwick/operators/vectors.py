@@ -202,14 +202,16 @@ def pca(df: DataFrame, vec: str, k: int = 3, out: str = "components"):
 
 
 def farthest_first(df: DataFrame, id_col: str, vec: str, k: int) -> np.ndarray:
-    """Start centres: the row of smallest id, then always the row farthest from all chosen ones.
+    """Start centres: the row farthest from a seed row, then always the row farthest from all chosen.
 
-    One pass over the table per centre; only the farthest row of each pass reaches the driver.
+    The seed (smallest id) itself is no centre. One pass over the table per centre; only the
+    farthest row of each pass reaches the driver.
     """
-    start = df.orderBy(id_col).select(vec).first()[0]
-    centres = [np.asarray(start, dtype=np.float64)]
+    seed = df.orderBy(id_col).select(vec).first()[0]
+    centres: list[np.ndarray] = []
     while len(centres) < k:
-        far = nearest_centre(df, vec, np.stack(centres)).groupBy().agg(
+        known = np.stack(centres or [np.asarray(seed, dtype=np.float64)])
+        far = nearest_centre(df, vec, known).groupBy().agg(
             F.max_by(vec, F.struct("_distance", -F.col(id_col))).alias("v")).first()["v"]
         centres.append(np.asarray(far, dtype=np.float64))
     return np.stack(centres)
@@ -226,8 +228,7 @@ def nearest_centre(df: DataFrame, vec: str, centres: np.ndarray) -> DataFrame:
         sq = np.round(sq, 9)
         return pd.DataFrame({"c": sq.argmin(1).astype(np.int32), "d": sq.min(1)})
 
-    udf = F.pandas_udf(assign, T.StructType([T.StructField("c", T.IntegerType()), T.StructField("d", T.DoubleType())]),
-                       F.PandasUDFType.SCALAR)
+    udf = F.pandas_udf(assign, T.StructType([T.StructField("c", T.IntegerType()), T.StructField("d", T.DoubleType())]))
     out = df.withColumn("_a", udf(F.col(vec)))
     return out.select(*df.columns, F.col("_a.c").alias("cluster"), F.col("_a.d").alias("_distance"))
 
@@ -317,5 +318,5 @@ def apply_space_map(df: DataFrame, x: str, weights: np.ndarray, out: str) -> Dat
         m = _matrix(v.tolist())
         return pd.Series(list(m @ weights[:-1] + weights[-1]) if len(m) else [])
 
-    udf = F.pandas_udf(project, T.ArrayType(T.DoubleType()), F.PandasUDFType.SCALAR)
+    udf = F.pandas_udf(project, T.ArrayType(T.DoubleType()))
     return df.withColumn(out, udf(F.col(x)))

@@ -1,6 +1,9 @@
 """All registered queries."""
 
-from fernwick.plans.catalog import ordered, relational, texts, vectors
+from fernwick.plans.catalog import (
+    code, features, files, metrics, modelling, ordered, relational, texts, vectors,
+)
 from fernwick.plans.catalog.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "ordered", "relational", "texts", "vectors"]
+__all__ = ["QUERIES", "SQL", "code", "features", "files", "metrics", "modelling", "ordered", "relational", "texts",
+           "vectors"]

@@ -197,14 +197,14 @@ def _(t):
 @query("kmeans_round", f"""
     WITH {_E}, s AS (SELECT v AS c0 FROM e ORDER BY vec_id LIMIT 1),
     f1 AS (SELECT v AS c1 FROM e, s ORDER BY round(list_distance(v, c0) ** 2, 9) DESC, vec_id LIMIT 1),
-    f2 AS (SELECT v AS c2 FROM e, s, f1 ORDER BY round(least(list_distance(v, c0), list_distance(v, c1)) ** 2, 9) DESC, vec_id LIMIT 1),
-    d AS (SELECT vec_id, v, list_transform([list_distance(v, c0), list_distance(v, c1), list_distance(v, c2)], lambda z: round(z ** 2, 9)) AS d FROM e, s, f1, f2),
+    f2 AS (SELECT v AS c2 FROM e, f1 ORDER BY round(list_distance(v, c1) ** 2, 9) DESC, vec_id LIMIT 1),
+    d AS (SELECT vec_id, v, list_transform([list_distance(v, c1), list_distance(v, c2)], lambda z: round(z ** 2, 9)) AS d FROM e, f1, f2),
     a AS (SELECT vec_id, v, CAST(list_position(d, list_min(d)) - 1 AS INTEGER) AS cluster FROM d),
     x AS (SELECT cluster, unnest(v) AS x, unnest(range(len(v))) AS i FROM a),
     m AS (SELECT cluster, count(*) AS n, i, avg(x) AS m FROM x GROUP BY cluster, i)
     SELECT cluster, min(n) AS n, {sql_text('list(m ORDER BY i)')} AS centre FROM m GROUP BY cluster""")
 def _(t):
-    start = V.farthest_first(t.embeddings, "vec_id", "embedding", 3)
+    start = V.farthest_first(t.embeddings, "vec_id", "embedding", 2)
     out = V.kmeans_round(t.embeddings, "embedding", start)
     return out.select("cluster", "n", as_text("embedding").alias("centre"))
 
