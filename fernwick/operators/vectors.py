@@ -63,6 +63,12 @@ def _best(ids: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarra
     return ids[order], d[order]
 
 
+def _nearest(q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int, metric: str) -> list:
+    """Best ``k`` of ``v`` for each row of ``q``; the distance matrix is made in slices of about 16 MB."""
+    step = max(1, 2_000_000 // max(1, len(v)))
+    return [_best(ids, d, k) for i in range(0, len(q), step) for d in _distances(q[i:i + step], v, metric)]
+
+
 def _collect_vectors(df: DataFrame, id_col: str, vec: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids and matrix of a table whose row count was checked before."""
     pdf = df.select(id_col, vec).toPandas()
@@ -92,26 +98,22 @@ def knn(table: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec: s
         def per_query(batches):
             for pdf in batches:
                 if len(pdf) and len(ids):
-                    d = _distances(_matrix(pdf[query_vec].tolist()), matrix, metric)
-                    yield frame([(q, *_best(ids, d[n], k)) for n, q in enumerate(pdf[query_id])])
+                    best = _nearest(_matrix(pdf[query_vec].tolist()), ids, matrix, k, metric)
+                    yield frame([(q, *b) for q, b in zip(pdf[query_id], best)])
 
         near = queries.mapInPandas(per_query, schema)
     elif fits(queries, local_rows):
         qids, qmatrix = _collect_vectors(queries, query_id, query_vec)
 
         def per_task(batches):
-            best = [(np.zeros(0, dtype=np.int64), np.zeros(0)) for _ in qids]
-            seen = False
+            best = None
             for pdf in batches:
                 if not len(pdf):
                     continue
-                ids = pdf[id_col].to_numpy()
-                d = _distances(qmatrix, _matrix(pdf[vec].tolist()), metric)
-                best = [_best(np.concatenate([b[0], ids]) if seen else ids,
-                              np.concatenate([b[1], d[n]]) if seen else d[n], k)
-                        for n, b in enumerate(best)]
-                seen = True
-            if seen:
+                new = _nearest(qmatrix, pdf[id_col].to_numpy(), _matrix(pdf[vec].tolist()), k, metric)
+                best = new if best is None else [
+                    _best(np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]]), k) for a, b in zip(best, new)]
+            if best is not None:
                 yield frame([(q, *b) for q, b in zip(qids, best)])
 
         near = table.mapInPandas(per_task, schema)
@@ -119,9 +121,8 @@ def knn(table: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec: s
         def per_pair(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if not len(left) or not len(right):
                 return frame([])
-            d = _distances(_matrix(right[query_vec].tolist()), _matrix(left[vec].tolist()), metric)
-            ids = left[id_col].to_numpy()
-            return frame([(q, *_best(ids, d[n], k)) for n, q in enumerate(right[query_id])])
+            best = _nearest(_matrix(right[query_vec].tolist()), left[id_col].to_numpy(), _matrix(left[vec].tolist()), k, metric)
+            return frame([(q, *b) for q, b in zip(right[query_id], best)])
 
         left, right = _block_pairs(table, queries, id_col, query_id, block_rows)
         near = left.cogroup(right).applyInPandas(per_pair, schema)
@@ -269,9 +270,15 @@ def mean_shift(df: DataFrame, id_col: str, vec: str, bandwidth: float = 2.5, rou
         a, b = _matrix(left[vec].tolist()), _matrix(right["_v"].tolist())
         if not len(a) or not len(b):
             return pd.DataFrame({id_col: [], "_w": [], "_s": []})
-        sq = np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T, 0)
-        w = np.exp(-0.5 * sq / bandwidth**2)
-        return pd.DataFrame({id_col: left[id_col], "_w": w.sum(1), "_s": list(w @ b)})
+        step = max(1, 2_000_000 // len(b))
+        weight, total = [], []
+        for i in range(0, len(a), step):
+            part = a[i:i + step]
+            sq = np.maximum((part * part).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * part @ b.T, 0)
+            w = np.exp(-0.5 * sq / bandwidth**2)
+            weight.append(w.sum(1))
+            total.extend(w @ b)
+        return pd.DataFrame({id_col: left[id_col], "_w": np.concatenate(weight), "_s": total})
 
     points = df.select(id_col, F.col(vec).cast("array<double>").alias(vec))
     for n in range(rounds):

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fernwick.functions.text import characters, ngrams
 from fernwick.operators.ordered import global_position, running_totals
-from fernwick.session import fits
+from fernwick.session import cut_lineage
 
 # The four special tokens at ids 0 to 3.
 SPECIALS = ("_bos_", "_pad_", "_eos_", "_unk_")
@@ -19,8 +23,12 @@ BROADCAST_VOCAB_ROWS = 100_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
-    """Broadcast hint only after checking the row count; larger tables are joined by shuffle."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    """Broadcast hint only after counting the rows; larger tables are joined by shuffle.
+
+    The table is written to the reliable checkpoint first, so it is computed once.
+    """
+    stored = cut_lineage(df)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored
 
 
 def build_vocab(tokens: DataFrame, max_vocab: int = 50000, min_freq: int = 0,
@@ -40,16 +48,33 @@ def build_vocab(tokens: DataFrame, max_vocab: int = 50000, min_freq: int = 0,
     return marks.unionByName(ranked) if specials else ranked
 
 
-def _map_items(df: DataFrame, seq: str, id_col: str, pairs: DataFrame, key: str, value: str, default: Column,
+def _map_items(df: DataFrame, seq: str, id_col: str, pairs: DataFrame, key: str, value: str, default,
                out: str) -> DataFrame:
-    """Replace each array item by its partner in ``pairs`` and keep the order.
+    """Replace each array item by its partner in ``pairs``, in order.
 
-    Items are counted out with their positions, looked up, and gathered per row id; a group is
-    what was one array before. Rows with an empty array keep an empty one.
+    A dictionary of at most ``BROADCAST_VOCAB_ROWS`` rows goes to the tasks, which look up whole
+    Arrow batches in place: no shuffle. A larger one is joined: items are counted out with their
+    positions, looked up, and gathered per row id (a group is what was one array before).
     """
+    pairs = cut_lineage(pairs.select(key, value))
+    kind = pairs.schema[value].dataType
+    if pairs.count() <= BROADCAST_VOCAB_ROWS:
+        known = pairs.toArrow()
+        keys, values = known.column(key).combine_chunks(), known.column(value).combine_chunks()
+
+        @F.arrow_udf(T.ArrayType(kind))
+        def look_up(lists: pa.Array) -> pa.Array:
+            flat = lists.flatten()
+            flat = flat.cast(keys.type) if flat.type != keys.type else flat
+            found = pc.fill_null(values.take(pc.index_in(flat, value_set=keys)), default)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0)
+            offsets = np.concatenate([[0], np.cumsum(sizes.to_numpy(zero_copy_only=False))])
+            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found)
+
+        return df.select(id_col, look_up(seq).alias(out))
     items = df.select(id_col, F.posexplode_outer(seq).alias("_pos", key))
-    found = items.join(pairs.select(key, value), key, "left").select(
-        id_col, "_pos", F.when(F.col("_pos").isNotNull(), F.coalesce(value, default)).alias("_v"))
+    found = items.join(pairs, key, "left").select(
+        id_col, "_pos", F.when(F.col("_pos").isNotNull(), F.coalesce(value, F.lit(default).cast(kind))).alias("_v"))
     gathered = found.groupBy(id_col).agg(F.sort_array(F.collect_list(
         F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_v")))).alias("_items"))
     return gathered.select(id_col, F.col("_items._v").alias(out))
@@ -58,8 +83,8 @@ def _map_items(df: DataFrame, seq: str, id_col: str, pairs: DataFrame, key: str,
 def numericalize_docs(df: DataFrame, tokens: str, vocab: DataFrame, id_col: str, unk: int = 3,
                       append: int | None = None) -> DataFrame:
     """``(id, ids)``: token ids in order, unknown tokens as ``unk``, and ``append`` at the end."""
-    pairs = bounded_broadcast(vocab.select(F.col("token").alias("_t"), F.col("id").alias("_id")))
-    out = _map_items(df, tokens, id_col, pairs, "_t", "_id", F.lit(unk).cast("long"), "ids")
+    pairs = vocab.select(F.col("token").alias("_t"), F.col("id").cast("long").alias("_id"))
+    out = _map_items(df, tokens, id_col, pairs, "_t", "_id", unk, "ids")
     if append is not None:
         out = out.withColumn("ids", F.concat("ids", F.array(F.lit(append).cast("long"))))
     return out
@@ -67,8 +92,8 @@ def numericalize_docs(df: DataFrame, tokens: str, vocab: DataFrame, id_col: str,
 
 def denumericalize(df: DataFrame, ids: str, vocab: DataFrame, id_col: str, unk: str = "_unk_") -> DataFrame:
     """``(id, tokens)``: ids back to tokens."""
-    pairs = bounded_broadcast(vocab.select(F.col("id").alias("_id"), F.col("token").alias("_t")))
-    return _map_items(df, ids, id_col, pairs, "_id", "_t", F.lit(unk), "tokens")
+    pairs = vocab.select(F.col("id").cast("long").alias("_id"), F.col("token").alias("_t"))
+    return _map_items(df, ids, id_col, pairs, "_id", "_t", unk, "tokens")
 
 
 def resample_vocab(ids: DataFrame, size: int, col: str = "token_id") -> DataFrame:

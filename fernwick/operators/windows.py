@@ -20,14 +20,20 @@ def _day(c: str) -> Column:
     return F.col(c).cast("date")
 
 
-def _nearest_flag(df, flag, keys, date, tie, name, forward, limit):
+def needs_chunks(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> bool:
+    """Whether some key has more rows than one task should hold. Callers that apply several
+    operators can ask once and pass the answer as ``chunked``."""
+    return not hot_keys(df, keys, limit).isEmpty()
+
+
+def _nearest_flag(df, flag, keys, date, tie, name, forward, limit, chunked):
     keys = list(keys)
     flagged = F.when(flag, _day(date))
     order = [F.col(date), F.col(tie)]
     pick = F.min if forward else F.max
     frame = (Window.currentRow, Window.unboundedFollowing) if forward else (
         Window.unboundedPreceding, Window.currentRow)
-    if hot_keys(df, keys, limit).isEmpty():
+    if not (needs_chunks(df, keys, limit) if chunked is None else chunked):
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
         return df.withColumn(name, F.datediff(_day(date), pick(flagged).over(w)))
     rows = keyed_position(df, keys, order, limit=limit).withColumns(
@@ -48,21 +54,21 @@ def _nearest_flag(df, flag, keys, date, tie, name, forward, limit):
 
 
 def days_since_last(df: DataFrame, flag: Column, keys: Sequence[str], date: str, tie: str,
-                    name: str = "after", limit: int = HOT_ROWS) -> DataFrame:
+                    name: str = "after", limit: int = HOT_ROWS, chunked: bool | None = None) -> DataFrame:
     """Days since the last flagged row of the key: 0 on the row itself, null before the first."""
-    return _nearest_flag(df, flag, keys, date, tie, name, False, limit)
+    return _nearest_flag(df, flag, keys, date, tie, name, False, limit, chunked)
 
 
 def days_until_next(df: DataFrame, flag: Column, keys: Sequence[str], date: str, tie: str,
-                    name: str = "before", limit: int = HOT_ROWS) -> DataFrame:
+                    name: str = "before", limit: int = HOT_ROWS, chunked: bool | None = None) -> DataFrame:
     """Days to the next flagged row of the key as a value <= 0; null after the last one."""
-    return _nearest_flag(df, flag, keys, date, tie, name, True, limit)
+    return _nearest_flag(df, flag, keys, date, tie, name, True, limit, chunked)
 
 
-def _rolling(df, cols, keys, order, rows, suffix, forward, limit):
+def _rolling(df, cols, keys, order, rows, suffix, forward, limit, chunked):
     keys = list(keys)
     frame = (0, rows - 1) if forward else (1 - rows, 0)
-    if hot_keys(df, keys, limit).isEmpty():
+    if not (needs_chunks(df, keys, limit) if chunked is None else chunked):
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
         return df.withColumns({f"{c}{suffix}": F.sum(c).over(w) for c in cols})
     if limit < rows:
@@ -83,15 +89,17 @@ def _rolling(df, cols, keys, order, rows, suffix, forward, limit):
 
 
 def rolling_sum_trailing(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence,
-                         rows: int = 7, suffix: str = "_bw", limit: int = HOT_ROWS) -> DataFrame:
+                         rows: int = 7, suffix: str = "_bw", limit: int = HOT_ROWS,
+                         chunked: bool | None = None) -> DataFrame:
     """Sum over the row and the ``rows - 1`` rows before it (rows, not days)."""
-    return _rolling(df, cols, keys, order, rows, suffix, False, limit)
+    return _rolling(df, cols, keys, order, rows, suffix, False, limit, chunked)
 
 
 def rolling_sum_leading(df: DataFrame, cols: Sequence[str], keys: Sequence[str], order: Sequence,
-                        rows: int = 7, suffix: str = "_fw", limit: int = HOT_ROWS) -> DataFrame:
+                        rows: int = 7, suffix: str = "_fw", limit: int = HOT_ROWS,
+                        chunked: bool | None = None) -> DataFrame:
     """Sum over the row and the ``rows - 1`` rows after it."""
-    return _rolling(df, cols, keys, order, rows, suffix, True, limit)
+    return _rolling(df, cols, keys, order, rows, suffix, True, limit, chunked)
 
 
 def ewma(df: DataFrame, value: str, keys: Sequence[str], order: Sequence, beta: float = 0.98,

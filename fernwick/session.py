@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -40,5 +41,6 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than it must to decide."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows; partitions are read one after the other until
+    that is decided."""
+    return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows

@@ -120,3 +120,13 @@ def test_combine_and_week(spark):
 def test_constant_column_scales_to_zero(spark):
     out, fitted = J.scale_vars(spark.createDataFrame([(1.0, 2), (1.0, 4)], "a double, b int"))
     assert sorted(tuple(r) for r in out.collect()) == [(0.0, -1.0), (0.0, 1.0)] and fitted["a"] == (1.0, 0.0)
+
+
+def test_large_vocabulary_is_joined(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, ["a", "x", "b"]), (2, []), (3, ["b"])], "doc_id int, w array<string>")
+    vocab = V.build_vocab(spark.createDataFrame([("a",), ("b",), ("b",)], "token string"), 10)
+    monkeypatch.setattr(V, "BROADCAST_VOCAB_ROWS", 1)
+    ids = V.numericalize_docs(docs, "w", vocab, "doc_id")
+    assert {r["doc_id"]: r["ids"] for r in ids.collect()} == {1: [5, 3, 4], 2: [], 3: [4]}
+    back = V.denumericalize(ids, "ids", vocab, "doc_id")
+    assert {r["doc_id"]: r["tokens"] for r in back.collect()} == {1: ["a", "_unk_", "b"], 2: [], 3: ["b"]}
