@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fernwick.functions.arrays import windows
 from fernwick.operators.vocab import bounded_broadcast
+from fernwick.session import cut_lineage
 
 
 def class_counts(terms: DataFrame, labels: DataFrame, id_col: str, y: str) -> tuple[DataFrame, Column, Column]:
@@ -154,7 +155,11 @@ def continue_text(seeds: DataFrame, best: DataFrame, tokens: str, width: int, st
 
 
 def perplexity(counts: DataFrame) -> DataFrame:
-    """One row: exp of the mean cross entropy of the add-one smoothed next-token counts."""
+    """One row: exp of the mean cross entropy of the add-one smoothed next-token counts.
+
+    The counts are read three times, so they are written to the reliable checkpoint first.
+    """
+    counts = cut_lineage(counts)
     sizes = counts.groupBy("context").agg(F.sum("n").alias("_c"))
     vocab = counts.select("next").distinct().agg(F.count("*")).scalar()
     p = (F.col("n") + 1) / (F.col("_c") + vocab)

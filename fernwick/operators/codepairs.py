@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fernwick.functions.text import join_tokens, tokenize_code, tokenize_docstring
 from fernwick.operators.relational import drop_duplicates, make_url, split_repo_path, token_count
 from fernwick.operators.sampling import grouped_split
+from fernwick.session import cut_lineage
 
 _RAW = "nwo string, path string, function_name string, lineno int, original_function string, code string, docstring string"
 
@@ -74,12 +75,13 @@ def code_corpus(raw: DataFrame, base: str = "https://github.com", min_tokens: in
     """Raw files to the split function table.
 
     Parse, add the url and an id, keep one copy of each function, set functions without a real
-    docstring aside, and split the others by repository.
+    docstring aside, and split the others by repository. Parsed and deduplicated rows are used
+    several times each, so both are written to the reliable checkpoint.
     """
-    pairs = function_docstring_pairs(split_repo_path(raw)).withColumn("url", make_url(base))
+    pairs = cut_lineage(function_docstring_pairs(split_repo_path(raw))).withColumn("url", make_url(base))
     # The id names the place of the function, so a task that is run again makes the same one.
     rows = pairs.withColumn("id", F.concat_ws("\t", "nwo", "path", F.lpad(F.col("lineno").cast("string"), 9, "0"), "function_name"))
-    rows = drop_duplicates(rows, ["original_function", "function_tokens"], "id")
+    rows = cut_lineage(drop_duplicates(rows, ["original_function", "function_tokens"], "id"))
     documented = token_count("docstring_tokens") >= min_tokens
     split = grouped_split(rows.filter(documented), "nwo")
     return split.unionByName(rows.filter(~documented).withColumn("split", F.lit("without_docstrings")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fernwick.operators.ordered import running_totals
+from fernwick.session import cut_lineage
 
 # ---------------------------------------------------------------- projections and filters
 
@@ -209,9 +210,14 @@ def percentiles(df: DataFrame, col: str, fractions: Sequence[float], keys: Seque
     Equal values are counted first; running totals over the sorted (key, value, count) rows then
     tell which value stands at each wanted position, so no task holds all values of a key.
     """
-    keys = list(keys)
     counts = df.filter(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("_v")).agg(
         F.count("*").alias("_n"))
+    return _count_percentiles(counts, fractions, keys)
+
+
+def _count_percentiles(counts: DataFrame, fractions: Sequence[float], keys: Sequence[str]) -> DataFrame:
+    """Percentiles of ``(keys, _v, _n)`` rows."""
+    keys = list(keys)
     placed = running_totals(counts, [*keys, "_v"], {"_upto": "_n"})
     sizes = placed.groupBy(*keys).agg(F.min(F.col("_upto") - F.col("_n")).alias("_from"),
                                       F.sum("_n").alias("_total"))
@@ -259,18 +265,20 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per numeric column: count, mean, std, min, quartiles, max, distinct, missing, top value."""
     fields = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]
     long = df.select(F.inline(F.array(*fields)))
-    counts = long.groupBy("column", "value").agg(F.count("*").alias("n"))
+    # One pass over the table; everything else is read from the (column, value, count) rows.
+    counts = cut_lineage(long.groupBy("column", "value").agg(F.count("*").alias("n")))
     v, n = F.col("value"), F.col("n")
-    shape = counts.groupBy("column").agg(
+    known = F.when(v.isNotNull(), n)
+    basic = counts.groupBy("column").agg(
+        F.sum(known).alias("count"), (F.sum(v * n) / F.sum(known)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
         F.count(v).alias("unique"), F.sum(F.when(v.isNull(), n).otherwise(0)).alias("missing"))
-    top = largest_by(counts.filter(v.isNotNull()), ["column"], n, ["value"]).select(
-        "column", v.alias("top"), n.alias("top_freq"))
-    moments = long.groupBy("column").agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
-    quarters = percentiles(long, "value", [0.25, 0.5, 0.75], ["column"])
-    # All four parts hold one row per column.
-    return moments.join(shape, "column").join(quarters, "column").join(top, "column")
+    values = counts.filter(v.isNotNull())
+    # One row per column on the right side of these joins.
+    spread = values.join(F.broadcast(basic.select("column", "mean", "count")), "column").groupBy("column").agg(
+        F.sqrt(F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))) / (F.max("count") - 1)).alias("std"))
+    top = largest_by(values, ["column"], n, ["value"]).select("column", v.alias("top"), n.alias("top_freq"))
+    quarters = _count_percentiles(values.select("column", v.alias("_v"), n.alias("_n")), [0.25, 0.5, 0.75], ["column"])
+    return basic.join(spread, "column").join(quarters, "column").join(top, "column")
 
 
 def drop_duplicates(df: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import PCA, BucketedRandomProjectionLSH, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -24,6 +26,8 @@ from fernwick.session import cut_lineage, fits
 # Vectors sent to every task: 4,096 of 500 doubles are 16 MB.
 LOCAL_VECTORS = 4096
 BLOCK_ROWS = 8192
+# Numbers of a vector table that is sent to every task: 64 MB.
+LOCAL_CELLS = 8_000_000
 
 
 def dense(vec: str | Column) -> Column:
@@ -165,13 +169,48 @@ def scaled_lookup(vocab: DataFrame, vectors: DataFrame, token: str, vec: str, fa
     return hits, vocab.select(token).join(vectors.select(token), token, "left_anti")
 
 
-def pool(items: DataFrame, id_col: str, pos: str, vec: str) -> DataFrame:
-    """``(id, mean, max, last)`` over the vectors of a document, in one grouping."""
-    rows = items.select(id_col, pos, F.col(vec).cast("array<double>").alias("_a"))
-    rows = rows.withColumn("_v", dense("_a"))
-    out = rows.groupBy(id_col).agg(
-        Summarizer.metrics("mean", "max").summary(F.col("_v")).alias("_s"), F.max_by("_a", pos).alias("last"))
-    return out.select(id_col, vector_to_array("_s.mean").alias("mean"), vector_to_array("_s.max").alias("max"), "last")
+def pool(docs: DataFrame, tokens: str, vectors: DataFrame, id_col: str, token: str = "token", vec: str = "vec",
+         local_cells: int = LOCAL_CELLS) -> DataFrame:
+    """``(id, mean, max, last)`` over the vectors of a document's known tokens.
+
+    A vector table of at most ``local_cells`` numbers goes to the tasks, which pool whole Arrow
+    batches in place. A larger one is joined to the tokens, and whole vectors are aggregated per
+    document. Documents without a known token are left out.
+    """
+    vectors = cut_lineage(vectors.select(token, F.col(vec).cast("array<double>").alias(vec)))
+    size = vectors.agg(F.count("*"), F.max(F.size(vec))).first()
+    if size[0] * (size[1] or 0) <= local_cells:
+        names, matrix = _collect_vectors(vectors, token, vec)
+        known = pa.array(names)
+        out = T.ArrayType(T.DoubleType())
+
+        def pooled(batches):
+            for batch in batches:
+                lists = batch.column(1)
+                place = pc.index_in(lists.flatten(), value_set=known)
+                doc = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+                hit = place.is_valid().to_numpy(zero_copy_only=False)
+                rows, doc = place.filter(place.is_valid()).to_numpy(), doc[hit]
+                at, start = np.unique(doc, return_index=True)
+                means, highs, lasts = [], [], []
+                for lo, hi in zip(start, [*start[1:], len(doc)]):
+                    v = matrix[rows[lo:hi]]
+                    means.append(v.mean(0))
+                    highs.append(v.max(0))
+                    lasts.append(v[-1])
+                kind = pa.list_(pa.float64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(at)), *[pa.array(x, kind) for x in (means, highs, lasts)]],
+                    names=[id_col, "mean", "max", "last"])
+
+        schema = T.StructType([docs.schema[id_col], *[T.StructField(n, out) for n in ("mean", "max", "last")]])
+        return docs.select(id_col, tokens).mapInArrow(pooled, schema)
+    rows = docs.select(id_col, F.posexplode(tokens).alias("_pos", token))
+    dense_table = vectors.select(token, dense(vec).alias("_v"))
+    found = rows.join(dense_table, token).groupBy(id_col).agg(
+        Summarizer.metrics("mean", "max").summary(F.col("_v")).alias("_s"), F.max_by(token, "_pos").alias(token))
+    return found.join(vectors, token).select(
+        id_col, vector_to_array("_s.mean").alias("mean"), vector_to_array("_s.max").alias("max"), F.col(vec).alias("last"))
 
 
 def knn_approx(table: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec: str = "vec",

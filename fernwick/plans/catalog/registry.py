@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fernwick.session import TABLES, load_table
+from fernwick.session import TABLES, load_table, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
+# Tables whose rows are long texts, with their keys: parsing them should use all cores.
+TEXT_KEYS = {"documents": ("doc_id",), "pages": ("page_id",), "conversations": ("conv_id", "turn")}
+
 
 class Tables:
     """The tables of one folder as attributes."""
@@ -21,7 +24,8 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        return load_table(self.spark, self.folder, name)
+        df = load_table(self.spark, self.folder, name)
+        return spread(df, *TEXT_KEYS[name]) if name in TEXT_KEYS else df
 
 
 def query(name: str, sql: str | None = None):

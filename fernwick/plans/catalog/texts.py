@@ -9,6 +9,7 @@ from fernwick.operators import vocab as V
 from fernwick.operators.relational import vocab_overlap
 from fernwick.plans.catalog.registry import query
 from fernwick.plans.catalog.relational import WORDS
+from fernwick.session import cut_lineage
 
 _SP = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
 _W = r"\p{L}\p{N}_"
@@ -386,7 +387,8 @@ def _(t):
     FROM z a JOIN z b ON b.pos = a.pos + 1, nb WHERE a.pos < nb * 8 AND a.pos % nb < nb - 1""")
 def _(t):
     vocab = V.build_vocab(_tokens(t), 3000, 0)
-    ids = V.numericalize_docs(_docs(t), "w", vocab, "doc_id", append=2)
+    # The id sequences are read several times.
+    ids = cut_lineage(V.numericalize_docs(_docs(t), "w", vocab, "doc_id", append=2))
     return V.lm_stream(ids, "ids", "doc_id", bs=8, bptt=20)
 
 
@@ -395,8 +397,8 @@ def _(t):
     SELECT a.pos // nb AS col, nb - 1 - a.pos % nb AS "row", (nb - 1 - a.pos % nb) // 20 AS "window", CAST(a.id AS INTEGER) AS id, CAST(b.id AS INTEGER) AS target
     FROM z a JOIN z b ON b.pos = a.pos - 1, nb WHERE a.pos < nb * 8 AND nb - 1 - a.pos % nb < nb - 1""")
 def _(t):
-    ids = t.documents.select("doc_id", F.transform(
-        F.concat(T.words("text"), F.array(F.lit("<eos>"))), F.length).alias("ids"))
+    ids = cut_lineage(t.documents.select("doc_id", F.transform(
+        F.concat(T.words("text"), F.array(F.lit("<eos>"))), F.length).alias("ids")))
     return V.lm_stream(ids, "ids", "doc_id", bs=8, bptt=20, backwards=True)
 
 

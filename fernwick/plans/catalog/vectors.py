@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from fernwick.functions import text as T
 from fernwick.functions import vectors as X
 from fernwick.operators import vectors as V
-from fernwick.operators.vocab import bounded_broadcast, build_vocab
+from fernwick.operators.vocab import build_vocab
 from fernwick.plans.catalog.registry import query
 from fernwick.plans.catalog.relational import WORDS
 
@@ -88,10 +88,10 @@ def _(t):
     g AS (SELECT doc_id, list(a ORDER BY i) AS a, list(m ORDER BY i) AS m FROM d GROUP BY 1)
     SELECT doc_id, {sql_text('a')} AS mean, {sql_text('m')} AS "max", {sql_text('last')} AS last FROM g JOIN l USING (doc_id)""")
 def _(t):
-    rows = t.documents.select("doc_id", F.posexplode(T.words("text")).alias("pos", "token"))
-    vocab = build_vocab(rows, 500, 0, []).select("token", F.col("id").alias("vec_id"))
-    vectors = bounded_broadcast(vocab.join(t.embeddings.select("vec_id", "embedding"), "vec_id").drop("vec_id"))
-    out = V.pool(rows.join(vectors, "token"), "doc_id", "pos", "embedding")
+    docs = t.documents.select("doc_id", T.words("text").alias("w"))
+    vocab = build_vocab(docs.select(F.explode("w").alias("token")), 500, 0, []).select("token", F.col("id").alias("vec_id"))
+    vectors = vocab.join(t.embeddings.select("vec_id", "embedding"), "vec_id")
+    out = V.pool(docs, "w", vectors, "doc_id", vec="embedding")
     return out.select("doc_id", *[as_text(c).alias(c) for c in ("mean", "max", "last")])
 
 

@@ -44,3 +44,13 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; partitions are read one after the other until
     that is decided."""
     return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of an input with fewer splits than cores out by key; larger inputs stay as they are.
+
+    Meant for inputs of a single small file in front of costly per-row work. Only the columns that
+    are used later take part in the shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

@@ -220,3 +220,12 @@ def test_spearman_and_best_split(spark):
     want = pdf.rank().corr().round(4)
     for r in M.spearman_matrix(df, ["a", "b", "y"]).collect():
         assert abs(r["rho"] - want.loc[r["a"], r["b"]]) < 2e-4
+
+
+@pytest.mark.parametrize("cells", [8_000_000, 1])
+def test_pool(spark, cells):
+    docs = spark.createDataFrame([(1, ["a", "b", "x", "a"]), (2, ["x"]), (3, []), (4, ["b"])], "doc_id int, w array<string>")
+    vectors = spark.createDataFrame([("a", [1.0, -2.0]), ("b", [4.0, -5.0])], "token string, vec array<double>")
+    got = {r["doc_id"]: (r["mean"], r["max"], r["last"]) for r in V.pool(docs, "w", vectors, "doc_id", local_cells=cells).collect()}
+    assert set(got) == {1, 4}
+    assert got[1] == ([2.0, -3.0], [4.0, -2.0], [1.0, -2.0]) and got[4] == ([4.0, -5.0],) * 3
