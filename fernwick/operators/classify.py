@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fernwick.functions.arrays import windows
-from fernwick.operators.vocab import bounded_broadcast
-from fernwick.session import cut_lineage
+from fernwick.session import bounded_broadcast, cut_lineage
 
 
 def class_counts(terms: DataFrame, labels: DataFrame, id_col: str, y: str) -> tuple[DataFrame, Column, Column]:

@@ -22,6 +22,7 @@ from fernwick.operators.features import dense_index
 from fernwick.operators.ordered import running_totals
 from fernwick.operators.relational import top_bottom
 from fernwick.operators.vectors import attach_metadata, knn
+from fernwick.session import cut_lineage
 
 
 def best_split(df: DataFrame, features: Sequence[str], target: str, min_leaf: int = 5) -> DataFrame:
@@ -202,7 +203,9 @@ class CollabModel:
     def __init__(self, ratings: DataFrame, user: str, item: str, rating: str, row_id: str, factors: int = 50,
                  reg: float = 0.1, rounds: int = 5, seed: int = 42):
         self.user, self.item = user, item
-        self.mean, self.users, self.items = rating_biases(ratings, user, item, rating)
+        self.mean, users, items = rating_biases(ratings, user, item, rating)
+        # Both are joined for the fit and for every prediction.
+        self.users, self.items = cut_lineage(users), cut_lineage(items)
         low, high = ratings.agg(F.min(rating), F.max(rating)).first()
         self.range = (low, high)
         self.user_idx = dense_index(ratings, user, row_id, "_u")

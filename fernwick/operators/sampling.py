@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fernwick.operators.ordered import global_position, hash_key, hash_rank
+from fernwick.session import cut_lineage
 
 
 def hash_fraction(id_col: str, seed: str | int) -> Column:
@@ -48,10 +49,10 @@ def grouped_split(df: DataFrame, key: str, train_size: float = 0.87, second_size
                   seed: int = 8081, name: str = "split") -> DataFrame:
     """Whole groups to train, valid or test.
 
-    Ranks are taken on the table of distinct groups. The first ``train_size`` share of the groups
+    Ranks are taken on the table of distinct groups, which is computed once and stored. The first ``train_size`` share of the groups
     is split again by ``second_size`` into train and valid; the others are test.
     """
-    groups = df.select(key).distinct()
+    groups = cut_lineage(df.select(key).distinct())
     first = hash_rank(groups, key, seed, "_r")
     n_first = F.floor(F.lit(train_size) * groups.agg(F.count("*")).scalar())
     kept = first.filter(F.col("_r") <= n_first).drop("_r")
@@ -114,7 +115,8 @@ def sortish_batches(df: DataFrame, length: str, id_col: str, batch_size: int, se
     w = Window.partitionBy("_chunk").orderBy(F.desc(length), F.asc(id_col))
     rows = rows.withColumn("_in", F.row_number().over(w) - 1).withColumn(
         "batch", F.col("_chunk") * chunk_batches + F.floor(F.col("_in") / batch_size))
-    batches = rows.groupBy("batch").agg(F.max(length).alias("_longest"))
+    # One row per batch, read three times.
+    batches = cut_lineage(rows.groupBy("batch").agg(F.max(length).alias("_longest")))
     first = batches.agg(F.min(F.struct((-F.col("_longest")).alias("l"), "batch"))).scalar()["batch"]
     others = hash_rank(batches.filter(F.col("batch") != first).select("batch"), "batch",
                        f"{seed}|order", "batch_order")

@@ -13,30 +13,19 @@ from pyspark.sql import types as T
 
 from fernwick.functions.text import characters, ngrams
 from fernwick.operators.ordered import global_position, running_totals
+from fernwick import session
 from fernwick.session import cut_lineage
 
 # The four special tokens at ids 0 to 3.
 SPECIALS = ("_bos_", "_pad_", "_eos_", "_unk_")
 
-# A vocabulary up to this many rows (a few MB of tokens and ids) is sent to every task.
-BROADCAST_VOCAB_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_VOCAB_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the rows; larger tables are joined by shuffle.
-
-    The table is written to the reliable checkpoint first, so it is computed once.
-    """
-    stored = cut_lineage(df)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
-
-
 def build_vocab(tokens: DataFrame, max_vocab: int = 50000, min_freq: int = 0,
                 specials: Sequence[str] = SPECIALS, col: str = "token") -> DataFrame:
     """``(token, id, n)``: special tokens, then tokens by count.
 
     The ``max_vocab`` most frequent tokens are taken first, then those with a count above
-    ``min_freq`` are kept. The result never has more than ``max_vocab`` rows plus the specials.
+    ``min_freq`` are kept. The result never has more than ``max_vocab`` rows plus the specials, and
+    each task passes at most ``max_vocab`` counted tokens on.
     """
     counts = tokens.groupBy(F.col(col).alias("token")).agg(F.count("*").alias("n"))
     top = counts.orderBy(F.desc("n"), "token").limit(max_vocab).filter(F.col("n") > min_freq)
@@ -52,13 +41,13 @@ def _map_items(df: DataFrame, seq: str, id_col: str, pairs: DataFrame, key: str,
                out: str) -> DataFrame:
     """Replace each array item by its partner in ``pairs``, in order.
 
-    A dictionary of at most ``BROADCAST_VOCAB_ROWS`` rows goes to the tasks, which look up whole
+    A dictionary of at most ``BROADCAST_ROWS`` rows goes to the tasks, which look up whole
     Arrow batches in place: no shuffle. A larger one is joined: items are counted out with their
     positions, looked up, and gathered per row id (a group is what was one array before).
     """
     pairs = cut_lineage(pairs.select(key, value))
     kind = pairs.schema[value].dataType
-    if pairs.count() <= BROADCAST_VOCAB_ROWS:
+    if pairs.count() <= session.BROADCAST_ROWS:
         known = pairs.toArrow()
         keys, values = known.column(key).combine_chunks(), known.column(value).combine_chunks()
 

@@ -9,7 +9,7 @@ from fernwick.operators import vocab as V
 from fernwick.operators.relational import vocab_overlap
 from fernwick.plans.catalog.registry import query
 from fernwick.plans.catalog.relational import WORDS
-from fernwick.session import cut_lineage
+from fernwick.session import bounded_broadcast, cut_lineage
 
 _SP = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
 _W = r"\p{L}\p{N}_"
@@ -219,10 +219,10 @@ def _(t):
     from fernwick.operators.relational import lookup_or_default
 
     vocab = V.build_vocab(_tokens(t), 3000, 5)
-    known = V.bounded_broadcast(vocab.select("token", F.col("id").alias("old_id")))
+    known = bounded_broadcast(vocab.select("token", F.col("id").alias("old_id")))
     ids = lookup_or_default(_tokens(t), known, "token", "old_id", 3).select("old_id")
     mapping = V.resample_vocab(ids, 200, "old_id")
-    return lookup_or_default(ids, V.bounded_broadcast(mapping), "old_id", "new_id", 0).groupBy("new_id").agg(
+    return lookup_or_default(ids, bounded_broadcast(mapping), "old_id", "new_id", 0).groupBy("new_id").agg(
         F.count("*").alias("n"))
 
 
@@ -327,7 +327,7 @@ def _nb_sql(expr):
     WITH {_nb_sql('n')} SELECT doc_id, round(coalesce(s, 0) + ln(n1 / n0), 6) AS score, CAST(coalesce(s, 0) + ln(n1 / n0) > 0 AS INTEGER) AS pred
     FROM labels LEFT JOIN sc USING (doc_id), sz""")
 def _(t):
-    terms, labels = _labelled_terms(t), _labels(t)
+    terms, labels = cut_lineage(_labelled_terms(t)), _labels(t)
     out = C.naive_bayes_predict(terms, C.log_count_ratio(terms, labels), C.class_prior(labels), labels)
     return out.withColumn("score", F.round("score", 6))
 
@@ -338,7 +338,7 @@ def _(t):
 def _(t):
     from fernwick.operators.evaluate import accuracy
 
-    terms, labels = V.binarize(_labelled_terms(t)), _labels(t)
+    terms, labels = cut_lineage(V.binarize(_labelled_terms(t))), _labels(t)
     out = C.naive_bayes_predict(terms, C.log_count_ratio(terms, labels), C.class_prior(labels), labels)
     return out.join(labels, "doc_id").agg(F.round(accuracy("pred", "y"), 9).alias("accuracy"))
 
@@ -348,7 +348,7 @@ def _(t):
     x AS (SELECT doc_id, sum(0.4::DOUBLE * r / 10.0::DOUBLE) AS x1 FROM ldt JOIN r USING (term) GROUP BY 1)
     SELECT doc_id, round(1 / (1 + exp(2 * x1)), 6) AS p0, round(1 / (1 + exp(-2 * x1)), 6) AS p1 FROM x""")
 def _(t):
-    terms, labels = _labelled_terms(t), _labels(t)
+    terms, labels = cut_lineage(_labelled_terms(t)), _labels(t)
     out = C.nb_softmax(terms, C.one_vs_rest_ratios(terms, labels, 2), 2)
     return out.select("doc_id", F.round("p0", 6).alias("p0"), F.round("p1", 6).alias("p1"))
 

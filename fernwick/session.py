@@ -46,6 +46,19 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
 
 
+# A dictionary up to this many rows (a few MB of keys and values) is sent to every task.
+BROADCAST_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only after counting the rows; larger tables are joined by shuffle.
+
+    The table is written to the reliable checkpoint first, so it is computed once.
+    """
+    stored = cut_lineage(df)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal the rows of an input with fewer splits than cores out by key; larger inputs stay as they are.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fernwick.functions.dates import parse_date
 from fernwick.operators.sampling import bernoulli_sample
-from fernwick.session import load_table
+from fernwick.session import bounded_broadcast, load_table
 
 RAW_CODE = "repo_path string, content string"
 CODE_RECORD = (
@@ -139,8 +139,8 @@ def read_lines(spark: SparkSession, path: str, name: str = "line") -> DataFrame:
     before = F.coalesce(F.sum("_n").over(
         Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # One row per file split.
-    starts = sizes.select(*split, (before - F.col("_first")).alias("_shift"))
-    return rows.join(F.broadcast(starts), split).select((F.col("_m") + F.col("_shift")).alias("line_no"), name)
+    starts = bounded_broadcast(sizes.select(*split, (before - F.col("_first")).alias("_shift")))
+    return rows.join(starts, split).select((F.col("_m") + F.col("_shift")).alias("line_no"), name)
 
 
 def read_parallel(spark: SparkSession, a: str, b: str) -> DataFrame:

@@ -125,7 +125,7 @@ def test_constant_column_scales_to_zero(spark):
 def test_large_vocabulary_is_joined(spark, monkeypatch):
     docs = spark.createDataFrame([(1, ["a", "x", "b"]), (2, []), (3, ["b"])], "doc_id int, w array<string>")
     vocab = V.build_vocab(spark.createDataFrame([("a",), ("b",), ("b",)], "token string"), 10)
-    monkeypatch.setattr(V, "BROADCAST_VOCAB_ROWS", 1)
+    monkeypatch.setattr(V.session, "BROADCAST_ROWS", 1)
     ids = V.numericalize_docs(docs, "w", vocab, "doc_id")
     assert {r["doc_id"]: r["ids"] for r in ids.collect()} == {1: [5, 3, 4], 2: [], 3: [4]}
     back = V.denumericalize(ids, "ids", vocab, "doc_id")
