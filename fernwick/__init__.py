@@ -1 +1,8 @@
 """DataFrame operators for code/text corpora, feature tables and text classification."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the Python workers by value, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
