@@ -7,6 +7,7 @@ from fernwick.operators import models as M
 from fernwick.operators import sampling as S
 from fernwick.plans.catalog.registry import query
 from fernwick.plans.catalog.relational import _RATINGS, ratings
+from fernwick.session import cut_lineage
 
 _COLS = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "flag"]
 
@@ -144,7 +145,8 @@ def _(t):
 
 
 def _docs(t):
-    return t.documents.select("doc_id", words("text").alias("w"))
+    """Tokens, read by the fit and by the transform."""
+    return cut_lineage(t.documents.select("doc_id", words("text").alias("w")))
 
 
 @query("text_embeddings")
@@ -155,10 +157,11 @@ def _(t):
 
 @query("semantic_search")
 def _(t):
-    model, _ = M.text_vectors(_docs(t), "w", size=32, min_count=5)
+    docs = _docs(t)
+    model, _ = M.text_vectors(docs, "w", size=32, min_count=5)
     texts = t.benchmark.select("item_id", words("text").alias("w"))
     meta = t.documents.select("doc_id", "source", "lang")
-    return M.semantic_search(_docs(t), texts, lambda df: M.embed_texts(model, df), 5, "doc_id", "item_id", meta)
+    return M.semantic_search(docs, texts, lambda df: M.embed_texts(model, df), 5, "doc_id", "item_id", meta)
 
 
 _SHAPE = r"[len(text) + 0.0::DOUBLE, len(list_filter(string_split(text, ' '), lambda w: w <> '')) * 5, len(string_split(text, chr(10))) * 40]"

@@ -6,6 +6,7 @@ from fernwick.operators.features import proc_df
 from fernwick.operators.relational import join_df
 from fernwick.plans.catalog.registry import query
 from fernwick.plans.store_features import store_features
+from fernwick.session import cut_lineage
 
 
 def store_days(t):
@@ -53,4 +54,5 @@ def _(t):
 def _(t):
     """The feature table made numeric, ready for a model."""
     rows = store_features(*store_days(t)).select("store", "date", "sales", "name", "region", "after_promo", "before_promo", "promo_n_bw", "months_open", "promo_weeks")
-    return proc_df(rows, "sales", ignore_flds=["date"], do_scale=True).x
+    # The wrangled table is read by each fitting step.
+    return proc_df(cut_lineage(rows), "sales", ignore_flds=["date"], do_scale=True).x

@@ -354,7 +354,9 @@ def _(t):
 
 
 def _fitted(t):
-    docs = t.documents.join(_labels(t), "doc_id").select("doc_id", "y", F.transform(T.words("text"), F.lower).alias("w"))
+    docs = t.documents.join(_labels(t), "doc_id")
+    # The tokens are read by each fitting step.
+    docs = cut_lineage(docs.select("doc_id", "y", F.transform(T.words("text"), F.lower).alias("w")))
     model, rows = C.term_features(docs, "w", 5000)
     return model, rows, C.logistic_regression(rows, "y", C=0.1)
 

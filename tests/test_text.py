@@ -1,4 +1,7 @@
-"""Text marks against a plain Python statement of the rules."""
+"""Text marks against a plain Python statement of the rules.
+
+The patterns are fixed values.
+"""
 
 import html
 import re
