@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from fernwick.operators.ordered import global_position, keyed_position
 from fernwick.operators.relational import fit_mean_std, median, numeric_columns
 from fernwick.operators.sampling import get_sample
+from fernwick.session import cut_lineage
 
 
 def dense_index(df: DataFrame, col: str, row_id: str, name: str = "idx") -> DataFrame:
@@ -23,7 +24,8 @@ def dense_index(df: DataFrame, col: str, row_id: str, name: str = "idx") -> Data
 def category_dictionary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, value, code)``: the distinct values of each column in sorted order, from 0."""
     fields = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]
-    pairs = df.select(F.inline(F.array(*fields))).filter(F.col("value").isNotNull()).distinct()
+    # The distinct values are stored: they are read to look for long columns, to number them, and per use.
+    pairs = cut_lineage(df.select(F.inline(F.array(*fields))).filter(F.col("value").isNotNull()).distinct())
     return keyed_position(pairs, ["column"], ["value"], "code")
 
 
