@@ -30,7 +30,8 @@ ASCII_PATTERNS = {
     "words": r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+",
 }
 LEAF = 2048
-MEMO = 600_000
+# Pre-tokens and chunks that a worker keeps: some 60 MB.
+MEMO = 250_000
 
 
 def read_tokenizer(path: str) -> str:
@@ -66,7 +67,7 @@ class Encoder:
         self.ascii = re.compile(ASCII_PATTERNS[known], re.ASCII) if known else None
         self.chars = byte_alphabet()
         self.table = str.maketrans({chr(b): c for b, c in self.chars.items() if b < 128})
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, bytes] = {}
         self.chunks = _Chunks(self.encode)
 
     @cached_property
@@ -77,15 +78,15 @@ class Encoder:
         names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         return [bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for t in names]
 
-    def merge(self, word: str) -> tuple[int, ...]:
-        """Ids of one pre-token, written in the byte alphabet."""
+    def merge(self, word: str) -> bytes:
+        """Ids of one pre-token, written in the byte alphabet, as little-endian 32-bit integers."""
         if len(word) > self.leaf:
-            return tuple(self.tree(word))
+            return packed(self.tree(word))
         got = self.words.get(word)
         if got is None:
             if len(self.words) >= MEMO:
                 self.words.clear()
-            got = self.words[word] = tuple([t.id for t in self.model.tokenize(word)])
+            got = self.words[word] = packed(self.direct(word))
         return got
 
     def direct(self, word: str) -> list[int]:
@@ -118,10 +119,8 @@ class Encoder:
                 return left[:a] + window + right[b:]
             width *= 2
 
-    def pieces(self, chunk: str) -> list[str] | None:
-        """Pre-tokens of a chunk in the byte alphabet; None if an added token is in it."""
-        if any(a in chunk for a in self.added):
-            return None
+    def pieces(self, chunk: str) -> list[str]:
+        """Pre-tokens of a chunk without added tokens, in the byte alphabet."""
         if self.ascii is not None and chunk.isascii():
             return [p.translate(self.table) for p in self.ascii.findall(chunk.lower() if self.lower else chunk)]
         norm = self.tokenizer.normalizer
@@ -137,12 +136,9 @@ class Encoder:
             out += [self.tokenizer.token_to_id(part)] if k % 2 else self.pieces(part) if part else []
         return out
 
-    def encode(self, chunk: str) -> tuple[int, ...]:
+    def encode(self, chunk: str) -> bytes:
         """Ids of text that begins at a cut and ends at one."""
-        pieces = self.pieces(chunk)
-        if pieces is None:
-            return tuple(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
-        return tuple(i for p in pieces for i in self.merge(p))
+        return b"".join(packed([p]) if isinstance(p, int) else self.merge(p) for p in self.segments(chunk))
 
     def ids_of(self, chunks: list) -> list[bytes]:
         """Little-endian 32-bit ids of each chunk (text, or its UTF-8 bytes)."""
@@ -159,9 +155,12 @@ class _Chunks(dict):
     def __missing__(self, chunk):
         if len(self) >= MEMO:
             self.clear()
-        ids = self.encode(chunk if isinstance(chunk, str) else chunk.decode())
-        out = self[chunk] = np.array(ids, "<u4").tobytes()
-        return out
+        ids = self[chunk] = self.encode(chunk if isinstance(chunk, str) else chunk.decode())
+        return ids
+
+
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
 
 
 CUT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -189,23 +188,26 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     characters without white space are encoded by many tasks: their leaves are dealt out, and the joins are
     settled level by level. Rows are independent: repeated rows and null ids are kept as they are.
     """
+    def whole(batch, enc):
+        for part in slices(batch):
+            ids = [b"".join(enc.ids_of(CUT.findall(t))) for t in part.column(1).to_pylist()]
+            yield {"_id": part.column(0), "ids": pa.array(ids, pa.binary())}
+
+    short, long = _encoded(docs, path, id_col, text_col, leaf, spread, "ids binary", whole)
+    return (short if long is None else short.unionByName(long)).withColumnRenamed("_id", id_col)
+
+
+def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, leaf: int, spread: int, schema: str, fn):
+    """``fn(batch, encoder)`` over the ids and texts of most rows; and ids of the texts with long unsplit runs,
+    or None if there are none."""
     spec = docs.sparkSession.sparkContext.broadcast(read_tokenizer(path))
     docs = only(docs, [id_col, text_col]).select(
         F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     kind = docs.schema["_id"].dataType.simpleString()
     unsplit = (F.length("_text") >= spread) & F.col("_text").rlike(f"[^{WHITE}]{{{spread}}}")
-
-    def whole(batch):
-        enc = encoder(spec.value, leaf)
-        for part in slices(batch):
-            ids = [b"".join(enc.ids_of(CUT.findall(t))) for t in part.column(1).to_pylist()]
-            yield {"_id": part.column(0), "ids": pa.array(ids, pa.binary())}
-
-    out = arrow_map(docs.filter(~unsplit), f"_id {kind}, ids binary", whole)
+    short = arrow_map(docs.filter(~unsplit), f"_id {kind}, {schema}", lambda batch: fn(batch, encoder(spec.value, leaf)))
     long = docs.filter(unsplit)
-    if not long.isEmpty():
-        out = out.unionByName(_long_texts(long, spec, kind, leaf))
-    return out.withColumnRenamed("_id", id_col)
+    return short, None if long.isEmpty() else _long_texts(long, spec, kind, leaf)
 
 
 def _long_texts(long: DataFrame, spec, kind: str, leaf: int) -> DataFrame:
@@ -215,23 +217,23 @@ def _long_texts(long: DataFrame, spec, kind: str, leaf: int) -> DataFrame:
     def cut(batch):
         enc = encoder(spec.value, leaf)
         for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            parts, settled = [], []
+            parts, settled = [], b""
             for chunk in CUT.findall(text):
                 for piece in enc.segments(chunk):
                     if isinstance(piece, str) and len(piece) > leaf and not enc.model.end_of_word_suffix:
-                        parts += [(settled, None, 0), *[([], piece[k:k + leaf], k // leaf) for k in range(0, len(piece), leaf)]]
-                        settled = []
+                        parts += [(settled, None, 0), *[(b"", piece[k:k + leaf], k // leaf) for k in range(0, len(piece), leaf)]]
+                        settled = b""
                     else:
-                        settled += enc.merge(piece) if isinstance(piece, str) else [piece]
+                        settled += enc.merge(piece) if isinstance(piece, str) else packed([piece])
             parts.append((settled, None, 0))
             number = np.cumsum([node == 0 for _, _, node in parts])
             yield {"row": pa.array([row] * len(parts), pa.int64()), "part": pa.array(number, pa.int32()),
                    "node": pa.array([p[2] for p in parts], pa.int32()), "word": pa.array([p[1] for p in parts], pa.string()),
-                   "ids": pa.array([np.array(p[0], "<u4").tobytes() for p in parts], pa.binary())}
+                   "ids": pa.array([p[0] for p in parts], pa.binary())}
 
     def leaves(batch):
         enc = encoder(spec.value, leaf)
-        ids = [i if w is None else np.array(enc.direct(w), "<u4").tobytes()
+        ids = [i if w is None else packed(enc.direct(w))
                for w, i in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
         yield {**{n: batch.column(k) for k, n in enumerate(("row", "part", "node"))}, "ids": pa.array(ids, pa.binary())}
 
@@ -240,7 +242,7 @@ def _long_texts(long: DataFrame, spec, kind: str, leaf: int) -> DataFrame:
         ids = []
         for pair in batch.column(3).to_pylist():
             both = [np.frombuffer(p["ids"], "<u4").tolist() for p in pair]
-            ids.append(np.array(enc.join(*both) if len(both) == 2 else both[0], "<u4").tobytes())
+            ids.append(packed(enc.join(*both)) if len(both) == 2 else pair[0]["ids"])
         yield {**{n: batch.column(k) for k, n in enumerate(("row", "part", "node"))}, "ids": pa.array(ids, pa.binary())}
 
     schema = "row long, part int, node int, ids binary"
@@ -262,25 +264,29 @@ def _long_texts(long: DataFrame, spec, kind: str, leaf: int) -> DataFrame:
     return long.select(F.col("_row").alias("row"), "_id").join(rows, "row").select("_id", "ids")
 
 
+class Decoder:
+    """Bytes of all ids in one array, with the place and the size of each."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.flat, self.starts = np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(self.sizes) - self.sizes
+
+    def text(self, ids: bytes) -> str:
+        got = np.frombuffer(ids, "<u4")
+        size = self.sizes[got]
+        ends = np.cumsum(size)
+        where = np.repeat(self.starts[got] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        return self.flat[where].tobytes().decode("utf-8", "replace")
+
+
 def decode_ids(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the text of the ids, special tokens included: the bytes of all ids, read as UTF-8, with U+FFFD for
     what is not UTF-8. Null ids give null; an id outside the vocabulary raises an error."""
-    spec = encoded.sparkSession.sparkContext.broadcast(read_tokenizer(path))
+    decoder = encoded.sparkSession.sparkContext.broadcast(Decoder(Encoder(read_tokenizer(path)).token_bytes))
 
     def run(batch):
-        enc = encoder(spec.value)
-        flat, starts, sizes = worker_cache(f"flat {hash(spec.value)}", lambda: _flat(enc.token_bytes))
         for part in slices(batch):
-            out = []
-            for data in part.column(names.index(ids)).to_pylist():
-                if data is None:
-                    out.append(None)
-                    continue
-                got = np.frombuffer(data, "<u4")
-                size = sizes[got]
-                ends = np.cumsum(size)
-                where = np.repeat(starts[got] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-                out.append(flat[where].tobytes().decode("utf-8", "replace"))
+            out = [None if x is None else decoder.value.text(x) for x in part.column(names.index(ids)).to_pylist()]
             yield {**{n: part.column(k) for k, n in enumerate(names)}, text: pa.array(out, pa.string())}
 
     names = encoded.columns
@@ -288,27 +294,36 @@ def decode_ids(encoded: DataFrame, path: str, ids: str = "ids", text: str = "dec
     return arrow_map(encoded, f"{schema}, `{text}` string", run)
 
 
-def _flat(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sizes = np.array([len(t) for t in tokens], np.int64)
-    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes, sizes
+def decimal_text(ids: bytes) -> bytes:
+    """The ids in decimal, joined by commas."""
+    got = np.frombuffer(ids, "<u4")
+    table = worker_cache("decimals", lambda: np.char.mod("%d,", np.arange(1 << 16)).astype("S"))
+    if not len(got) or got.max() >= len(table):
+        return ",".join(map(str, got.tolist())).encode()
+    cells = table[got].view(np.uint8)
+    return cells[cells != 0].tobytes()[:-1]
 
 
-def id_digests(encoded: DataFrame, keep: list[str], ids: str = "ids") -> DataFrame:
-    """The columns ``keep``, the number of ids and the SHA-256 of the ids written in decimal with commas."""
-    def run(batch):
-        table = worker_cache("decimals", lambda: np.char.mod("%d,", np.arange(1 << 17)).astype("S"))
+def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+                       leaf: int = LEAF, spread: int = 1 << 16) -> DataFrame:
+    """``encode_texts`` and ``decode_ids`` in one pass: per row the number of ids, the SHA-256 of the ids in
+    decimal with commas, and that of the text decoded from the ids, in lowercase hex."""
+    decoder = docs.sparkSession.sparkContext.broadcast(Decoder(Encoder(read_tokenizer(path)).token_bytes))
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+    def digests(first, ids):
+        sha = [(hashlib.sha256(decimal_text(x)).hexdigest(), hashlib.sha256(decoder.value.text(x).encode()).hexdigest()) for x in ids]
+        return {"_id": first, "n_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+                "ids_sha256": pa.array([a for a, _ in sha], pa.string()), "decoded_sha256": pa.array([b for _, b in sha], pa.string())}
+
+    def whole(batch, enc):
         for part in slices(batch):
-            out, sizes = [], []
-            for data in part.column(len(keep)).to_pylist():
-                got = np.frombuffer(data, "<u4")
-                if len(got) and got.max() < len(table):
-                    cells = table[got].view(np.uint8)
-                    text = cells[cells != 0].tobytes()[:-1]
-                else:
-                    text = ",".join(map(str, got.tolist())).encode()
-                out.append(hashlib.sha256(text).hexdigest()), sizes.append(len(got))
-            yield {**{n: part.column(k) for k, n in enumerate(keep)}, "n_tokens": pa.array(sizes, pa.int64()),
-                   "ids_sha256": pa.array(out, pa.string())}
-
-    schema = ", ".join(f"`{n}` {encoded.schema[n].dataType.simpleString()}" for n in keep)
-    return arrow_map(encoded.select(*keep, ids), f"{schema}, n_tokens long, ids_sha256 string", run)
+            yield digests(part.column(0), [b"".join(enc.ids_of(CUT.findall(t))) for t in part.column(1).to_pylist()])
+
+    def stored(batch):
+        yield digests(batch.column(0), batch.column(1).to_pylist())
+
+    short, long = _encoded(docs, path, id_col, text_col, leaf, spread, schema, whole)
+    if long is not None:
+        short = short.unionByName(arrow_map(long, f"_id {short.schema['_id'].dataType.simpleString()}, {schema}", stored))
+    return short.withColumnRenamed("_id", id_col)
