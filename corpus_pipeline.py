@@ -1,33 +1,57 @@
 """Corpus pipeline: stages applied one after the other to ``documents``; each result is written as Parquet and
-read again as the next stage's input."""
+read again as the next stage's input. Every stage works on all rows that the one before has kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from fernwick.llm.common import store
+from fernwick.llm.importance import resample
 from fernwick.llm.ngram_join import ngram_classes
+from fernwick.llm.packing import pack_by_length, token_lengths
+from fernwick.llm.queries import vocabulary
+from fernwick.llm.toxicity import fit_noisy_or, score_toxicity
+from fernwick.session import load_table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _drop(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without those whose id is in ``ids``; rows of one id go together."""
+    ids = ids.select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_anti")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose toxicity is 0.5 or more."""
+    model = fit_noisy_or(docs, load_table(spark, sf_dir, "labels"), "toxic", held_out=5)
+    return _drop(docs, score_toxicity(docs, model).filter("score >= 0.5"))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go that importance resampling towards the texts labelled good does not draw."""
+    return _drop(docs, resample(docs, load_table(spark, sf_dir, "labels"), "quality").filter("not kept"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
+    """One document of each group of near copies stays: the one with the smallest id. Rows without an id stay."""
     marked = ngram_classes(docs, size=5, threshold=(80, 100))
-    kept = marked.filter("doc_id is null or doc_id = component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return _drop(docs, marked.filter("doc_id <> component_id"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents in batches of a token budget, by length buckets of least padding."""
+    return pack_by_length(token_lengths(docs, vocabulary("byte_bpe_50k.json")), buckets=16, budget=65_536)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [("toxicity", toxicity), ("quality", quality), ("near_duplicates", near_duplicates), ("packing", packing)]
 
-# The stages learn from labels and settle links by iteration; SQL does not express them.
+# The stages learn from labels and settle links by iteration, which SQL does not express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = store(docs, name)
-    return docs
+    docs = load_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

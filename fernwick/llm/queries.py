@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fernwick.llm.bpe import decode_ids, encode_texts, id_digests
+from fernwick.llm.bpe import round_trip_digests
+from fernwick.llm.common import hash_fraction
+from fernwick.llm.importance import resample
 from fernwick.llm.ngram_join import ngram_classes
+from fernwick.llm.packing import pack_by_length, token_lengths
+from fernwick.llm.toxicity import fit_noisy_or, score_toxicity
 from fernwick.session import load_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,16 +32,38 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 
 
 @query
-def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents that share nine tenths of their three-word shingles, as components."""
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored by a sentence model that is fitted to the labels of four fifths of the ids."""
     docs = load_table(spark, folder, "documents")
-    return ngram_classes(docs, size=3, threshold=(90, 100))
+    model = fit_noisy_or(docs, load_table(spark, folder, "labels"), "toxic", held_out=5)
+    worst = F.element_at(F.array_sort("offending", lambda a, b: F.when(a.score > b.score, -1).when(a.score < b.score, 1).otherwise(a.sentence - b.sentence)), 1)
+    return score_toxicity(docs, model).select(
+        "doc_id", (hash_fraction(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_sentences",
+        F.size("offending").alias("n_offending"), F.when(F.size("offending") > 0, worst)["sentence"].alias("worst_sentence"))
+
+
+@query
+def op4_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their log weights for the target of good quality, and whether they are drawn."""
+    return resample(load_table(spark, folder, "documents"), load_table(spark, folder, "labels"), "quality")
 
 
 @query
 def op6_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded, and decoded from the ids."""
-    path = vocabulary("byte_bpe_50k.json")
-    encoded = encode_texts(load_table(spark, folder, "documents"), path)
-    decoded = decode_ids(encoded, path).withColumn("decoded_sha256", F.sha2(F.col("decoded"), 256))
-    return id_digests(decoded, ["doc_id", "decoded_sha256"]).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return round_trip_digests(load_table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query
+def op7_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in batches of 65,536 tokens, by 16 length buckets of least padding."""
+    lengths = token_lengths(load_table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+    return pack_by_length(lengths, buckets=16, budget=65_536)
+
+
+@query
+def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that share nine tenths of their three-word shingles, as components."""
+    docs = load_table(spark, folder, "documents")
+    return ngram_classes(docs, size=3, threshold=(90, 100))
