@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fernwick.llm.bpe import round_trip_digests
+from fernwick.llm.brown import score_texts
 from fernwick.llm.common import hash_fraction
 from fernwick.llm.importance import resample
 from fernwick.llm.ngram_join import ngram_classes
@@ -31,6 +32,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_brown_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored by a class model learnt from nine tenths of the ids."""
+    docs = load_table(spark, folder, "documents")
+    fold = hash_fraction(F.col("doc_id"), 10)
+    return score_texts(docs, docs.filter(fold != 0)).withColumn("held_out", fold == 0)
+
+
 @query
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """All documents scored by a sentence model that is fitted to the labels of four fifths of the ids."""
