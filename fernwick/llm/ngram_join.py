@@ -4,12 +4,13 @@ Two texts link when their sets of word shingles have a Jaccard likeness of at le
 use one global order: rare shingles first by a hashed document frequency, ties by hash. If two sets link, the
 first ``|x| - ceil(t |x|) + l`` shingles of either share at least ``l`` of them, for every ``l >= 1``. Each set
 takes the ``l`` whose prefix makes the least estimated work (rows to join plus pairs to verify), and a pair is
-verified only if it shares the smaller of its two ``l``.
+verified only if it shares the smaller of its two ``l`` in prefixes as long as the sizes of both sets ask for.
 
 Equal sets are one class. Sets are first compared with the one leader they share most with, so large groups of
 near copies melt into one component with one comparison each; then every pair of sets of different components
 that shares enough prefix shingles is compared. No link between different components is left out, and no
-group is expanded into all pairs of its members.
+group is expanded into all pairs of its members. Texts are compared next to their hub, the set of a pair that
+has more pairs: each text of a pair is moved there once, and hubs with many pairs are dealt to several tasks.
 """
 
 from __future__ import annotations
@@ -77,36 +78,39 @@ def _prefixes(docs: DataFrame, id_col: str, text_col: str, size: int, num: int,
     return src.mapInArrow(rows, "_id long, n long, h1 long, h2 long, prefix binary")
 
 
-def _postings(classes: DataFrame, num: int, den: int) -> DataFrame:
-    """One row per prefix shingle: ``level`` is the smallest l whose prefix holds it."""
+def _postings(classes: DataFrame) -> DataFrame:
+    """One row per prefix shingle, with its place in the global order of its set (from 0)."""
     def rows(batch):
-        cid, n, token, level = [], [], [], []
+        cid, n, token, pos = [], [], [], []
         for c, size, data in zip(*[batch.column(i).to_pylist() for i in range(3)]):
             got = np.frombuffer(data, np.int64)
-            first = size + (-num * size) // den
             cid.append(np.full(len(got), c)), n.append(np.full(len(got), size)), token.append(got)
-            level.append(np.maximum(np.arange(len(got)) - first + 1, 1).astype(np.int32))
+            pos.append(np.arange(len(got), dtype=np.int32))
         if cid:
             yield {"cid": np.concatenate(cid), "n": np.concatenate(n), "token": np.concatenate(token),
-                   "level": np.concatenate(level)}
+                   "pos": np.concatenate(pos)}
 
-    return arrow_map(classes.select("cid", "n", "prefix"), "cid long, n long, token long, level int", rows)
+    return arrow_map(classes.select("cid", "n", "prefix"), "cid long, n long, token long, pos int", rows)
 
 
-def _chosen_levels(shared: DataFrame) -> DataFrame:
-    """(cid, want): the l with the least estimated work. A longer prefix adds rows to join but divides the
-    number of pairs that can reach l matches."""
-    work = [F.sum(F.when(F.col("level") <= k, F.col("df") - 1).otherwise(0)) * F.lit(1 + VERIFY_COST / k)
-            for k in range(1, MAX_LEVEL + 1)]
-    costs = shared.groupBy("cid").agg(F.array(*work).alias("costs"))
-    return costs.select("cid", F.array_position("costs", F.array_min("costs")).cast("int").alias("want"))
+def _chosen_levels(shared: DataFrame, num: int, den: int) -> DataFrame:
+    """(cid, want, common): the l with the least estimated work, and how common the first shingles are. A longer
+    prefix adds rows to join but divides the number of pairs that can reach l matches."""
+    first = F.col("n") - F.ceil(F.col("n") * num / den)
+    sums = [F.sum(F.when(F.col("pos") < first + k, F.col("df") - 1).otherwise(0)) for k in range(1, MAX_LEVEL + 1)]
+    costs = shared.groupBy("cid").agg(F.array(*sums).alias("sums"))
+    work = F.transform("sums", lambda x, i: x * (1 + VERIFY_COST / (i + 1)))
+    return costs.select("cid", F.col("sums")[0].alias("common"),
+                        F.array_position(work, F.array_min(work)).cast("int").alias("want"))
 
 
 def _leader_pairs(shared: DataFrame, num: int, den: int) -> DataFrame:
-    """For each set the leader it shares most with. Leaders are the smallest set number per shingle and size band."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num)) if num < den else 1.0))
-    banded = shared.withColumn("band", band if num < den else F.col("n"))
-    leaders = banded.groupBy("token", "band").agg(F.min("cid").alias("leader"), F.count("*").alias("members"))
+    """For each set the leader it shares most with. Leaders are, per shingle and size band, the sets whose first
+    shingles are the most common: the middle of a group of near copies rather than its edge."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(den / num)))) if num < den else F.col("n")
+    banded = shared.withColumn("band", band)
+    leaders = banded.groupBy("token", "band").agg(
+        F.max_by("cid", F.struct("common", -F.col("cid"))).alias("leader"), F.count("*").alias("members"))
     led = banded.join(leaders.filter("members > 1"), ["token", "band"]).filter("cid <> leader")
     votes = led.groupBy("cid", "leader").agg(F.count("*").alias("votes"))
     best = votes.groupBy("cid").agg(F.max_by("leader", F.struct("votes", -F.col("leader"))).alias("leader"))
@@ -122,54 +126,81 @@ def _cross_pairs(shared: DataFrame, comp: DataFrame, num: int, den: int) -> Data
     heads = placed.groupBy("token", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     mixed_tokens = heads.groupBy("token").agg(F.count("*").alias("comps")).filter("comps > 1").select("token")
     heads = heads.join(mixed_tokens, "token").withColumnRenamed("comp", "other")
-    low = (F.col("most") * den >= F.col("n") * num) & (F.col("least") * num <= F.col("n") * den)
-    met = placed.join(heads, "token").filter((F.col("comp") < F.col("other")) & low)
-    left = met.select("token", "other", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("level").alias("la"),
+    fits = (F.col("most") * den >= F.col("n") * num) & (F.col("least") * num <= F.col("n") * den)
+    met = placed.join(heads, "token").filter((F.col("comp") < F.col("other")) & fits)
+    left = met.select("token", "other", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"),
                       F.col("want").alias("wa"))
     right = placed.select("token", F.col("comp").alias("other"), F.col("cid").alias("b"), F.col("n").alias("nb"),
-                          F.col("level").alias("lb"), F.col("want").alias("wb"))
+                          F.col("pos").alias("pb"), F.col("want").alias("wb"))
     need = F.least("wa", "wb")
+    # Shingles that a linked pair of these sizes has in common, at least.
+    common = F.ceil((F.col("na") + F.col("nb")) * num / (num + den))
     pairs = left.join(right, ["token", "other"]).filter(
-        (F.least("na", "nb") * den >= F.greatest("na", "nb") * num) & (F.greatest("la", "lb") <= need))
+        (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
+        & (F.col("pa") < F.col("na") - common + need) & (F.col("pb") < F.col("nb") - common + need))
     counted = pairs.groupBy("a", "b").agg(F.count("*").alias("matches"), F.min(need).alias("need"))
     return counted.filter("matches >= need").select("a", "b")
 
 
+# Pairs of one hub that a task compares before the hub is dealt to another.
+HUB_ROWS = 2_000
+FILTER_BITS = 21
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int,
               num: int, den: int) -> DataFrame:
     """The pairs whose whole sets reach the threshold. Only texts of classes in some pair are read again."""
-    needed = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-    keys = store(classes.join(needed, "cid").select("cid", "h1", "h2", F.col("min_doc").alias("_id")), "needed")
-    src = docs.select(docs[id_col].cast("long").alias("_id"), text_bytes(docs, text_col).alias("text"))
-    ids = keys.select(F.col("_id").alias("_key")).distinct()
-    src = src.join(ids, F.col("_id").eqNullSafe(F.col("_key")), "left_semi")
-
-    def sets(batches):
-        words = WordHashes()
+    ends = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid")))
+    degree = store(ends.groupBy("cid").agg(F.count("*").alias("degree")), "degree")
+    one = degree.select(F.col("cid").alias("a"), F.col("degree").alias("da"))
+    two = degree.select(F.col("cid").alias("b"), F.col("degree").alias("db"))
+    swap = F.struct("da", "a") > F.struct("db", "b")
+    turned = pairs.join(one, "a").join(two, "b").select(
+        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("hub"), F.when(swap, F.col("b")).otherwise(F.col("a")).alias("cid"),
+        F.greatest("da", "db").alias("degree"))
+    parts = F.floor(F.col("degree") / HUB_ROWS).cast("int") + 1
+    members = turned.select("hub", "cid", F.pmod(F.xxhash64("cid"), parts).cast("int").alias("part"))
+    hubs = turned.select("hub", "degree").distinct().select(
+        "hub", F.col("hub").alias("cid"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    keys = classes.select("cid", "h1", "h2", F.col("min_doc").alias("_key"))
+    wanted = store(members.union(hubs).join(keys, "cid"), "wanted")
+
+    def places(batches):
+        out = np.zeros(1 << FILTER_BITS, np.int64)
         for batch in batches:
-            got = [_set_of(words, t, size).tobytes() for t in batch.column(1).to_pylist()]
-            both = [digest_pair(g) for g in got]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in both], pa.int64()), pa.array([x[1] for x in both], pa.int64()),
-                 pa.array(got, pa.binary())], names=["h1", "h2", "grams"])
-
-    read = src.mapInArrow(sets, "h1 long, h2 long, grams binary")
-    # Rows of one document id may hold other texts; the digest tells the set that is meant.
-    wanted = read.join(keys.select("cid", "h1", "h2"), ["h1", "h2"])
-    grams = store(wanted.groupBy("cid").agg(F.first("grams").alias("grams")), "grams")
-    both = (pairs.join(grams.select(F.col("cid").alias("a"), F.col("grams").alias("x")), "a")
-            .join(grams.select(F.col("cid").alias("b"), F.col("grams").alias("y")), "b"))
-
-    def links(batch):
-        a, b = [], []
-        for i, j, x, y in zip(*[batch.column(k).to_pylist() for k in range(4)]):
-            u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(np.intersect1d(u, v, assume_unique=True))
-            if den * common >= num * (len(u) + len(v) - common):
-                a.append(i), b.append(j)
-        yield {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}
+            out[batch.column(0).to_numpy()] = 1
+        return out
+
+    # A filter of fixed size keeps texts that no pair needs out of the shuffle; the join after it is exact.
+    place = F.pmod(F.xxhash64("_key"), F.lit(1 << FILTER_BITS)).cast("long")
+    seen = summed_arrays(wanted.select(place.alias("place")), places, 1 << FILTER_BITS)
+    filled = F.lit(bytearray((seen > 0).astype(np.uint8).tobytes()))
+    src = docs.select(docs[id_col].cast("long").alias("_key"), docs[text_col].cast("string").alias("text"))
+    src = src.filter(F.substring(filled, (place + 1).cast("int"), F.lit(1)) == F.lit(bytearray(b"\x01")))
+    met = src.join(wanted.withColumnRenamed("_key", "_want"), F.col("_key").eqNullSafe(F.col("_want")))
+    met = met.select("hub", "part", "cid", "h1", "h2", "text").repartition("hub", "part")
+    met = met.sortWithinPartitions("hub", "part", F.col("cid") != F.col("hub"))
+
+    def links(batches):
+        words, at, own = WordHashes(), None, None
+        for batch in batches:
+            a, b = [], []
+            for hub, part, cid, h1, h2, text in zip(*[batch.column(k).to_pylist() for k in range(6)]):
+                got = _set_of(words, (text or "").encode(), size)
+                # Rows of one document id may hold other texts; the digest tells the set that is meant.
+                if digest_pair(got.tobytes()) != (h1, h2):
+                    continue
+                if hub == cid:
+                    at, own = (hub, part), got
+                elif at == (hub, part):
+                    common = len(np.intersect1d(own, got, assume_unique=True))
+                    if den * common >= num * (len(own) + len(got) - common):
+                        a.append(hub), b.append(cid)
+                else:
+                    raise RuntimeError("a hub's text is missing")
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return store(arrow_map(both.select("a", "b", "x", "y"), "a long, b long", links), "links")
+    return store(met.mapInArrow(links, "a long, b long"), "links")
 
 
 def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
@@ -193,11 +224,13 @@ def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = store(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
     names = classes.drop("prefix")
 
-    postings = store(_postings(classes, num, den), "postings")
+    # Made twice from the stored classes rather than stored: it is the largest table here.
+    postings = _postings(classes)
     frequent = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     shared = store(postings.join(frequent, "token"), "shared")
-    shared = shared.join(_chosen_levels(shared), "cid").filter("level <= want")
-    shared = store(shared, "shared")
+    first = F.col("n") - F.ceil(F.col("n") * num / den)
+    shared = shared.join(_chosen_levels(shared, num, den), "cid").filter(F.col("pos") < first + F.col("want"))
+    shared = store(shared, "chosen")
 
     near = _verified(store(_leader_pairs(shared, num, den), "led"), names, docs, id_col, text_col, size, num, den)
     comp = components(near)
