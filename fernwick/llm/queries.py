@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from fernwick.llm.bpe import round_trip_digests
 from fernwick.llm.brown import score_texts
 from fernwick.llm.common import hash_fraction
+from fernwick.llm.keyed_store import checked_rows, write_store
 from fernwick.llm.importance import resample
 from fernwick.llm.ngram_join import ngram_classes
 from fernwick.llm.packing import pack_by_length, token_lengths
 from fernwick.llm.toxicity import fit_noisy_or, score_toxicity
-from fernwick.session import load_table
+from fernwick.session import load_table, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,6 +59,14 @@ def op4_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resample(load_table(spark, folder, "documents"), load_table(spark, folder, "labels"), "quality")
 
 
+@query
+def op5_keyed_store(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded and written in ascending id order, and read back through the index."""
+    path = scratch_path(spark, "token-store")
+    write_store(load_table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), path, end_id=2)
+    return checked_rows(spark, path).withColumnRenamed("key", "doc_id")
+
+
 @query
 def op6_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded, and decoded from the ids."""
