@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from fernwick.llm.bpe import round_trip_digests
 from fernwick.llm.brown import score_texts
-from fernwick.llm.common import hash_fraction
+from fernwick.llm.collision_ann import nearest, usable_rows
+from fernwick.llm.common import hash_fraction, store
 from fernwick.llm.keyed_store import checked_rows, write_store
 from fernwick.llm.importance import resample
 from fernwick.llm.ngram_join import ngram_classes
@@ -80,6 +81,14 @@ def op7_length_buckets(spark: SparkSession, folder: str) -> DataFrame:
     return pack_by_length(lengths, buckets=16, budget=65_536)
 
 
+@query
+def op8_collision_ann(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth id by inner product, out of all vectors."""
+    # Stored, so that row numbers stay the same for queries and candidates.
+    rows = store(usable_rows(load_table(spark, folder, "embeddings"), "vec_id", "embedding"), "vectors")
+    return nearest(rows, rows.filter("_id % 20 = 0"), k=20)
+
+
 @query
 def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that share nine tenths of their three-word shingles, as components."""
