@@ -14,6 +14,7 @@ from fernwick.llm.common import hash_fraction, store
 from fernwick.llm.keyed_store import checked_rows, write_store
 from fernwick.llm.importance import resample
 from fernwick.llm.ngram_join import ngram_classes
+from fernwick.llm.order_minhash import fingerprint_edits
 from fernwick.llm.packing import pack_by_length, token_lengths
 from fernwick.llm.toxicity import fit_noisy_or, score_toxicity
 from fernwick.session import load_table, scratch_path
@@ -94,3 +95,9 @@ def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that share nine tenths of their three-word shingles, as components."""
     docs = load_table(spark, folder, "documents")
     return ngram_classes(docs, size=3, threshold=(90, 100))
+
+
+@query
+def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprint_edits(load_table(spark, folder, "documents"))
