@@ -12,6 +12,7 @@ from fernwick.llm.brown import score_texts
 from fernwick.llm.collision_ann import nearest, usable_rows
 from fernwick.llm.common import hash_fraction, store
 from fernwick.llm.keyed_store import checked_rows, write_store
+from fernwick.llm.edit_counts import apply_edits, build_trees
 from fernwick.llm.importance import resample
 from fernwick.llm.ngram_join import ngram_classes
 from fernwick.llm.order_minhash import fingerprint_edits
@@ -43,6 +44,28 @@ def op1_brown_lm(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(docs, docs.filter(fold != 0)).withColumn("held_out", fold == 0)
 
 
+@query
+def op2_edit_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of all documents before and after three edits each: a beginning is put in, a stretch is
+    dropped, and one is doubled, at places that depend on id and length."""
+    docs = load_table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    path = vocabulary("byte_bpe_50k.json")
+    size = F.length("text")
+
+    def place(k: int):
+        return F.pmod(F.xxhash64(F.col("doc_id"), F.lit(k)), F.greatest(size, F.lit(1))).cast("int")
+
+    edits = F.array(
+        F.struct(place(1).alias("start"), F.lit(0).alias("drop"), F.substring("text", 1, 40).alias("put")),
+        F.struct(place(2).alias("start"), F.lit(25).alias("drop"), F.lit("").alias("put")),
+        F.struct(place(3).alias("start"), F.lit(30).alias("drop"), F.substring(F.col("text"), place(4) + 1, F.lit(60)).alias("put")))
+    trees = build_trees(docs.select(F.struct("doc_id", edits.alias("edits")).alias("doc"), "text"), path, "doc")
+    trees = trees.select("doc.doc_id", "doc.edits", "leaves", "counts")
+    done = apply_edits(trees, path)
+    return done.select("doc_id", "n_tokens_before", "n_tokens", "encoded_chars", F.size("leaves").alias("n_leaves"),
+                       F.sha2(F.array_join("leaves", ""), 256).alias("text_sha256"))
+
+
 @query
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """All documents scored by a sentence model that is fitted to the labels of four fifths of the ids."""
