@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fernwick.llm.common import (
@@ -144,7 +144,7 @@ def _cross_pairs(shared: DataFrame, comp: DataFrame, num: int, den: int) -> Data
 
 # Pairs of one hub that a task compares before the hub is dealt to another.
 HUB_ROWS = 2_000
-FILTER_BITS = 21
+FILTER_BITS = 20
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int,
@@ -165,18 +165,14 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
     keys = classes.select("cid", "h1", "h2", F.col("min_doc").alias("_key"))
     wanted = store(members.union(hubs).join(keys, "cid"), "wanted")
 
-    def places(batches):
-        out = np.zeros(1 << FILTER_BITS, np.int64)
-        for batch in batches:
-            out[batch.column(0).to_numpy()] = 1
-        return out
+    # A filter of at most 2 ** FILTER_BITS hash values, whatever the number of pairs, keeps texts that no pair
+    # needs out of the shuffle; the join after it is exact.
+    def place(key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(1 << FILTER_BITS))
 
-    # A filter of fixed size keeps texts that no pair needs out of the shuffle; the join after it is exact.
-    place = F.pmod(F.xxhash64("_key"), F.lit(1 << FILTER_BITS)).cast("long")
-    seen = summed_arrays(wanted.select(place.alias("place")), places, 1 << FILTER_BITS)
-    filled = F.lit(bytearray((seen > 0).astype(np.uint8).tobytes()))
+    places = F.broadcast(wanted.select(place("_key").alias("_place")).distinct())
     src = docs.select(docs[id_col].cast("long").alias("_key"), docs[text_col].cast("string").alias("text"))
-    src = src.filter(F.substring(filled, (place + 1).cast("int"), F.lit(1)) == F.lit(bytearray(b"\x01")))
+    src = src.join(places, place("_key") == F.col("_place"), "left_semi")
     met = src.join(wanted.withColumnRenamed("_key", "_want"), F.col("_key").eqNullSafe(F.col("_want")))
     met = met.select("hub", "part", "cid", "h1", "h2", "text").repartition("hub", "part")
     met = met.sortWithinPartitions("hub", "part", F.col("cid") != F.col("hub"))
