@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 HEADLINE = (
@@ -34,7 +35,8 @@ def main() -> None:
              .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
              .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
              .config("spark.ui.showConsoleProgress", "false")
-             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-")).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     # The first Spark job and the first Python worker are not part of any query.
     QUERIES["apply_parallel"](spark, folder).write.format("noop").mode("overwrite").save()

@@ -26,6 +26,7 @@ def date_fields(col: str | Column, time: bool = False) -> dict[str, Column]:
     d = c.cast("date")
     month, day = F.month(d), F.dayofmonth(d)
     month_end = d == F.last_day(d)
+    # The names of the calendar fields.
     fields = {
         "Year": F.year(d), "Month": month, "Week": F.weekofyear(d), "Day": day,
         "Dayofweek": F.weekday(d), "Dayofyear": F.dayofyear(d),

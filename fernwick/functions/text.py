@@ -143,7 +143,9 @@ def repair_literals(col: str | Column) -> Column:
 
 @F.pandas_udf(StringType())
 def html_unescape(s: pd.Series) -> pd.Series:
-    return s.map(html.unescape, na_action="ignore")
+    # Only values with an ampersand can change.
+    marked = s.str.contains("&", regex=False, na=False)
+    return s.mask(marked, s[marked].map(html.unescape))
 
 
 def fixup(col: str | Column) -> Column:

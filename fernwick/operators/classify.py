@@ -72,7 +72,7 @@ def naive_bayes_predict(terms: DataFrame, ratios: DataFrame, prior: Column | flo
                         id_col: str = "doc_id") -> DataFrame:
     """``(id, score, pred)`` for every row of ``docs``: sum of n * r plus the prior, above 0."""
     prior = prior if isinstance(prior, Column) else F.lit(float(prior))
-    scored = terms.join(ratios, "term").groupBy(id_col).agg(F.sum(F.col("n") * F.col("r")).alias("_s"))
+    scored = terms.join(bounded_broadcast(ratios), "term").groupBy(id_col).agg(F.sum(F.col("n") * F.col("r")).alias("_s"))
     score = F.coalesce("_s", F.lit(0.0)) + prior
     return docs.select(id_col).join(scored, id_col, "left").select(
         id_col, score.alias("score"), (score > 0).cast("int").alias("pred"))
@@ -93,7 +93,7 @@ def nb_softmax(terms: DataFrame, ratios: DataFrame, classes: int, id_col: str =
         w = F.lit(0.0)
     factor = (w + w_adj) / r_adj
     wide = wide.select("term", *[(factor * F.col(f"r{k}")).alias(f"r{k}") for k in range(classes)])
-    sums = terms.join(wide, "term").groupBy(id_col).agg(*[F.sum(f"r{k}").alias(f"x{k}") for k in range(classes)])
+    sums = terms.join(bounded_broadcast(wide), "term").groupBy(id_col).agg(*[F.sum(f"r{k}").alias(f"x{k}") for k in range(classes)])
     top = F.greatest(*[F.col(f"x{k}") for k in range(classes)]) if classes > 1 else F.col("x0")
     exps = [F.exp(F.col(f"x{k}") - top) for k in range(classes)]
     total = sum(exps[1:], exps[0])
@@ -156,11 +156,13 @@ def continue_text(seeds: DataFrame, best: DataFrame, tokens: str, width: int, st
 def perplexity(counts: DataFrame) -> DataFrame:
     """One row: exp of the mean cross entropy of the add-one smoothed next-token counts.
 
-    The counts are read three times, so they are written to the reliable checkpoint first.
+    The sum of ``-n log((n + 1) / (c + v))`` over all pairs is one over contexts of ``c log(c + v)`` less one
+    over pairs of ``n log(n + 1)``, so counts and context sizes are never joined. The counts are read twice, so
+    they are written to the reliable checkpoint first.
     """
     counts = cut_lineage(counts)
-    sizes = counts.groupBy("context").agg(F.sum("n").alias("_c"))
     vocab = counts.select("next").distinct().agg(F.count("*")).scalar()
-    p = (F.col("n") + 1) / (F.col("_c") + vocab)
-    return counts.join(sizes, "context").agg(
-        F.exp(F.sum(-F.log(p) * F.col("n")) / F.sum("n")).alias("perplexity"))
+    sizes = counts.groupBy("context").agg(
+        F.sum("n").alias("_c"), F.sum(F.col("n") * F.log(F.col("n") + 1)).alias("_own"))
+    loss = F.sum(F.col("_c") * F.log(F.col("_c") + vocab) - F.col("_own")) / F.sum("_c")
+    return sizes.agg(F.exp(loss).alias("perplexity"))

@@ -74,7 +74,7 @@ def recall(probs: Column, targets: Column, thresh: float = 0.5) -> Column:
 def fbeta(probs: Column, targets: Column, beta: float, thresh: float = 0.5) -> Column:
     """Weighted harmonic mean of precision and recall, counted over all cells."""
     if beta <= 0:
-        raise ValueError("beta needs to be greater than 0")
+        raise ValueError(f"beta is {beta}, but must be positive")
     p, r = precision(probs, targets, thresh), recall(probs, targets, thresh)
     return (1 + beta**2) * p * r / (beta**2 * p + r)
 

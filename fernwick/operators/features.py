@@ -12,7 +12,10 @@ from pyspark.sql import types as T
 from fernwick.operators.ordered import global_position, keyed_position
 from fernwick.operators.relational import fit_mean_std, median, numeric_columns
 from fernwick.operators.sampling import get_sample
-from fernwick.session import cut_lineage
+from fernwick.session import cut_lineage, same_keys_join
+
+# Names that may become columns or places of a vector.
+MAX_NAMES = 10_000
 
 
 def dense_index(df: DataFrame, col: str, row_id: str, name: str = "idx") -> DataFrame:
@@ -97,7 +100,9 @@ def fix_missing(df: DataFrame, cols: Sequence[str] | None = None, na_dict: Mappi
 
 def get_dummies(df: DataFrame, dictionary: DataFrame, cols: Sequence[str], dummy_na: bool = True) -> DataFrame:
     """One 0/1 column per category and ``<col>_nan``; categories become columns, so they are few."""
-    rows = dictionary.filter(F.col("column").isin(list(cols))).orderBy("column", "code").collect() if cols else []
+    rows = dictionary.filter(F.col("column").isin(list(cols))).orderBy("column", "code").take(MAX_NAMES + 1) if cols else []
+    if len(rows) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} categories: too many for a column each")
     made = {}
     for c in cols:
         for r in rows:
@@ -228,7 +233,10 @@ def nhot_labels(df: DataFrame, id_col: str, labels: str, continuous: bool = Fals
 
     if continuous:
         return df.select(id_col, F.col(labels).cast("array<float>").alias("label_vector")), []
-    names = [r["label"] for r in df.select(F.explode(labels).alias("label")).distinct().orderBy("label").collect()]
+    found = df.select(F.explode(labels).alias("label")).distinct().orderBy("label").take(MAX_NAMES + 1)
+    if len(found) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} label names: too many for vectors with a place for each")
+    names = [r["label"] for r in found]
     single = df.agg(F.bool_and(F.size(F.array_distinct(labels)) == 1)).first()[0]
     rows = df.withColumn("_first", F.get(labels, F.lit(0)))
     if single:
@@ -243,7 +251,7 @@ def pad_batch(df: DataFrame, seq: str, batch: str, pad: int, pre: bool = True) -
     from fernwick.functions.arrays import pad_to
 
     longest = df.groupBy(batch).agg(F.max(F.size(seq)).alias("_longest"))
-    return df.join(longest, batch).withColumn(seq, pad_to(F.col(seq), F.col("_longest"), pad, pre)).drop("_longest")
+    return same_keys_join(df, longest, [batch]).withColumn(seq, pad_to(F.col(seq), F.col("_longest"), pad, pre)).drop("_longest")
 
 
 def rebase_labels(df: DataFrame, label: str) -> DataFrame:

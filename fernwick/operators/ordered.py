@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fernwick.session import cut_lineage
+from fernwick.session import cut_lineage, same_keys_join
 
 # Rows of one key that a single window task may hold before the key is cut into chunks.
 HOT_ROWS = 4_000_000
@@ -91,8 +91,8 @@ def keyed_position(
     if hot.isEmpty():
         return by_window(df)
     hot = cut_lineage(hot)
-    cold_rows = by_window(df.join(hot, keys, "left_anti"))
-    blocks = sorted_blocks(df.join(hot, keys, "left_semi"), [*keys, *order])
+    cold_rows = by_window(same_keys_join(df, hot, keys, "left_anti"))
+    blocks = sorted_blocks(same_keys_join(df, hot, keys, "left_semi"), [*keys, *order])
     # At most one row per block and one per hot key.
     parts = blocks.groupBy("_block", *keys).agg(
         F.count("*").alias("_n"), F.min("_slot").alias("_first")
@@ -100,15 +100,16 @@ def keyed_position(
     starts = parts.select(
         "_block", *keys, (_before(parts, "_n", "_block", keys) - F.col("_first")).alias("_shift")
     )
-    hot_rows = blocks.join(starts, ["_block", *keys]).withColumn(
+    hot_rows = same_keys_join(blocks, starts, ["_block", *keys]).withColumn(
         name, F.col("_slot") + F.col("_shift")
     )
     return cold_rows.unionByName(hot_rows.drop("_block", "_slot", "_shift"))
 
 
 def hash_key(id_col: str | Column, seed: str | int) -> Column:
-    """Seeded hash that SQL can recompute: md5 of ``seed|id``."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string") if isinstance(id_col, str) else id_col.cast("string")))
+    """Seeded hash that SQL can recompute: md5 of ``seed|id``; null hashes like an empty id, so no row is lost."""
+    value = (F.col(id_col) if isinstance(id_col, str) else id_col).cast("string")
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(value, F.lit(""))))
 
 
 def hash_rank(

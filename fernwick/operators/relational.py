@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fernwick.operators.ordered import running_totals
-from fernwick.session import cut_lineage
+from fernwick.session import cut_lineage, same_keys_join
 
 # ---------------------------------------------------------------- projections and filters
 
@@ -203,6 +203,11 @@ def unique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).distinct()
 
 
+def percentile_name(p: float) -> str:
+    """Column of a percentile: p50, p97_5."""
+    return f"p{100 * p:g}".replace(".", "_")
+
+
 def percentiles(df: DataFrame, col: str, fractions: Sequence[float], keys: Sequence[str] = ()
                 ) -> DataFrame:
     """Exact percentiles with linear interpolation, per key or over all rows.
@@ -222,7 +227,7 @@ def _count_percentiles(counts: DataFrame, fractions: Sequence[float], keys: Sequ
     sizes = placed.groupBy(*keys).agg(F.min(F.col("_upto") - F.col("_n")).alias("_from"),
                                       F.sum("_n").alias("_total"))
     if keys:
-        placed = placed.join(sizes, keys)
+        placed = same_keys_join(placed, sizes, keys)
     else:
         one = sizes.select(F.struct("_from", "_total")).scalar()
         placed = placed.withColumns({"_from": one["_from"], "_total": one["_total"]})
@@ -237,7 +242,7 @@ def _count_percentiles(counts: DataFrame, fractions: Sequence[float], keys: Sequ
 
         lo, hi = at(F.floor(rank)), at(F.ceil(rank))
         share = F.max(rank - F.floor(rank))
-        wanted.append((lo + (hi - lo) * share).alias(f"p{round(p * 100)}"))
+        wanted.append((lo + (hi - lo) * share).alias(percentile_name(p)))
     return placed.groupBy(*keys).agg(*wanted)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fernwick.operators.ordered import global_position, hash_key, hash_rank
-from fernwick.session import cut_lineage
+from fernwick.session import cut_lineage, same_keys_join
 
 
 def hash_fraction(id_col: str, seed: str | int) -> Column:
@@ -50,7 +50,7 @@ def grouped_split(df: DataFrame, key: str, train_size: float = 0.87, second_size
     """Whole groups to train, valid or test.
 
     Ranks are taken on the table of distinct groups, which is computed once and stored. The first ``train_size`` share of the groups
-    is split again by ``second_size`` into train and valid; the others are test.
+    is split again by ``second_size`` into train and valid; the others are test. Null is a group like any other.
     """
     groups = cut_lineage(df.select(key).distinct())
     first = hash_rank(groups, key, seed, "_r")
@@ -59,7 +59,7 @@ def grouped_split(df: DataFrame, key: str, train_size: float = 0.87, second_size
     second = hash_rank(kept, key, f"{seed}|second", "_r2")
     n_second = F.floor(F.lit(second_size) * n_first)
     side = second.select(key, F.when(F.col("_r2") <= n_second, "train").otherwise("valid").alias(name))
-    return df.join(side, key, "left").withColumn(name, F.coalesce(name, F.lit("test")))
+    return same_keys_join(df, side, [key], "left").withColumn(name, F.coalesce(name, F.lit("test")))
 
 
 def random_split(df: DataFrame, id_col: str, test_size: float = 0.1, seed: int = 42,

@@ -16,6 +16,9 @@ from fernwick.operators.ordered import global_position, running_totals
 from fernwick import session
 from fernwick.session import cut_lineage
 
+# A list of kept terms up to this many rows (some tens of MB) is sent to every task.
+DICTIONARY_ROWS = 1_000_000
+
 # The four special tokens at ids 0 to 3.
 SPECIALS = ("_bos_", "_pad_", "_eos_", "_unk_")
 
@@ -45,7 +48,8 @@ def _map_items(df: DataFrame, seq: str, id_col: str, pairs: DataFrame, key: str,
     Arrow batches in place: no shuffle. A larger one is joined: items are counted out with their
     positions, looked up, and gathered per row id (a group is what was one array before).
     """
-    pairs = cut_lineage(pairs.select(key, value))
+    # Of a repeated key the smallest value counts, whatever the size of the dictionary.
+    pairs = cut_lineage(pairs.groupBy(key).agg(F.min(value).alias(value)))
     kind = pairs.schema[value].dataType
     if pairs.count() <= session.BROADCAST_ROWS:
         known = pairs.toArrow()
@@ -61,10 +65,12 @@ def _map_items(df: DataFrame, seq: str, id_col: str, pairs: DataFrame, key: str,
             return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found)
 
         return df.select(id_col, look_up(seq).alias(out))
-    items = df.select(id_col, F.posexplode_outer(seq).alias("_pos", key))
+    # Rows are told apart by their number, not by an id that may repeat.
+    stored = cut_lineage(df.select(id_col, seq)).withColumn("_row", F.monotonically_increasing_id())
+    items = stored.select(id_col, "_row", F.posexplode_outer(seq).alias("_pos", key))
     found = items.join(pairs, key, "left").select(
-        id_col, "_pos", F.when(F.col("_pos").isNotNull(), F.coalesce(value, F.lit(default).cast(kind))).alias("_v"))
-    gathered = found.groupBy(id_col).agg(F.sort_array(F.collect_list(
+        id_col, "_row", "_pos", F.when(F.col("_pos").isNotNull(), F.coalesce(value, F.lit(default).cast(kind))).alias("_v"))
+    gathered = found.groupBy(id_col, "_row").agg(F.sort_array(F.collect_list(
         F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_v")))).alias("_items"))
     return gathered.select(id_col, F.col("_items._v").alias(out))
 
@@ -106,12 +112,15 @@ def doc_term(df: DataFrame, tokens: str, id_col: str, ngram_range: tuple[int, in
     lo, hi = ngram_range
     low = df.select(id_col, F.transform(tokens, F.lower).alias("_t"))
     grams = F.flatten(F.array(*[ngrams(F.col("_t"), n) for n in range(lo, hi + 1)])) if (lo, hi) != (1, 1) else F.col("_t")
-    counts = low.select(id_col, F.explode(grams).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("n"))
-    if max_features is None:
-        return counts
-    totals = counts.groupBy("term").agg(F.sum("n").alias("_n"))
-    kept = totals.orderBy(F.desc("_n"), "term").limit(max_features).select("term")
-    return counts.join(kept, "term", "left_semi").select(id_col, "term", "n")
+    terms = low.select(id_col, F.explode(grams).alias("term"))
+    if max_features is not None:
+        # The terms alone are counted first; the others are filtered out before (id, term) pairs are shuffled.
+        totals = terms.groupBy("term").agg(F.count("*").alias("_n"))
+        kept = totals.orderBy(F.desc("_n"), "term").limit(max_features).select("term")
+        # Their number is a parameter, which bounds the broadcast.
+        kept = F.broadcast(cut_lineage(kept)) if max_features <= DICTIONARY_ROWS else kept
+        terms = terms.join(kept, "term", "left_semi")
+    return terms.groupBy(id_col, "term").agg(F.count("*").alias("n")).select(id_col, "term", "n")
 
 
 def binarize(counts: DataFrame) -> DataFrame:
@@ -176,8 +185,3 @@ def lm_stream(df: DataFrame, ids: str, id_col: str, bs: int, bptt: int, backward
     items = items.withColumn("row", row)
     return items.filter(F.col("row") < F.col("_nb") - 1).select(
         "col", "row", F.floor(F.col("row") / bptt).alias("window"), "id", "target")
-
-
-def token_positions(df: DataFrame, order: Sequence) -> DataFrame:
-    """Global position of token rows, for streams that are already one token per row."""
-    return global_position(df, order)

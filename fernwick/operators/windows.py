@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fernwick.operators.ordered import HOT_ROWS, hot_keys, keyed_position
+from fernwick.session import same_keys_join
 
 
 def _day(c: str) -> Column:
@@ -48,7 +49,7 @@ def _nearest_flag(df, flag, keys, date, tie, name, forward, limit, chunked):
             Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(*outside)).alias("_carry"),
     ).filter("_carry is not null")
     inner = rows.withColumn("_in", pick("_flag_day").over(w))
-    out = inner.join(carry, [*keys, "_chunk"], "left")
+    out = same_keys_join(inner, carry, [*keys, "_chunk"], "left")
     return out.withColumn(name, F.datediff(_day(date), F.coalesce("_in", "_carry"))).drop(
         "_pos", "_chunk", "_flag_day", "_in", "_carry")
 
@@ -126,10 +127,10 @@ def ewma(df: DataFrame, value: str, keys: Sequence[str], order: Sequence, beta:
         return ends.select(*keys, (F.col("_sub") + by).alias("_sub"), F.col("_end").alias(f"_e{by}"))
 
     # Only keys longer than one sub-block have a state to carry over.
-    carry = shifted(1).join(shifted(2), [*keys, "_sub"], "left").select(
+    carry = same_keys_join(shifted(1), shifted(2), [*keys, "_sub"], "left").select(
         *keys, "_sub",
         (F.col("_e1") + F.pow(b, F.lit(span)) * F.coalesce("_e2", F.lit(0.0))).alias("_carry"))
-    out = local.join(carry, [*keys, "_sub"], "left")
+    out = same_keys_join(local, carry, [*keys, "_sub"], "left")
     state = F.col("_local") + F.pow(b, F.col("_off") + 1) * F.coalesce("_carry", F.lit(0.0))
     return out.withColumn(name, state / (1 - F.pow(b, F.col("_pos") + 1))).drop(
         "_pos", "_sub", "_off", "_scaled", "_local", "_carry")

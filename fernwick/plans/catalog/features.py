@@ -236,14 +236,18 @@ def _(t):
     return t.lineitem.select("l_orderkey", *corners)
 
 
+# Size of the vocabulary of fixed-length sequences.
+KEPT = 20_000
+
+
 @query("fixed_length", rf"""
     WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents), n AS (SELECT CAST(floor(quantile_cont(len(w), 0.7)) AS BIGINT) AS n FROM d),
-    k AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) + 3 AS id FROM (SELECT unnest(w) AS token FROM d) GROUP BY 1 ORDER BY count(*) DESC, token LIMIT 1000),
+    k AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) + 3 AS id FROM (SELECT unnest(w) AS token FROM d) GROUP BY 1 ORDER BY count(*) DESC, token LIMIT {KEPT}),
     s AS (SELECT doc_id, list_concat([2], list_append(list(coalesce(id, 1) ORDER BY i), 3)) AS s FROM (SELECT doc_id, unnest(w) AS token, unnest(range(len(w))) AS i FROM d) LEFT JOIN k USING (token) GROUP BY 1)
     SELECT doc_id, array_to_string(list_concat(list_transform(range(greatest(n - len(s), 0)), lambda i: 0), s[greatest(len(s) - n + 1, 1):]), ' ') AS ids FROM s, n""")
 def _(t):
     docs = t.documents.select("doc_id", words("text").alias("w"))
-    out, _, _ = J.fixed_length(docs, "w", 1000)
+    out, _, _ = J.fixed_length(docs, "w", KEPT)
     return out.select("doc_id", _txt("ids").alias("ids"))
 
 

@@ -11,6 +11,10 @@ from fernwick.plans.catalog.registry import query
 from fernwick.plans.catalog.relational import WORDS
 from fernwick.session import bounded_broadcast, cut_lineage
 
+# Sizes of vocabularies and of term lists, as in the work that is covered.
+VOCAB = 60_000
+TERMS = 800_000
+
 _SP = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
 _W = r"\p{L}\p{N}_"
 
@@ -173,9 +177,9 @@ def _tokens(t):
     return t.documents.select(F.explode(T.words("text")).alias("token"))
 
 
-@query("build_vocab", f"WITH {_vocab_sql(3000, 5, V.SPECIALS)} SELECT token, id, n FROM vocab")
+@query("build_vocab", f"WITH {_vocab_sql(VOCAB, 5, V.SPECIALS)} SELECT token, id, n FROM vocab")
 def _(t):
-    return V.build_vocab(_tokens(t), 3000, 5)
+    return V.build_vocab(_tokens(t), VOCAB, 5)
 
 
 @query("build_vocab_unk_pad", f"WITH {_vocab_sql(60000, 2, ['_unk_', '_pad_'])} SELECT token, id, n FROM vocab")
@@ -188,7 +192,7 @@ def _(t):
     return V.build_vocab(_tokens(t), 40000, 0, ["_bos_", "_pad_", "_eos_", "_unk"])
 
 
-_NUM = f"""{_vocab_sql(3000, 5, V.SPECIALS)},
+_NUM = f"""{_vocab_sql(VOCAB, 5, V.SPECIALS)},
     num AS (SELECT d.doc_id, i, coalesce(v.id, 3) AS id FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, {WORDS} AS w FROM documents)) d
             LEFT JOIN vocab v ON v.token = w[i])"""
 
@@ -196,7 +200,7 @@ _NUM = f"""{_vocab_sql(3000, 5, V.SPECIALS)},
 @query("numericalize_docs", f"""
     WITH {_NUM} SELECT doc_id, array_to_string(list_append(list(id ORDER BY i), 2), ' ') AS ids FROM num GROUP BY 1""")
 def _(t):
-    vocab = V.build_vocab(_tokens(t), 3000, 5)
+    vocab = V.build_vocab(_tokens(t), VOCAB, 5)
     return V.numericalize_docs(_docs(t), "w", vocab, "doc_id", append=2).select(
         "doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
 
@@ -204,13 +208,13 @@ def _(t):
 @query("denumericalize", f"""
     WITH {_NUM} SELECT doc_id, array_to_string(list(coalesce(v.token, '_unk_') ORDER BY i), ' ') AS tokens FROM num LEFT JOIN vocab v USING (id) GROUP BY 1""")
 def _(t):
-    vocab = V.build_vocab(_tokens(t), 3000, 5)
+    vocab = V.build_vocab(_tokens(t), VOCAB, 5)
     ids = V.numericalize_docs(_docs(t), "w", vocab, "doc_id")
     return V.denumericalize(ids, "ids", vocab, "doc_id").select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
 @query("resample_vocab", f"""
-    WITH {_vocab_sql(3000, 5, V.SPECIALS)},
+    WITH {_vocab_sql(VOCAB, 5, V.SPECIALS)},
     ids AS (SELECT coalesce(id, 3) AS id FROM tok LEFT JOIN vocab USING (token)),
     r AS (SELECT id AS old_id, row_number() OVER (ORDER BY count(*) DESC, id) + 1 AS new_id FROM ids GROUP BY 1 QUALIFY new_id <= 201),
     m AS (SELECT * FROM r UNION ALL SELECT 0, 0 WHERE 0 NOT IN (SELECT old_id FROM r) UNION ALL SELECT 1, 1 WHERE 1 NOT IN (SELECT old_id FROM r))
@@ -218,7 +222,7 @@ def _(t):
 def _(t):
     from fernwick.operators.relational import lookup_or_default
 
-    vocab = V.build_vocab(_tokens(t), 3000, 5)
+    vocab = V.build_vocab(_tokens(t), VOCAB, 5)
     known = bounded_broadcast(vocab.select("token", F.col("id").alias("old_id")))
     ids = lookup_or_default(_tokens(t), known, "token", "old_id", 3).select("old_id")
     mapping = V.resample_vocab(ids, 200, "old_id")
@@ -226,13 +230,13 @@ def _(t):
         F.count("*").alias("n"))
 
 
-@query("save_and_load_vocab", f"WITH {_vocab_sql(3000, 5, V.SPECIALS)} SELECT token, id FROM vocab")
+@query("save_and_load_vocab", f"WITH {_vocab_sql(VOCAB, 5, V.SPECIALS)} SELECT token, id FROM vocab")
 def _(t):
     from fernwick.session import scratch_path
     from fernwick.sources.files import load_vocab, save_vocab
 
     path = scratch_path(t.spark, "vocab")
-    save_vocab(V.build_vocab(_tokens(t), 3000, 5), path)
+    save_vocab(V.build_vocab(_tokens(t), VOCAB, 5), path)
     return load_vocab(t.spark, path)
 
 
@@ -259,10 +263,10 @@ def _(t):
 @query("doc_term_trigrams", rf"""
     WITH lw AS (SELECT doc_id, list_transform({WORDS}, lambda w: lower(w)) AS w FROM documents),
     g AS (SELECT doc_id, array_to_string(w[i:i + k - 1], ' ') AS term FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM lw, range(1, 4) r(k))),
-    f AS (SELECT term FROM g GROUP BY 1 ORDER BY count(*) DESC, term LIMIT 2000)
+    f AS (SELECT term FROM g GROUP BY 1 ORDER BY count(*) DESC, term LIMIT {TERMS})
     SELECT doc_id, term, count(*) AS n FROM g SEMI JOIN f USING (term) GROUP BY ALL""")
 def _(t):
-    return V.doc_term(_docs(t), "w", "doc_id", (1, 3), 2000)
+    return V.doc_term(_docs(t), "w", "doc_id", (1, 3), TERMS)
 
 
 @query("binarize", f"WITH {_DT} SELECT doc_id, term, CAST(1 AS BIGINT) AS n FROM dt")
@@ -357,7 +361,7 @@ def _fitted(t):
     docs = t.documents.join(_labels(t), "doc_id")
     # The tokens are read by each fitting step.
     docs = cut_lineage(docs.select("doc_id", "y", F.transform(T.words("text"), F.lower).alias("w")))
-    model, rows = C.term_features(docs, "w", 5000)
+    model, rows = C.term_features(docs, "w", TERMS)
     return model, rows, C.logistic_regression(rows, "y", C=0.1)
 
 
@@ -370,7 +374,7 @@ def _(t):
 @query("interpolate_weights")
 def _(t):
     model, rows, lr = _fitted(t)
-    # One weight per term of a vocabulary of at most 5,000 terms.
+    # One weight per term of a vocabulary of at most TERMS terms.
     weights = t.spark.createDataFrame(list(zip(model.vocabulary, map(float, lr.coefficients.toArray()))), "term string, w double")
     mixed = C.interpolate_weights(weights, 0.25)
     terms = V.binarize(V.doc_term(rows.select("doc_id", "w"), "w", "doc_id"))
@@ -382,13 +386,13 @@ def _(t):
 
 @query("lm_stream", f"""
     WITH {_STREAM}, k AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) + 3 AS id FROM st WHERE token <> '<eos>' GROUP BY 1
-                          ORDER BY count(*) DESC, token LIMIT 3000),
+                          ORDER BY count(*) DESC, token LIMIT {VOCAB}),
     z AS (SELECT pos, CASE WHEN token = '<eos>' THEN 2 ELSE coalesce(id, 3) END AS id FROM st LEFT JOIN k USING (token)),
     nb AS (SELECT count(*) // 8 AS nb FROM z)
     SELECT a.pos // nb AS col, a.pos % nb AS "row", (a.pos % nb) // 20 AS "window", CAST(a.id AS BIGINT) AS id, CAST(b.id AS BIGINT) AS target
     FROM z a JOIN z b ON b.pos = a.pos + 1, nb WHERE a.pos < nb * 8 AND a.pos % nb < nb - 1""")
 def _(t):
-    vocab = V.build_vocab(_tokens(t), 3000, 0)
+    vocab = V.build_vocab(_tokens(t), VOCAB, 0)
     # The id sequences are read several times.
     ids = cut_lineage(V.numericalize_docs(_docs(t), "w", vocab, "doc_id", append=2))
     return V.lm_stream(ids, "ids", "doc_id", bs=8, bptt=20)

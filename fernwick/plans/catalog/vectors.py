@@ -81,7 +81,7 @@ def _(t):
 
 @query("pool", rf"""
     WITH tok AS (SELECT doc_id, unnest({WORDS}) AS token, unnest(range(len({WORDS}))) AS pos FROM documents),
-    k AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) - 1 AS vec_id FROM tok GROUP BY 1 ORDER BY count(*) DESC, token LIMIT 500),
+    k AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) - 1 AS vec_id FROM tok GROUP BY 1 ORDER BY count(*) DESC, token LIMIT 60000),
     h AS (SELECT doc_id, pos, CAST(embedding AS DOUBLE[]) AS v FROM tok JOIN k USING (token) JOIN embeddings USING (vec_id)),
     l AS (SELECT doc_id, max_by(v, pos) AS last FROM h GROUP BY 1),
     d AS (SELECT doc_id, i, avg(x) AS a, max(x) AS m FROM (SELECT doc_id, unnest(v) AS x, unnest(range(len(v))) AS i FROM h) GROUP BY ALL),
@@ -89,7 +89,7 @@ def _(t):
     SELECT doc_id, {sql_text('a')} AS mean, {sql_text('m')} AS "max", {sql_text('last')} AS last FROM g JOIN l USING (doc_id)""")
 def _(t):
     docs = t.documents.select("doc_id", T.words("text").alias("w"))
-    vocab = build_vocab(docs.select(F.explode("w").alias("token")), 500, 0, []).select("token", F.col("id").alias("vec_id"))
+    vocab = build_vocab(docs.select(F.explode("w").alias("token")), 60_000, 0, []).select("token", F.col("id").alias("vec_id"))
     vectors = vocab.join(t.embeddings.select("vec_id", "embedding"), "vec_id")
     out = V.pool(docs, "w", vectors, "doc_id", vec="embedding")
     return out.select("doc_id", *[as_text(c).alias(c) for c in ("mean", "max", "last")])

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,19 +18,51 @@ TABLES = (
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; a temporary one only where none is set."""
+    """The checkpoint folder of the session: ``spark.checkpoint.dir``, or one that the context already has.
+
+    Only a local master, whose tasks share the driver's disk, gets a temporary folder where none is set; a
+    cluster without a shared folder is an error.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="fernwick-"))
+        if configured is None:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            configured = tempfile.mkdtemp(prefix="fernwick-")
+        sc.setCheckpointDir(configured)
         current = sc.getCheckpointDir()
     return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder, for tables written between two jobs."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_SCOPES[-1] if _SCOPES else checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Tables that are written by ``scratch_path`` inside the block are deleted at its end, so results must have
+    been written elsewhere by then. Checkpoints go with ``spark.cleaner.referenceTracking.cleanCheckpoints``."""
+    folder = f"{checkpoint_dir(spark)}/scope-{uuid.uuid4().hex}"
+    _SCOPES.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPES.remove(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def same_keys_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null; the keys appear once."""
+    renamed = right.select(*[F.col(c).alias(f"_key_{c}" if c in keys else c) for c in right.columns])
+    on = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_key_{k}"]) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"_key_{k}" for k in keys])
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -51,12 +86,11 @@ BROADCAST_ROWS = 100_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the rows; larger tables are joined by shuffle.
+    """Broadcast hint only after a look at the number of rows; larger tables are joined by shuffle.
 
-    The table is written to the reliable checkpoint first, so it is computed once.
+    A table that is broadcast is written to the reliable checkpoint first, so it is computed once.
     """
-    stored = cut_lineage(df)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    return F.broadcast(cut_lineage(df)) if fits(df, max_rows) else df
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

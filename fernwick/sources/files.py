@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fernwick.functions.dates import parse_date
 from fernwick.operators.sampling import bernoulli_sample
-from fernwick.session import bounded_broadcast, load_table
+from fernwick.session import bounded_broadcast, cut_lineage, load_table
 
 RAW_CODE = "repo_path string, content string"
 CODE_RECORD = (
@@ -92,7 +92,7 @@ def read_dir(spark: SparkSession, path: str, folder: str) -> DataFrame:
             raise
         empty = True
     if empty:
-        raise FileNotFoundError(f"{folder} folder doesn't exist or is empty")
+        raise FileNotFoundError(f"no files in {folder}")
     name = F.element_at(F.split("path", "/"), -1)
     return files.select(F.concat(F.lit(f"{folder}/"), name).alias("file"))
 
@@ -129,12 +129,14 @@ def csv_source(spark: SparkSession, folder: str, path: str, skip_header: bool =
 def read_lines(spark: SparkSession, path: str, name: str = "line") -> DataFrame:
     """``(line_no, text)`` of text files in file-name order.
 
-    Lines are numbered inside their file split; one row per split says where the split begins.
+    The lines are read once and stored; they are numbered inside their file split, and one row per split says
+    where the split begins.
     """
     split = ["_file", "_start"]
-    rows = spark.read.text(path).select(
+    stored = cut_lineage(spark.read.text(path).select(
         F.col("value").alias(name), F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_m"))
+        F.col("_metadata.file_block_start").alias("_start")))
+    rows = stored.withColumn("_m", F.monotonically_increasing_id())
     sizes = rows.groupBy(*split).agg(F.count("*").alias("_n"), F.min("_m").alias("_first"))
     before = F.coalesce(F.sum("_n").over(
         Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -144,8 +146,10 @@ def read_lines(spark: SparkSession, path: str, name: str = "line") -> DataFrame:
 
 
 def read_parallel(spark: SparkSession, a: str, b: str) -> DataFrame:
-    """``(line_no, a, b)``: two text files aligned by line number."""
-    return read_lines(spark, a, "a").join(read_lines(spark, b, "b"), "line_no")
+    """``(line_no, a, b)``: two text files aligned by line number; files of unequal length are an error."""
+    both = read_lines(spark, a, "a").join(read_lines(spark, b, "b"), "line_no", "full")
+    odd = F.raise_error(F.lit("the files have different numbers of lines"))
+    return both.select("line_no", *[F.when(F.col(c).isNotNull(), F.col(c)).otherwise(odd).alias(c) for c in ("a", "b")])
 
 
 def read_json_annotations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -76,7 +77,7 @@ def session():
 
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
-             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+             .config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-")).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
