@@ -24,14 +24,18 @@ from fernwick.llm.common import arrow_map, only, store, worker_cache
 
 # The characters that the pre-tokenizers' patterns take as white space (Unicode White_Space).
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-# The two known patterns, as they read for ASCII text.
-ASCII_PATTERNS = {
-    "bytes": r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+",
-    "words": r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+",
+# The two known patterns, as they read for plain text: ASCII and the letters of Latin-1.
+LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+PLAIN_PATTERNS = {
+    "bytes": rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+",
+    "words": rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+",
 }
+PLAIN = re.compile(rf"[\x00-\x7f{LETTERS}]*")
 LEAF = 2048
-# Pre-tokens and chunks that a worker keeps: some 60 MB.
-MEMO = 250_000
+# Chunks that a worker keeps for good, those it keeps until there are too many, and pre-tokens: some 150 MB.
+MEMO = 500_000
+LATER = 150_000
+WORD_MEMO = 200_000
 
 
 def read_tokenizer(path: str) -> str:
@@ -64,9 +68,9 @@ class Encoder:
         kind = kind["type"] if kind["type"] == "ByteLevel" and kind["use_regex"] and not kind["add_prefix_space"] else json.dumps(kind)
         self.lower = bool(made["normalizer"])
         known = "bytes" if kind == "ByteLevel" and not self.lower else "words" if r"[\\p{L}]+|[\\p{N}]|" in kind and self.lower else None
-        self.ascii = re.compile(ASCII_PATTERNS[known], re.ASCII) if known else None
+        self.plain = re.compile(PLAIN_PATTERNS[known], re.ASCII) if known else None
         self.chars = byte_alphabet()
-        self.table = str.maketrans({chr(b): c for b, c in self.chars.items() if b < 128})
+        self.table = str.maketrans({chr(i): "".join(self.chars[b] for b in chr(i).encode()) for i in range(256)})
         self.words: dict[str, bytes] = {}
         self.chunks = _Chunks(self.encode)
 
@@ -84,9 +88,9 @@ class Encoder:
             return packed(self.tree(word))
         got = self.words.get(word)
         if got is None:
-            if len(self.words) >= MEMO:
-                self.words.clear()
-            got = self.words[word] = packed(self.direct(word))
+            got = packed(self.direct(word))
+            if len(self.words) < WORD_MEMO:
+                self.words[word] = got
         return got
 
     def direct(self, word: str) -> list[int]:
@@ -121,8 +125,8 @@ class Encoder:
 
     def pieces(self, chunk: str) -> list[str]:
         """Pre-tokens of a chunk without added tokens, in the byte alphabet."""
-        if self.ascii is not None and chunk.isascii():
-            return [p.translate(self.table) for p in self.ascii.findall(chunk.lower() if self.lower else chunk)]
+        if self.plain is not None and PLAIN.fullmatch(chunk):
+            return [p.translate(self.table) for p in self.plain.findall(chunk.lower() if self.lower else chunk)]
         norm = self.tokenizer.normalizer
         text = norm.normalize_str(chunk) if norm else chunk
         return [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
@@ -146,16 +150,23 @@ class Encoder:
 
 
 class _Chunks(dict):
-    """Encoded chunks, emptied when there are too many."""
+    """Encoded chunks. The first ones stay: the frequent ones are among them. When these are ``MEMO``, later ones
+    are kept apart, and that part is emptied when it is full."""
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.later = encode, {}
 
     def __missing__(self, chunk):
-        if len(self) >= MEMO:
-            self.clear()
-        ids = self[chunk] = self.encode(chunk if isinstance(chunk, str) else chunk.decode())
+        ids = self.later.get(chunk)
+        if ids is None:
+            ids = self.encode(chunk if isinstance(chunk, str) else chunk.decode())
+            if len(self) < MEMO:
+                self[chunk] = ids
+            else:
+                if len(self.later) >= LATER:
+                    self.later.clear()
+                self.later[chunk] = ids
         return ids
 
 
