@@ -130,8 +130,8 @@ def fit_noisy_or(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_co
 
     def spread(batches):
         seen = np.zeros(1 << BUCKET_BITS, np.int64)
-        for batch in batches:
-            for data in batch.column(0).to_pylist():
+        for part in chain.from_iterable(map(slices, batches)):
+            for data in part.column(0).to_pylist():
                 seen[np.unique(np.frombuffer(data, "<u4"))] += 1
         return seen
 
@@ -181,12 +181,10 @@ def _gradient(rows: DataFrame, weights: np.ndarray, bias: float) -> np.ndarray:
     def run(batches):
         w, b = sent.value
         grad = np.zeros(len(w) + 1)
-        for batch in batches:
-            y = batch.column(0).to_numpy()
-            parts = [np.frombuffer(x, "<u2") for x in batch.column(2).to_pylist()]
-            if not len(y):
-                continue
-            grams = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4")
+        for part in chain.from_iterable(map(slices, batches)):  # a few numbers per feature: not for whole batches
+            y = part.column(0).to_numpy()
+            parts = [np.frombuffer(x, "<u2") for x in part.column(2).to_pylist()]
+            grams = np.frombuffer(b"".join(part.column(1).to_pylist()), "<u4")
             lens = np.concatenate(parts).astype(np.int64)
             doc = np.repeat(np.arange(len(y)), [len(p) for p in parts])
             piece = np.repeat(np.arange(len(lens)), lens)
