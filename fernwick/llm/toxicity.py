@@ -112,7 +112,7 @@ def fit_noisy_or(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_co
     texts = docs.join(known, docs[id_col] == known["_id"]).select("_y", text_bytes(docs, text_col).alias("text"))
 
     def featured(batch):
-        words = WordHashes()
+        words = WordHashes(150_000)
         for part in slices(batch):
             y, grams, lens = [], [], []
             for label_, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
