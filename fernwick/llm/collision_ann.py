@@ -6,10 +6,12 @@ wide), and each vector counts the arrays in whose window it lies. Vectors with e
 on the original numbers, until so many are verified that wider windows are not needed.
 
 Inner products become distances first: vectors of norm v get one more component, sqrt(M^2 - v^2) for the
-largest norm M, queries get 0; then the nearest vector is the one with the largest inner product.
+largest norm M of their block, queries are brought to length M and get 0; then the nearest vector is the one with
+the largest inner product.
 
-The index consists of blocks of vectors, each with its own sorted arrays, dealt out by hash; every vector is in
-one block. Query blocks meet every block of vectors, and only the best k of each block are handed on.
+The index consists of blocks of vectors, each with its own sorted arrays; every vector is in one block. Blocks are
+ranges of norms, so the added component stays small beside the others, and within a range vectors are dealt out by
+hash. Query blocks meet every block of vectors, and only the best k of each block are handed on.
 """
 
 from __future__ import annotations
@@ -26,6 +28,10 @@ PROJECTIONS = 128
 GROWTH = 1.08
 BLOCK = 4_096
 QUERY_BLOCK = 256
+# Norm classes per doubling, and the classes of one range: norms of a block differ by a factor of 1.09 at most.
+CLASSES, SPAN = 32, 4
+# Ranges with fewer vectors are put together, whatever their norms; blocks below twice that are verified in full.
+FEW = 256
 
 
 def projections(dim: int, count: int, seed: int) -> np.ndarray:
@@ -45,28 +51,65 @@ def usable_rows(vectors: DataFrame, id_col: str, vec: str) -> DataFrame:
     return rows.withColumns({"_dim": F.size(v), "_norm": norm})
 
 
+def norm_blocks(counts: dict[int, int], block: int = BLOCK) -> dict[int, tuple[int, int]]:
+    """For each norm class its first block and the number of blocks it is dealt to, from the vectors per class.
+
+    Classes are taken in ascending order, up to ``SPAN`` neighbouring ones together; ranges with fewer than ``FEW``
+    vectors that follow each other share a block until there are that many.
+    """
+    ranges: list[tuple[list[int], int, bool]] = []
+    for c in sorted(counts):
+        if ranges and c < ranges[-1][0][0] + SPAN:
+            classes, n, _ = ranges[-1]
+            classes.append(c)
+            ranges[-1] = (classes, n + counts[c], False)
+        else:
+            ranges.append(([c], counts[c], False))
+    merged: list[tuple[list[int], int, bool]] = []
+    for classes, n, _ in ranges:
+        few = n < FEW
+        if few and merged and merged[-1][2] and merged[-1][1] < FEW:
+            merged[-1] = (merged[-1][0] + classes, merged[-1][1] + n, True)
+        else:
+            merged.append((classes, n, few))
+    out, first = {}, 0
+    for classes, n, few in merged:
+        parts = 1 if few else max(1, -(-n // block))
+        out |= dict.fromkeys(classes, (first, parts))
+        first += parts
+    return out
+
+
 def build_index(rows: DataFrame, count: int = PROJECTIONS, seed: int = 17, block: int = BLOCK) -> DataFrame:
-    """One row per block: ids, row numbers, vectors, and per projection the sorted values and their order."""
-    sizes = {(r["_dim"]): (r["n"], r["top"]) for r in rows.groupBy("_dim").agg(F.count("*").alias("n"), F.max("_norm").alias("top")).collect()}
-    # Numbers of rows and largest norms per length of the vectors: a few literals.
-    pick = [F.when(F.col("_dim") == d, F.lit(max(1, -(-n // block)))) for d, (n, _) in sizes.items()]
-    where = F.pmod(F.xxhash64("_row"), F.coalesce(*pick, F.lit(1))).cast("int")
+    """One row per block: its largest norm, ids, row numbers, vectors, and per projection the sorted values and their
+    order."""
+    # Norms that are too small for a logarithm are one class.
+    rows = rows.withColumn("_class", F.coalesce(F.floor(F.log2("_norm") * CLASSES), F.lit(-(1 << 30)).cast("long")))
+    counts: dict[int, dict[int, int]] = {}
+    # One row per class: a few dozen for a factor of 2 between norms.
+    for r in rows.groupBy("_dim", "_class").agg(F.count("*").alias("n")).collect():
+        counts.setdefault(r["_dim"], {})[r["_class"]] = r["n"]
+    plan = [(d, c, *at) for d, of in counts.items() for c, at in norm_blocks(of, block).items()]
+    plan = rows.sparkSession.createDataFrame(plan, "_dim int, _class long, _first int, _parts int")
+    where = (F.col("_first") + F.pmod(F.xxhash64("_row"), F.col("_parts"))).cast("int")
 
     def build(table: pa.Table) -> pa.Table:
         dim = table["_dim"][0].as_py()
         data = np.array(table["_v"].to_pylist(), np.float64).reshape(-1, dim)
-        top = sizes[dim][1]
-        rest = np.sqrt(np.maximum(top * top - (data * data).sum(1), 0))
+        norms = np.sqrt((data * data).sum(1))
+        top = norms.max()
+        rest = np.sqrt(np.maximum((top - norms) * (top + norms), 0))
         value = np.column_stack([data, rest]) @ projections(dim, count, seed)
         order = np.argsort(value, axis=0, kind="stable")
         return pa.table({
-            "dim": pa.array([dim], pa.int32()), "block": table["block"][:1], "n": pa.array([len(data)], pa.int32()),
+            "dim": pa.array([dim], pa.int32()), "block": table["block"][:1], "n": pa.array([len(data)], pa.int32()), "top": [top],
             "ids": [table["_id"].to_numpy().astype("<i8").tobytes()], "rows": [table["_row"].to_numpy().astype("<i8").tobytes()],
             "data": [data.astype("<f8").tobytes()], "values": [np.take_along_axis(value, order, 0).T.astype("<f8").tobytes()],
             "order": [order.T.astype("<i4").tobytes()]})
 
-    return rows.withColumn("block", where).groupBy("_dim", "block").applyInArrow(
-        build, "dim int, block int, n int, ids binary, rows binary, data binary, values binary, order binary")
+    dealt = rows.join(F.broadcast(plan), ["_dim", "_class"]).select("_row", "_id", "_v", "_dim", where.alias("block"))
+    return dealt.groupBy("_dim", "block").applyInArrow(
+        build, "dim int, block int, n int, top double, ids binary, rows binary, data binary, values binary, order binary")
 
 
 def _query_blocks(queries: DataFrame, size: int) -> DataFrame:
@@ -124,7 +167,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, count: int = PR
     ``queries`` is a condition's result over ``vectors``: rows with the column ``_row`` of ``usable_rows``. A query's own
     row is no candidate; another row of the same id is. Ties go to the smaller id. In each block windows widen
     until k plus the share ``verify`` of the block has collided in ``share`` of the projections; all of these are
-    verified, so ties and copies lose none of the work. Fewer candidates than k: all are returned. Vectors of
+    verified, so ties and copies lose none of the work; small blocks are verified in full. Fewer candidates than k: all are returned. Vectors of
     other length than the query's are never candidates.
     """
     index = store(build_index(vectors, count, seed, block), "ann-index")
@@ -143,13 +186,20 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, count: int = PR
             ids, own = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["rows"], "<i8")
             qids, qown = np.frombuffer(row["qids"], "<i8"), np.frombuffer(row["qrows"], "<i8")
             asked = np.frombuffer(row["qdata"], "<f8").reshape(len(qids), dim)
-            at = np.column_stack([asked, np.zeros(len(asked))]) @ projections(dim, count, seed)
+            # The order of the inner products does not depend on a query's length, but that of the distances does.
+            norms = np.sqrt((asked * asked).sum(1, keepdims=True))
+            scaled = asked * (row["top"] / np.where(norms > 0, norms, 1))
+            at = np.column_stack([scaled, np.zeros(len(asked))]) @ projections(dim, count, seed)
             arrays = SortedArrays(values, order)
+            want = n if n < 2 * FEW or not np.isfinite(row["top"]) else min(n, k + 1 + int(verify * n))
             # Windows of the first query start small; later ones a little below the last radius of this block.
             radius = float(np.median(np.ptp(values, axis=1))) / 16 or 1e-9
             out = [[], [], [], []]
             for j in range(len(qids)):
-                hit, radius = arrays.window_search(at[j], min(n, k + 1 + int(verify * n)), need, radius * GROWTH**-2)
+                if want == n:
+                    hit = np.arange(n)
+                else:
+                    hit, radius = arrays.window_search(at[j], want, need, radius * GROWTH**-2)
                 hit = hit[own[hit] != qown[j]]
                 score = data[hit] @ asked[j]
                 best = np.lexsort((ids[hit], -score))[:k]
