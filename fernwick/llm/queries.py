@@ -11,6 +11,8 @@ from fernwick.llm.bpe import round_trip_digests
 from fernwick.llm.brown import score_texts
 from fernwick.llm.collision_ann import nearest, usable_rows
 from fernwick.llm.common import hash_fraction, store
+from fernwick.llm.divergence import SQL as DIVERGENCE_SQL
+from fernwick.llm.divergence import divergence
 from fernwick.llm.keyed_store import checked_rows, write_store
 from fernwick.llm.edit_counts import apply_edits, build_trees
 from fernwick.llm.importance import resample
@@ -124,3 +126,12 @@ def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts."""
     return fingerprint_edits(load_table(spark, folder, "documents"))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the sources of each language lie apart in their words, and the words that mark each source."""
+    return divergence(load_table(spark, folder, "documents"))
+
+
+SQL["op13_source_divergence"] = DIVERGENCE_SQL
