@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from fernwick.llm.edit_counts import apply_edits, build_trees
 from fernwick.llm.importance import resample
 from fernwick.llm.ngram_join import ngram_classes
 from fernwick.llm.order_minhash import fingerprint_edits
+from fernwick.llm.periodic_runs import longest_run, periodic_runs, runs_text
 from fernwick.llm.packing import pack_by_length, token_lengths
 from fernwick.llm.toxicity import fit_noisy_or, score_toxicity
 from fernwick.session import load_table, scratch_path
@@ -128,6 +130,30 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_edits(load_table(spark, folder, "documents"))
 
 
+def periodic_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Every tenth id's words, by hash, get a tail that repeats a stretch of them; a null id changes nothing."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    stretch = words[a:a + p]
+    return words[:a] + (stretch * (-(-(n - a) // p)))[:n - a]
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of at least four equal stretches of words in all documents, a tenth of them with a repeated tail, and
+    the texts that keep each run's first stretch."""
+    found = periodic_runs(load_table(spark, folder, "documents"), edit=periodic_tail)
+    found = found.withColumn("best", longest_run(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(runs_text(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 @query
 def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     """How far the sources of each language lie apart in their words, and the words that mark each source."""
