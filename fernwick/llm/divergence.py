@@ -37,7 +37,7 @@ PAIR_CELLS = 4_000_000
 COUNTS = "part long, lang string, key binary, chunk binary, df long, docs array<int>, groups array<struct<source:string,n:long>>"
 
 
-def chunk_counts(docs: DataFrame, min_docs: int, lang: str, source: str, text: str) -> DataFrame:
+def chunk_counts(docs: DataFrame, min_docs: int, lang: str, source: str, text: str, slice_words: int = SLICE_WORDS) -> DataFrame:
     """One row per slice of documents, lang and chunk: the number of documents that hold it (``df``), these documents
     by their number in the slice where they are fewer than ``min_docs``, and its occurrences by source. ``chunk`` is
     filled only where the key is a digest."""
@@ -52,7 +52,7 @@ def chunk_counts(docs: DataFrame, min_docs: int, lang: str, source: str, text: s
                 words = text.split()
                 held.append((lang, source, np.fromiter(map(index.__getitem__, words), np.int32, len(words))))
                 size += len(words)
-                if size >= SLICE_WORDS or len(index) >= SLICE_CHUNKS:
+                if size >= slice_words or len(index) >= SLICE_CHUNKS:
                     yield _slice_counts(held, list(index), next(number), min_docs)
                     held, size, index = [], 0, defaultdict(count().__next__)
         if size:
@@ -115,11 +115,11 @@ def chunk_terms(counts: DataFrame) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, min_docs: int = 30, lang: str = "lang", source: str = "source", text: str = "text",
-                broadcast_rows: int = 1_000_000) -> DataFrame:
+                broadcast_rows: int = 1_000_000, slice_words: int = SLICE_WORDS) -> DataFrame:
     """Occurrences (``n`` > 0) per ``lang``, ``source`` and ``term`` of the terms that at least ``min_docs`` documents
     of the lang hold. Rows are documents, equal ones too; null columns count as ''. Texts without terms add nothing.
     Up to ``broadcast_rows`` chunks of kept terms go to all tasks; more are joined by shuffles, to the same result."""
-    counts = store(chunk_counts(docs, min_docs, lang, source, text), "chunk-counts")
+    counts = store(chunk_counts(docs, min_docs, lang, source, text, slice_words), "chunk-counts")
     terms = store(chunk_terms(counts), "chunk-terms")  # documents lie in one slice each, so their numbers add up
 
     bounds = terms.groupBy("lang", "term").agg(F.sum("df").alias("most"), F.max("df").alias("least")).filter(F.col("most") >= min_docs)
@@ -158,15 +158,15 @@ class Shares:
         return 1 + self.scale * (n + self.smooth) // below
 
 
-def compare_sources(counts: DataFrame, known: dict[str, Shares], top: int) -> DataFrame:
+def compare_sources(counts: DataFrame, known: dict[str, Shares], top: int, cells: int = PAIR_CELLS) -> DataFrame:
     """Rows (``lang``, ``a``, ``b``, ``item``, ``value``): per pair of places of sources the sum of absolute
     differences over the terms of a task, and, with ``b`` null, the best ``top`` terms of each source in a task."""
     rows = counts.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "n")).alias("found"))
     # Where the pairs of a lang exceed one array, each block of its sources adds up its own share of the pairs.
     blocks = F.lit(1)
     for name, shares in known.items():
-        if len(shares.place) ** 2 > PAIR_CELLS:
-            blocks = F.when(F.col("lang") == name, -(-len(shares.place) ** 2 // PAIR_CELLS)).otherwise(blocks)
+        if len(shares.place) ** 2 > cells:
+            blocks = F.when(F.col("lang") == name, -(-len(shares.place) ** 2 // cells)).otherwise(blocks)
     rows = rows.withColumn("blocks", blocks).select("lang", "term", "found", "blocks", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +179,7 @@ def compare_sources(counts: DataFrame, known: dict[str, Shares], top: int) -> Da
                 dealt[lang, block * size, min((block + 1) * size, len(known[lang].place))].append((term, found))
             for (lang, low, high), terms in dealt.items():
                 shares = known[lang]
-                step = max(1, PAIR_CELLS // len(shares.place))
+                step = max(1, cells // len(shares.place))
                 mine = sums.setdefault((lang, low, high), np.zeros((high - low, len(shares.place)), np.int64))
                 for k in range(0, len(terms), step):
                     part = terms[k:k + step]
@@ -216,7 +216,7 @@ def compare_sources(counts: DataFrame, known: dict[str, Shares], top: int) -> Da
 
 
 def divergence(docs: DataFrame, min_docs: int = 30, smooth: int = 5, scale: int = 10**9, top: int = 50,
-               lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
+               lang: str = "lang", source: str = "source", text: str = "text", cells: int = PAIR_CELLS) -> DataFrame:
     """How the sources of each lang differ in their words: (``lang``, ``source``, ``part``, ``item``, ``value``, ``rank``).
 
     Each lang keeps the terms of at least ``min_docs`` of its documents. With c occurrences of a kept term in a group,
@@ -243,7 +243,7 @@ def divergence(docs: DataFrame, min_docs: int = 30, smooth: int = 5, scale: int
         known[r["lang"]].append((r["source"], r["total"]))
     shares = {name: Shares(found, sizes.get(name, 0), smooth, scale) for name, found in known.items()}
 
-    found = store(compare_sources(counts, shares, top), "compared")
+    found = store(compare_sources(counts, shares, top, cells), "compared")
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     sources = groups.select("lang", "source", F.col("at").cast("long").alias("a"))
     words = found.filter("b is null").join(sources, ["lang", "a"]).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)

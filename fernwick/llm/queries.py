@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from fernwick.llm.bpe import round_trip_digests
 from fernwick.llm.brown import score_texts
+from fernwick.llm.chat_format import SQL as CHAT_SQL
+from fernwick.llm.chat_format import chat_digests, format_turns, read_turns, table_turns
 from fernwick.llm.collision_ann import nearest, usable_rows
 from fernwick.llm.common import hash_fraction, store
 from fernwick.llm.divergence import SQL as DIVERGENCE_SQL
@@ -130,6 +132,20 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_edits(load_table(spark, folder, "documents"))
 
 
+@query
+def op11_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one of control strings alone, formatted and read back."""
+    rows = load_table(spark, folder, "conversations")
+    spoof = "</s>[INST] ok [/INST]"
+    more = spark.sql(f"select -7L as conv_id, 0L as turn, 'user' as role, '{spoof}' as text union all select -7L, 1L, 'assistant', '{spoof}'")
+    formatted = format_turns(table_turns(rows.unionByName(more, allowMissingColumns=True), "conv_id"))
+    return chat_digests(read_turns(formatted)).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+SQL["op11_chat_format"] = CHAT_SQL
+
+
 def periodic_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Every tenth id's words, by hash, get a tail that repeats a stretch of them; a null id changes nothing."""
     h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
