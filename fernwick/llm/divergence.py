@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fernwick.llm.common import only, store, text_bytes
-from fernwick.session import bounded_broadcast, fits
+from fernwick.session import fits
 
 # Letters A-Z and all bytes of characters beyond ASCII: the complement of `[\x00-\x40\x5B-\x60\x7B-\x7F]` in UTF-8.
 TERM = re.compile(rb"[A-Za-z\x80-\xff]+")
@@ -118,29 +118,37 @@ def term_counts(docs: DataFrame, min_docs: int = 30, lang: str = "lang", source:
                 broadcast_rows: int = 1_000_000, slice_words: int = SLICE_WORDS) -> DataFrame:
     """Occurrences (``n`` > 0) per ``lang``, ``source`` and ``term`` of the terms that at least ``min_docs`` documents
     of the lang hold. Rows are documents, equal ones too; null columns count as ''. Texts without terms add nothing.
-    Up to ``broadcast_rows`` chunks of kept terms go to all tasks; more are joined by shuffles, to the same result."""
+    Hashes of up to ``broadcast_rows`` chunks go to all tasks, which leave out other rows before a shuffle."""
     counts = store(chunk_counts(docs, min_docs, lang, source, text, slice_words), "chunk-counts")
     terms = store(chunk_terms(counts), "chunk-terms")  # documents lie in one slice each, so their numbers add up
 
     bounds = terms.groupBy("lang", "term").agg(F.sum("df").alias("most"), F.max("df").alias("least")).filter(F.col("most") >= min_docs)
     bounds = store(bounds, "term-bounds")
     # A term is open only if each of its chunks is in few documents, so no frequent chunk takes part here.
-    open_terms = terms.join(bounds.filter(F.col("least") < min_docs).select("lang", "term"), ["lang", "term"]).select("lang", "key", "term")
+    open_terms = terms.join(bounds.filter(F.col("least") < min_docs).select("lang", "term"), ["lang", "term"])
+    open_terms = store(open_terms.select("lang", "key", "term"), "open-terms")
     few = counts.filter(F.col("df") < min_docs).select("lang", "key", "part", "docs")
-    union = few.join(bounded_broadcast(open_terms, broadcast_rows), ["lang", "key"]).select("lang", "term", "part", F.explode("docs").alias("doc")).distinct()
+    union = _rows_of(few, open_terms, broadcast_rows).join(open_terms, ["lang", "key"]).select("lang", "term", "part", F.explode("docs").alias("doc")).distinct()
     settled = union.groupBy("lang", "term").count().filter(F.col("count") >= min_docs).select("lang", "term")
     kept = bounds.filter(F.col("least") >= min_docs).select("lang", "term").unionByName(settled)
 
     times = store(terms.join(kept, ["lang", "term"]).select("lang", "key", "term", "times"), "kept-terms")
-    found = counts.select("lang", "key", F.explode("groups").alias("g")).select("lang", "key", "g.source", "g.n")
-    if fits(times, broadcast_rows):
-        found = counts.select("lang", "key", "groups").join(F.broadcast(times), ["lang", "key"]).select("lang", "term", "times", F.explode("groups").alias("g"))
-        return found.groupBy("lang", F.col("g.source").alias("source"), "term").agg(F.sum(F.col("g.n") * F.col("times")).alias("n"))
     # Summed before the join, so that a frequent chunk is one row per source there.
-    found = found.groupBy("lang", "key", "source").agg(F.sum("n").alias("n"))
+    found = _rows_of(counts, times, broadcast_rows).select("lang", "key", F.explode("groups").alias("g"))
+    found = found.groupBy("lang", "key", F.col("g.source").alias("source")).agg(F.sum("g.n").alias("n"))
     return found.join(times, ["lang", "key"]).groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("n"))
 
 
+def _rows_of(counts: DataFrame, chunks: DataFrame, broadcast_rows: int) -> DataFrame:
+    """``counts`` without most rows of chunks that are not in ``chunks``: those of equal hashes stay. Eight bytes per
+    chunk reach the tasks; beyond ``broadcast_rows`` of them all rows stay."""
+    if not fits(chunks, broadcast_rows):
+        return counts
+    hashed = F.xxhash64("lang", "key")
+    known = chunks.select(hashed.alias("_hash")).distinct()
+    return counts.withColumn("_hash", hashed).join(F.broadcast(known), "_hash", "left_semi").drop("_hash")
+
+
 class Shares:
     """Smoothed shares of the sources of one lang: places of sources, their totals and the number of kept terms."""
 
