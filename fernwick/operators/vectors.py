@@ -2,7 +2,7 @@
 
 Distance work runs as matrix products on Arrow batches inside tasks; only the best ``k`` rows per
 query and task are shuffled. Which side is sent to the tasks is decided by checked row counts,
-and when neither side is small both are cut into blocks that meet pairwise.
+and when neither side is small the table is put into cells, of which each query meets those that can matter.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import PCA, BucketedRandomProjectionLSH, Normalizer
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +28,8 @@ LOCAL_VECTORS = 4096
 BLOCK_ROWS = 8192
 # Numbers of a vector table that is sent to every task: 64 MB.
 LOCAL_CELLS = 8_000_000
+# Lengths up to which differences are squared one by one instead of expanding the square.
+DIRECT_DIMS = 16
 
 
 def dense(vec: str | Column) -> Column:
@@ -53,7 +55,10 @@ def _unit(m: np.ndarray) -> np.ndarray:
 def _distances(q: np.ndarray, v: np.ndarray, metric: str) -> np.ndarray:
     """Distances rounded to 9 digits, so that equal vectors tie and the id decides."""
     if metric == "euclidean":
-        sq = (q * q).sum(1)[:, None] + (v * v).sum(1)[None, :] - 2 * q @ v.T
+        if q.shape[-1] <= DIRECT_DIMS:  # small distances keep all their digits
+            sq = sum((q[:, k, None] - v[None, :, k]) ** 2 for k in range(q.shape[-1])) if len(q) and len(v) else np.zeros((len(q), len(v)))
+        else:
+            sq = (q * q).sum(1)[:, None] + (v * v).sum(1)[None, :] - 2 * q @ v.T
         return np.round(np.sqrt(np.maximum(sq, 0)), 9)
     cos = np.clip(_unit(q) @ _unit(v).T, -1.0, 1.0)
     return np.round(np.arccos(cos) if metric == "angular" else 1 - cos, 9)
@@ -122,14 +127,11 @@ def knn(table: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec: s
 
         near = table.mapInPandas(per_task, schema)
     else:
-        def per_pair(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            if not len(left) or not len(right):
-                return frame([])
-            best = _nearest(_matrix(right[query_vec].tolist()), left[id_col].to_numpy(), _matrix(left[vec].tolist()), k, metric)
-            return frame([(q, *b) for q, b in zip(right[query_id], best)])
-
-        left, right = _block_pairs(table, queries, id_col, query_id, block_rows)
-        near = left.cogroup(right).applyInPandas(per_pair, schema)
+        from fernwick.operators.cells import build_index, search
+
+        # Neither side is small: cells with centre and radius, and only those meet that can matter.
+        index = build_index(table, id_col, vec, metric=metric, block_rows=block_rows)
+        return search(index, queries, k, query_id, query_vec, block_rows=block_rows).hits.select(query_id, id_col, "distance", "place")
     w = Window.partitionBy(query_id).orderBy("distance", id_col)
     return near.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
 
@@ -214,24 +216,13 @@ def pool(docs: DataFrame, tokens: str, vectors: DataFrame, id_col: str, token: s
 
 
 def knn_approx(table: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec: str = "vec",
-               query_id: str = "query_id", query_vec: str = "query_vec", bucket_length: float = 0.5,
-               tables: int = 12, max_distance: float = 2.0, seed: int = 42) -> DataFrame:
-    """Approximate cosine neighbours: random projections of unit vectors.
+               query_id: str = "query_id", query_vec: str = "query_vec", probes: int | None = None) -> DataFrame:
+    """Approximate cosine neighbours: a cell index of ``table``, of which each query meets the ``probes`` cells with the
+    nearest centres (half of them by default). To search a table several times, build and store the index once."""
+    from fernwick.operators.cells import build_index, search
 
-    On unit vectors the squared distance is twice the cosine distance, so the order is the same.
-    """
-    def unit(df, i, v):
-        return Normalizer(inputCol="_raw", outputCol="_unit").transform(
-            df.select(i, dense(F.col(v).cast("array<double>")).alias("_raw"))).drop("_raw")
-
-    left, right = unit(table, id_col, vec), unit(queries, query_id, query_vec)
-    model = BucketedRandomProjectionLSH(inputCol="_unit", outputCol="_hash", bucketLength=bucket_length,
-                                        numHashTables=tables, seed=seed).fit(left)
-    pairs = model.approxSimilarityJoin(right, left, max_distance, "_d")
-    near = pairs.select(F.col(f"datasetA.{query_id}"), F.col(f"datasetB.{id_col}"),
-                        (F.col("_d") * F.col("_d") / 2).alias("distance"))
-    w = Window.partitionBy(query_id).orderBy("distance", id_col)
-    return near.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
+    index = build_index(table, id_col, vec)
+    return search(index, queries, k, query_id, query_vec, probes=probes or max(1, len(index.count) // 2)).hits
 
 
 def pca(df: DataFrame, vec: str, k: int = 3, out: str = "components"):

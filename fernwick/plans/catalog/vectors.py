@@ -138,6 +138,65 @@ def _(t):
     return _out(V.knn(t.embeddings, queries, 5, "vec_id", "embedding"))
 
 
+# Orders as points: price in ten thousands, months, customer in hundreds.
+def _points(t):
+    months = F.datediff("o_orderdate", F.lit("1992-01-01").cast("date")) / 30.0
+    return t.orders.select("o_orderkey", F.array(F.col("o_totalprice") / 10000.0, months, F.col("o_custkey") / 100.0).alias("point"))
+
+
+_POINTS = """p AS (SELECT o_orderkey, [o_totalprice / 10000.0::DOUBLE, date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) / 30.0::DOUBLE, o_custkey / 100.0::DOUBLE] AS point FROM orders)"""
+
+
+def _near_points(queries, k):
+    return f"""f AS (SELECT query_id, min({{'d': round(list_distance(point, q), 9), 'id': o_orderkey}}, {k}) AS best FROM {queries}, p GROUP BY 1),
+    h AS (SELECT query_id, unnest(best) AS b, CAST(unnest(range(1, len(best) + 1)) AS INTEGER) AS place FROM f)
+    SELECT query_id, b.id AS o_orderkey, round(b.d, 6) AS distance, place FROM h"""
+
+
+@query("knn_two_large_sides", f"""
+    WITH {_POINTS}, q AS (SELECT o_orderkey AS query_id, point AS q FROM p), {_near_points('q', 5)}""")
+def _(t):
+    points = _points(t)
+    queries = points.select(F.col("o_orderkey").alias("query_id"), F.col("point").alias("query_vec"))
+    hits = V.knn(points, queries, 5, "o_orderkey", "point", metric="euclidean", local_rows=1000)
+    return hits.select("query_id", "o_orderkey", F.round("distance", 6).alias("distance"), "place")
+
+
+def _customers(t):
+    """The mean order of each customer, as a second set of queries."""
+    return V.mean_vectors(_points(t).join(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey"), "point", ["o_custkey"]).select(
+        F.col("o_custkey").alias("query_id"), F.col("point").alias("query_vec"))
+
+
+_CUSTOMERS = "q AS (SELECT query_id, list(m ORDER BY i) AS q FROM (SELECT o_custkey AS query_id, i, avg(x) AS m FROM (SELECT o_orderkey, unnest(point) AS x, unnest(range(3)) AS i FROM p) JOIN orders USING (o_orderkey) GROUP BY ALL) GROUP BY 1)"
+
+
+@query("knn_index", f"WITH {_POINTS}, {_CUSTOMERS}, {_near_points('q', 10)}")
+def _(t):
+    from fernwick.operators import cells as C
+
+    index = C.open_index(t.spark, C.build_index(_points(t), "o_orderkey", "point", metric="euclidean").path)
+    hits = C.search(index, _customers(t), 10).hits
+    return hits.select("query_id", "o_orderkey", F.round("distance", 6).alias("distance"), "place")
+
+
+@query("knn_index_recall", f"""
+    WITH {_POINTS} SELECT 'customers' AS queries, 10 * count(DISTINCT o_custkey) AS hits, true AS recall_of_nine_tenths, true AS compared_under_a_tenth, true AS exact_compared_under_a_tenth FROM orders
+    UNION ALL SELECT 'orders', 10 * count(*), true, true, true FROM p""")
+def _(t):
+    from fernwick.operators import cells as C
+
+    index = C.build_index(_points(t), "o_orderkey", "point", metric="euclidean")
+    orders = _points(t).select(F.col("o_orderkey").alias("query_id"), F.col("point").alias("query_vec"))
+    rows = []
+    for name, queries in (("customers", _customers(t)), ("orders", orders)):  # one index, several sets of queries
+        exact, near = C.search(index, queries, 10), C.search(index, queries, 10, probes=8)
+        wanted = exact.hits.count()
+        found = near.hits.join(exact.hits, ["query_id", "o_orderkey"], "left_semi").count()
+        rows.append((name, wanted, found >= 0.9 * wanted, near.compared < 0.1 * near.pairs, exact.compared < 0.1 * exact.pairs))
+    return t.spark.createDataFrame(rows, "queries string, hits long, recall_of_nine_tenths boolean, compared_under_a_tenth boolean, exact_compared_under_a_tenth boolean")
+
+
 @query("nearest_label", f"""
     WITH {_CENTRES}, h AS (SELECT vec_id, c.label, round(list_cosine_distance(v, q), 9) AS distance FROM e, c),
     r AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, label) AS INTEGER) AS place FROM h QUALIFY place <= 3)
