@@ -128,8 +128,9 @@ def build_index(df: DataFrame, id_col: str, vec: str, path: str | None = None, m
     # Dealt by cell and part, so that a search reads the row groups of its cells alone.
     placed.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(64))).repartition("cell", "_salt").sortWithinPartitions("cell").drop("_salt").write.parquet(f"{path}/rows")
     sizes = spark.read.parquet(f"{path}/rows").groupBy("cell").agg(F.count("*").alias("n"), F.max("apart").alias("radius")).collect()
-    dim = centres.shape[1] if len(centres) else 0
-    centres = np.vstack([centres, np.zeros((1, dim))])
+    first = rows.select(F.size(vec)).first()
+    dim = first[0] if first else 0
+    centres = np.vstack([centres if len(centres) else np.zeros((0, dim)), np.zeros((1, dim))])
     radius, count = np.zeros(len(centres)), np.zeros(len(centres), np.int64)
     for r in sizes:
         radius[r["cell"]], count[r["cell"]] = r["radius"], r["n"]
@@ -196,6 +197,8 @@ def search(index: CellIndex, queries: DataFrame, k: int, query_id: str = "query_
     order = Window.partitionBy(query_id).orderBy("distance", index.id_col)
     best = spark.createDataFrame([], hit)
     compared, sizes = 0, index.count
+    if not sizes.sum():
+        return Found(best.withColumn("place", F.lit(1)), 0, 0)
     for step in range(1 if probes else 3):
         choose = _next_cells(index, k, step, probes)
         known = best.groupBy(query_id).agg(F.count("*").alias("_n"), F.max("distance").alias("_kth"))

@@ -197,6 +197,28 @@ def _(t):
     return t.spark.createDataFrame(rows, "queries string, hits long, recall_of_nine_tenths boolean, compared_under_a_tenth boolean, exact_compared_under_a_tenth boolean")
 
 
+# The map is solved by elimination: one step per unknown turns the rows of the normal equations into the weights.
+@query("cross_space_index", f"""
+    WITH RECURSIVE {_CENTRES}, a AS (SELECT vec_id, list_concat(v[1:32], [1.0::DOUBLE]) AS a, v[33:64] AS y FROM e),
+    u AS (SELECT vec_id, unnest(a) AS x, unnest(range(33)) AS i, list_concat(a, y) AS z FROM a),
+    g AS (SELECT i, j, sum(x * zj) AS g FROM (SELECT i, x, unnest(z) AS zj, unnest(range(65)) AS j FROM u) GROUP BY ALL),
+    s AS (SELECT 0 AS k, i, list(g + CASE WHEN i = j AND i < 32 THEN 0.001::DOUBLE ELSE 0 END ORDER BY j) AS r FROM g GROUP BY i
+      UNION ALL SELECT k + 1, i, CASE WHEN i = k THEN list_transform(r, lambda t: t / r[k + 1]) ELSE list_transform(list_zip(r, p), lambda t: t[1] - r[k + 1] / p[k + 1] * t[2]) END
+      FROM (SELECT k, i, r, any_value(r) FILTER (i = k) OVER () AS p FROM s WHERE k < 33)),
+    w AS (SELECT i, unnest(r[34:65]) AS w, unnest(range(32)) AS j FROM s WHERE k = 33),
+    m AS (SELECT vec_id, list(v ORDER BY j) AS v FROM (SELECT vec_id, j, sum(x * w) AS v FROM u JOIN w USING (i) GROUP BY ALL) GROUP BY 1),
+    h AS (SELECT label AS query_id, vec_id, round(list_cosine_distance(m.v, q[33:64]), 9) AS distance FROM m, c),
+    r AS (SELECT query_id, vec_id, distance, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS place FROM h QUALIFY place <= 5)
+    SELECT query_id, vec_id, round(distance, 6) AS distance, place FROM r""")
+def _(t):
+    from fernwick.operators import cells as C
+
+    halves = t.embeddings.select("vec_id", F.slice("embedding", 1, 32).alias("x"), F.slice("embedding", 33, 32).alias("y"))
+    space = C.open_space_index(t.spark, C.build_space_index(halves, "vec_id", "x", "y").index.path)
+    queries = centres(t).select(F.col("label").alias("query_id"), F.slice("embedding", 33, 32).alias("query_vec"))
+    return _out(C.search(space.index, queries, 5).hits)
+
+
 @query("nearest_label", f"""
     WITH {_CENTRES}, h AS (SELECT vec_id, c.label, round(list_cosine_distance(v, q), 9) AS distance FROM e, c),
     r AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, label) AS INTEGER) AS place FROM h QUALIFY place <= 3)
