@@ -49,10 +49,19 @@ def worker_cache(name: str, make: Callable):
     things that a task could make again, such as vocabularies and words already encoded."""
     kept = sys.modules.setdefault("_fernwick_worker", types.ModuleType("_fernwick_worker")).__dict__
     if name not in kept:
+        forget_worker_cache(name.split()[0])
         kept[name] = make()
     return kept[name]
 
 
+def forget_worker_cache(kind: str = "") -> None:
+    """Free what `worker_cache` has kept in this process under names that begin with ``kind``: before another one of its
+    kind, and in tasks that need the memory for other things."""
+    kept = sys.modules.setdefault("_fernwick_worker", types.ModuleType("_fernwick_worker")).__dict__
+    for name in [n for n in kept if not n.startswith("__") and n.startswith(kind)]:
+        del kept[name]
+
+
 def summed_arrays(df: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
     """Add up one whole-number array of fixed ``size`` per task of ``df``.
 

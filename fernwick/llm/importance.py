@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fernwick.llm.bpe import slices
-from fernwick.llm.common import WordHashes, mixed, only, store, summed_arrays, text_bytes
+from fernwick.llm.common import WordHashes, forget_worker_cache, mixed, only, store, summed_arrays, text_bytes
 from fernwick.llm.toxicity import labelled_sample
 from fernwick.operators.ordered import global_position
 
@@ -40,6 +40,7 @@ def fit_importance(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", t
         F.col("_id").isNotNull().alias("t"), text_bytes(docs, text_col).alias("text"))
 
     def count(batches):
+        forget_worker_cache()
         words, sums = WordHashes(), np.zeros(2 * buckets, np.int64)
         for batch in batches:
             for hit, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -59,10 +60,13 @@ def gumbel(id_col: Column, seed: str) -> Column:
     return -F.log(-F.log((bits.cast("double") + 0.5) / F.lit(float(1 << 52))))
 
 
-def importance_weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, ``n_grams`` and ``log_weight``. Null, empty and blank texts have no n-gram and weight 0."""
-    docs = only(docs, [id_col, text_col])
-    kind = docs.schema[id_col].dataType.simpleString()
+def importance_weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
+                       row_key: str | None = None) -> DataFrame:
+    """Per row: id, ``n_grams`` and ``log_weight``, and ``row_key`` if named. Null, empty and blank texts have no n-gram
+    and weight 0."""
+    ids = F.struct(docs[id_col].alias(id_col), *([docs[row_key].alias(row_key)] if row_key else []))
+    docs = docs.select(ids.alias("_id"), docs[text_col])
+    kind = docs.schema["_id"].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches):
@@ -74,13 +78,14 @@ def importance_weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_i
                     [part.column(0), pa.array([len(g) for g in got], pa.int64()),
                      pa.array([float(table[g].sum()) for g in got], pa.float64())], names=["_id", "n_grams", "log_weight"])
 
-    src = docs.select(F.col(id_col).alias("_id"), text_bytes(docs, text_col).alias("text"))
-    return src.mapInArrow(run, f"_id {kind}, n_grams long, log_weight double").withColumnRenamed("_id", id_col)
+    src = docs.select("_id", text_bytes(docs, text_col).alias("text"))
+    return src.mapInArrow(run, f"_id {kind}, n_grams long, log_weight double").select("_id.*", "n_grams", "log_weight")
 
 
 def resample(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-             sample: int = 40_000, keep: float | None = None, spare: float = 0.01, seed: str = "quality") -> DataFrame:
-    """Per row of ``docs``: id, ``n_grams``, ``log_weight``, ``sampled_by`` (weight plus noise), ``place`` (from 1)
+             sample: int = 40_000, keep: float | None = None, spare: float = 0.01, seed: str = "quality",
+             row_key: str | None = None) -> DataFrame:
+    """Per row of ``docs``: id, ``row_key`` if named, ``n_grams``, ``log_weight``, ``sampled_by`` (weight plus noise), ``place`` (from 1)
     and ``kept``: whether the row is among the k drawn.
 
     Target texts are those labelled 1 among at most about ``sample`` labelled rows. k is ``keep`` times the
@@ -88,7 +93,7 @@ def resample(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col:
     on the side of keeping. Without labelled rows of both kinds all weights are 0 and every row is kept.
     Ties go to the smaller id; repeated rows have equal noise, and a cut through them keeps some of them.
     """
-    docs = only(docs, [id_col, text_col])
+    docs = only(docs, [id_col, text_col, *([row_key] if row_key else [])])
     known = labelled_sample(docs, labels, label, id_col, sample)
     counts = {r["_y"]: r["n"] for r in known.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     good, all_known = sum(n for y, n in counts.items() if y > 0), sum(counts.values())
@@ -97,7 +102,7 @@ def resample(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col:
         share = min(1.0, good / all_known + spare) if keep is None else keep
     else:
         ratios, share = np.zeros(BUCKETS), 1.0 if keep is None else keep
-    rows = importance_weights(docs, ratios, id_col, text_col)
+    rows = importance_weights(docs, ratios, id_col, text_col, row_key)
     # Stored: the sort below reads its input twice.
     rows = store(rows.withColumn("sampled_by", F.col("log_weight") + gumbel(F.col(id_col), seed)), "weights")
     ranked = global_position(rows, [F.desc("sampled_by"), F.asc(id_col), F.asc("n_grams")], "place")

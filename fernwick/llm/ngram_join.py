@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fernwick.llm.common import (
-    WordHashes, arrow_map, components, digest_pair, mixed, only, shingle_hashes, split_words, store, summed_arrays,
+    WordHashes, arrow_map, components, digest_pair, forget_worker_cache, mixed, only, shingle_hashes, split_words, store, summed_arrays,
     text_bytes,
 )
 
@@ -54,9 +54,10 @@ def frequency_sketch(docs: DataFrame, text_col: str, size: int, bits: int = SKET
     return np.minimum(out, (1 << 32) - 1).astype(np.uint32)
 
 
-def _prefixes(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int, sketch, bits: int) -> DataFrame:
-    """Per document its set's size and 128-bit digest, and the first shingles of the longest prefix."""
+def _prefixes(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int, sketch, bits: int, row_key: str | None) -> DataFrame:
+    """Per document its id, its ``row_key``, its set's size and 128-bit digest, and the first shingles of the longest prefix."""
     def rows(batches):
+        forget_worker_cache()
         words, freq = WordHashes(), sketch.value
         for batch in batches:
             n, h1, h2, prefix = [], [], [], []
@@ -71,11 +72,13 @@ def _prefixes(docs: DataFrame, id_col: str, text_col: str, size: int, num: int,
                 order = np.lexsort((got, freq[_counter(got, bits)]))[:first + MAX_LEVEL]
                 h1.append(a), h2.append(b), prefix.append(got[order].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
-                 pa.array(prefix, pa.binary())], names=["_id", "n", "h1", "h2", "prefix"])
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()),
+                 pa.array(prefix, pa.binary())], names=["_id", "_key", "n", "h1", "h2", "prefix"])
 
-    src = docs.select(docs[id_col].cast("long").alias("_id"), text_bytes(docs, text_col).alias("text"))
-    return src.mapInArrow(rows, "_id long, n long, h1 long, h2 long, prefix binary")
+    key = docs[row_key] if row_key else F.lit(None).cast("boolean")
+    src = docs.select(docs[id_col].cast("long").alias("_id"), text_bytes(docs, text_col).alias("text"), key.alias("_key"))
+    kind = src.schema["_key"].dataType.simpleString()
+    return src.mapInArrow(rows, f"_id long, _key {kind}, n long, h1 long, h2 long, prefix binary")
 
 
 def _postings(classes: DataFrame) -> DataFrame:
@@ -200,8 +203,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
 
 
 def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
-                  threshold: tuple[int, int] = (80, 100), sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """Per row of ``docs``: id, ``n_shingles`` and ``component_id``, the smallest id reachable by links.
+                  threshold: tuple[int, int] = (80, 100), sketch_bits: int = SKETCH_BITS, row_key: str | None = None) -> DataFrame:
+    """Per row of ``docs``: id, ``n_shingles`` and ``component_id``, the smallest id reachable by links; with ``row_key``
+    also that column and ``component``, a number of the component (null without shingles).
 
     Words are runs other than ASCII white space, with A-Z lower-cased. A text of fewer words than ``size`` is
     one shingle. Null, empty and blank texts have no shingles and link with nothing: their component is their
@@ -211,10 +215,10 @@ def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     num, den = threshold
     if not 0 < num <= den:
         raise ValueError("the threshold must be above 0 and at most 1")
-    docs = only(docs, [id_col, text_col])
+    docs = only(docs, [id_col, text_col, *([row_key] if row_key else [])])
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(frequency_sketch(docs, text_col, size, sketch_bits))
-    rows = store(_prefixes(docs, id_col, text_col, size, num, den, sketch, sketch_bits), "sets")
+    rows = store(_prefixes(docs, id_col, text_col, size, num, den, sketch, sketch_bits, row_key), "sets")
     grouped = rows.filter("n > 0").groupBy("h1", "h2").agg(
         F.first("n").alias("n"), F.min("_id").alias("min_doc"), F.first("prefix").alias("prefix"))
     classes = store(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
@@ -238,9 +242,10 @@ def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     comp = store(comp, "components")
     linked = comp.join(names.select(F.col("cid").alias("node"), "min_doc"), "node")
     lowest = linked.groupBy("root").agg(F.min("min_doc").alias("low"))
-    placed = comp.join(lowest, "root").select(F.col("node").alias("cid"), "low")
+    placed = comp.join(lowest, "root").select(F.col("node").alias("cid"), "low", "root")
     final = names.join(placed, "cid", "left").select(
-        "h1", "h2", F.coalesce("low", "min_doc").alias("component_id"))
+        "h1", "h2", F.coalesce("low", "min_doc").alias("component_id"), F.coalesce("root", "cid").alias("component"))
     out = rows.drop("prefix").join(final, ["h1", "h2"], "left")
+    more = [F.col("_key").alias(row_key), "component"] if row_key else []
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.coalesce("component_id", "_id").alias("component_id"))
+                      F.coalesce("component_id", "_id").alias("component_id"), *more)

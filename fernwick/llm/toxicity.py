@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fernwick.llm.bpe import slices
-from fernwick.llm.common import WordHashes, arrow_map, hash_fraction, only, store, summed_arrays, text_bytes
+from fernwick.llm.common import WordHashes, arrow_map, forget_worker_cache, hash_fraction, only, store, summed_arrays, text_bytes
 
 BUCKET_BITS = 20
 # Sentences end at these bytes; other ASCII punctuation parts words. Text is lower-cased (A-Z) in the same step.
@@ -57,7 +57,7 @@ class WordWeights(dict):
 
     def __init__(self, weights: np.ndarray, limit: int = 300_000):
         super().__init__()
-        self.weights, self.limit, self.hashes = weights, limit, WordHashes(limit)
+        self.weights, self.limit, self.hashes = weights, limit, WordHashes(20_000)
 
     def __missing__(self, word: bytes) -> float:
         if len(self) >= self.limit:
@@ -112,6 +112,7 @@ def fit_noisy_or(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_co
     texts = docs.join(known, docs[id_col] == known["_id"]).select("_y", text_bytes(docs, text_col).alias("text"))
 
     def featured(batch):
+        forget_worker_cache()
         words = WordHashes(150_000)
         for part in slices(batch):
             y, grams, lens = [], [], []
@@ -213,6 +214,7 @@ def score_toxicity(docs: DataFrame, model: SentenceModel, id_col: str = "doc_id"
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        forget_worker_cache()
         m = sent.value
         words = WordWeights(m.weights)
         for batch in batches:

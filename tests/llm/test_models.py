@@ -198,3 +198,58 @@ def test_pipeline_stages(spark, tmp_path):
     assert before.filter("doc_id >= 1000 and doc_id < 2000").count() == 0
     packed = p.STAGES[-1][1](spark, before, str(tmp_path))
     assert packed.count() == before.count()
+
+
+def _documents(spark, path, rows, labels):
+    spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("long"), "row": F.lit(1)}).repartition(3).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int, quality int").write.parquet(f"{path}/labels.parquet")
+    return spark.read.parquet(f"{path}/documents.parquet")
+
+
+def test_pipeline_judges_rows_not_ids(spark, tmp_path):
+    import corpus_pipeline as p
+
+    rows, labels = toxic_rows(300)
+    clean = [t for i, t in rows if "scoundrel" not in t]
+    toxic = [t for i, t in rows if "scoundrel" in t]
+    odd = [(None, toxic[0]), (None, clean[0] + " of its own"), (7000, toxic[1]), (7000, clean[1] + " and one more"), (None, None), (None, "")]
+    docs = _documents(spark, tmp_path, rows + odd, labels)
+    kept = [tuple(r) for r in p.toxicity(spark, docs, str(tmp_path)).select("doc_id", "text").collect()]
+    assert not set(odd[i] for i in (0, 2)) & set(kept) and all(odd[i] in kept for i in (1, 3, 4, 5))
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark, tmp_path):
+    import corpus_pipeline as p
+
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    base = [[word() for _ in range(60)] for _ in range(5)]
+    rows = [(1, base[0]), (1, base[0]), (None, base[0]), (None, base[1]), (None, base[1]), (3, base[2]), (3, base[3]), (2, base[2]), (9, base[4] + ["x"]), (8, base[4])]
+    rows = [(i, " ".join(w)) for i, w in rows] + [(None, None), (None, None), (5, ""), (5, ""), (5, " ")]
+    docs = _documents(spark, tmp_path, rows, [(1, 0, 1)])
+    kept = [tuple(r) for r in p.near_duplicates(spark, docs, str(tmp_path)).select("doc_id", "text").collect()]
+    # Plain version: groups of linked texts, smallest id first, null ids last; rows without words stay.
+    sets = [{tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} for w in ((t or "").split() for _, t in rows)]
+    groups = []
+    for k, (i, t) in enumerate(rows):
+        if not (t or "").split():
+            groups.append([k])
+            continue
+        near = [g for g in groups if any((rows[j][1] or "").split() and len(sets[j] & sets[k]) >= 0.8 * len(sets[j] | sets[k]) for j in g)]
+        groups = [g for g in groups if g not in near] + [sum(near, []) + [k]]
+    want = [min((rows[k] for k in g), key=lambda x: (x[0] is None, x[0] or 0)) for g in groups]
+    assert sorted(map(repr, kept)) == sorted(map(repr, want))
+    assert len(kept) == 10
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline as p
+
+    _documents(spark, tmp_path, [(1, "x")], [(1, 0, 1)])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").filter("false")
+    labels = spark.read.parquet(f"{tmp_path}/labels.parquet").filter("false")
+    docs.write.parquet(f"{tmp_path}/none/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/none/labels.parquet")
+    assert p.run(spark, f"{tmp_path}/none").count() == 0
+    assert p.run(spark, str(tmp_path)).count() == 1
