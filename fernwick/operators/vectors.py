@@ -7,7 +7,6 @@ and when neither side is small the table is put into cells, of which each query
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -136,20 +135,6 @@ def knn(table: DataFrame, queries: DataFrame, k: int, id_col: str = "id", vec: s
     return near.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
 
 
-def _block_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, block_rows: int):
-    """Both sides cut into even blocks by id hash; each block meets every block of the other side."""
-    n_left = max(1, math.ceil(left.count() / block_rows))
-    n_right = max(1, math.ceil(right.count() / block_rows))
-
-    def cut(df, id_col, mine, own, other, count):
-        return df.withColumn(mine, F.pmod(F.xxhash64(id_col), F.lit(own)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
-
-    a = cut(left, left_id, "_lb", n_left, "_rb", n_right)
-    b = cut(right, right_id, "_rb", n_right, "_lb", n_left)
-    return a.groupBy("_lb", "_rb"), b.groupBy("_lb", "_rb")
-
-
 def attach_metadata(hits: DataFrame, meta: DataFrame, on: str) -> DataFrame:
     """Columns of ``meta`` for each hit; the place of a hit is kept in its own column."""
     return hits.join(meta, on, "left")
@@ -233,18 +218,25 @@ def pca(df: DataFrame, vec: str, k: int = 3, out: str = "components"):
 
 
 def farthest_first(df: DataFrame, id_col: str, vec: str, k: int) -> np.ndarray:
-    """Start centres: the row farthest from a seed row, then always the row farthest from all chosen.
+    """Start centres: the row farthest from a seed row, then always the row farthest from all chosen; ties go to the
+    smaller id, of any type.
 
-    The seed (smallest id) itself is no centre. One pass over the table per centre; only the
-    farthest row of each pass reaches the driver.
+    The seed (smallest id) itself is no centre. Each row keeps its distance to the nearest centre so far in a stored
+    column, so a pass computes one distance per row; only the farthest row of each pass reaches the driver.
     """
-    seed = df.orderBy(id_col).select(vec).first()[0]
-    centres: list[np.ndarray] = []
+    rows = df.select(F.col(id_col).alias("_id"), F.col(vec).cast("array<double>").alias("_v"))
+    seed = rows.agg(F.min_by("_v", "_id")).first()[0]
+    if seed is None or k < 1:
+        return np.zeros((0, 0))
+    far = nearest_centre(rows, "_v", np.array([seed])).agg(F.min_by("_v", F.struct(-F.col("_distance"), "_id"))).first()[0]
+    centres = [np.asarray(far)]
+    rows = cut_lineage(nearest_centre(rows, "_v", np.array(centres)).drop("cluster").withColumnRenamed("_distance", "_near"))
     while len(centres) < k:
-        known = np.stack(centres or [np.asarray(seed, dtype=np.float64)])
-        far = nearest_centre(df, vec, known).groupBy().agg(
-            F.max_by(vec, F.struct("_distance", -F.col(id_col))).alias("v")).first()["v"]
-        centres.append(np.asarray(far, dtype=np.float64))
+        far = rows.agg(F.min_by("_v", F.struct(-F.col("_near"), "_id"))).first()[0]
+        centres.append(np.asarray(far))
+        if len(centres) < k:
+            last = nearest_centre(rows, "_v", np.array(centres[-1:]))
+            rows = cut_lineage(last.select("_id", "_v", F.least("_near", "_distance").alias("_near")))
     return np.stack(centres)
 
 
@@ -285,43 +277,6 @@ def kmeans(df: DataFrame, id_col: str, vec: str, k: int, rounds: int = 10) -> tu
     return centres, nearest_centre(df, vec, centres).drop("_distance")
 
 
-def mean_shift(df: DataFrame, id_col: str, vec: str, bandwidth: float = 2.5, rounds: int = 5,
-               block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Move every point to the Gaussian-weighted mean of all points, ``rounds`` times.
-
-    Points meet in block pairs, and each pair of blocks leaves one partial sum per point. All
-    points of a round move together. Rounds are cut by a reliable checkpoint.
-    """
-    schema = T.StructType([
-        T.StructField(id_col, df.schema[id_col].dataType), T.StructField("_w", T.DoubleType()),
-        T.StructField("_s", T.ArrayType(T.DoubleType()))])
-
-    def partial(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        a, b = _matrix(left[vec].tolist()), _matrix(right["_v"].tolist())
-        if not len(a) or not len(b):
-            return pd.DataFrame({id_col: [], "_w": [], "_s": []})
-        step = max(1, 2_000_000 // len(b))
-        weight, total = [], []
-        for i in range(0, len(a), step):
-            part = a[i:i + step]
-            sq = np.maximum((part * part).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * part @ b.T, 0)
-            w = np.exp(-0.5 * sq / bandwidth**2)
-            weight.append(w.sum(1))
-            total.extend(w @ b)
-        return pd.DataFrame({id_col: left[id_col], "_w": np.concatenate(weight), "_s": total})
-
-    points = df.select(id_col, F.col(vec).cast("array<double>").alias(vec))
-    for n in range(rounds):
-        others = points.select(F.col(id_col).alias("_id"), F.col(vec).alias("_v"))
-        left, right = _block_pairs(points, others, id_col, "_id", block_rows)
-        sums = left.cogroup(right).applyInPandas(partial, schema).withColumn("_d", dense("_s"))
-        moved = sums.groupBy(id_col).agg(F.sum("_w").alias("_w"), Summarizer.sum(F.col("_d")).alias("_t"))
-        points = moved.select(id_col, F.transform(vector_to_array("_t"), lambda x: x / F.col("_w")).alias(vec))
-        if n + 1 < rounds:
-            points = cut_lineage(points)
-    return points
-
-
 def fit_space_map(df: DataFrame, x: str, y: str, penalty: float = 1e-3) -> np.ndarray:
     """Ridge map from space ``x`` (with intercept) to space ``y``.
 

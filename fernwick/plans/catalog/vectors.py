@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from fernwick.functions import text as T
 from fernwick.functions import vectors as X
 from fernwick.operators import vectors as V
+from fernwick.operators.shift import mean_shift, shift
 from fernwick.operators.vocab import build_vocab
 from fernwick.plans.catalog.registry import query
 from fernwick.plans.catalog.relational import WORDS
@@ -269,7 +270,25 @@ def _(t):
     return rows.select("vec_id", F.posexplode("components").alias("component", "value"))
 
 
-@query("kmeans")
+def _kmeans_sql(k, rounds):
+    """Farthest-first starts and ``rounds`` rounds, unrolled: a centre without rows stays."""
+    sq = "round(list_distance(v, {}) ** 2, 9)"
+    parts = ["f0 AS (SELECT v AS c FROM e ORDER BY vec_id LIMIT 1)"]
+    for j in range(1, k + 1):
+        known = [f"(SELECT c FROM f{i})" for i in range(1, j)] or ["(SELECT c FROM f0)"]
+        near = f"list_min([{', '.join(sq.format(c) for c in known)}])"
+        parts.append(f"f{j} AS MATERIALIZED (SELECT v AS c FROM e ORDER BY {near} DESC, vec_id LIMIT 1)")
+    parts.append("c0 AS (" + " UNION ALL ".join(f"SELECT {j - 1} AS cluster, c FROM f{j}" for j in range(1, k + 1)) + ")")
+    for r in range(rounds + 1):
+        parts.append(f"a{r} AS MATERIALIZED (SELECT vec_id, label, v, min({{'d': {sq.format('c')}, 'cluster': cluster}}).cluster AS cluster FROM e, c{r} GROUP BY ALL)")
+        if r < rounds:
+            parts.append(f"x{r} AS (SELECT cluster, unnest(v) AS x, unnest(range(len(v))) AS i FROM a{r})")
+            parts.append(f"m{r} AS (SELECT cluster, list(m ORDER BY i) AS m FROM (SELECT cluster, i, avg(x) AS m FROM x{r} GROUP BY ALL) GROUP BY 1)")
+            parts.append(f"c{r + 1} AS MATERIALIZED (SELECT cluster, coalesce(m, c) AS c FROM c{r} LEFT JOIN m{r} USING (cluster))")
+    return f"WITH {_E}, " + ", ".join(parts) + f" SELECT CAST(cluster AS INTEGER) AS cluster, label, count(*) AS n FROM a{rounds} GROUP BY ALL"
+
+
+@query("kmeans", _kmeans_sql(10, 10))
 def _(t):
     _, rows = V.kmeans(t.embeddings, "vec_id", "embedding", 10)
     return rows.groupBy("cluster", "label").agg(F.count("*").alias("n"))
@@ -290,21 +309,42 @@ def _(t):
     return out.select("cluster", "n", as_text("embedding").alias("centre"))
 
 
-@query("mean_shift_round", f"""
-    WITH {_LONG}, w AS (SELECT a.vec_id, b.vec_id AS other, exp(-0.5 * (list_distance(a.v, b.v) / 2.5::DOUBLE) ** 2) AS w FROM e a, e b),
-    s AS (SELECT w.vec_id, i, sum(w * x) / sum(w) AS m FROM w JOIN x ON x.vec_id = w.other GROUP BY ALL)
-    SELECT vec_id, {sql_text('list(m ORDER BY i)')} AS point FROM s GROUP BY 1""")
+def _shift_sql(points, bandwidth, rounds):
+    """``rounds`` rounds over the points (id, v) of ``points``, unrolled."""
+    parts = [points]
+    for r in range(rounds):
+        parts.append(f"w{r} AS MATERIALIZED (SELECT a.id, b.id AS other, exp(-0.5 * (list_distance(a.v, b.v) / {bandwidth}::DOUBLE) ** 2) AS w FROM p{r} a, p{r} b)")
+        parts.append(f"x{r} AS (SELECT id AS other, unnest(v) AS x, unnest(range(len(v))) AS i FROM p{r})")
+        parts.append(f"p{r + 1} AS MATERIALIZED (SELECT id, list(m ORDER BY i) AS v FROM (SELECT w.id, i, sum(w * x) / sum(w) AS m FROM w{r} w JOIN x{r} USING (other) GROUP BY ALL) GROUP BY 1)")
+    return "WITH " + ", ".join(parts)
+
+
+_VECTORS = "p0 AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+
+
+@query("mean_shift_round", f"{_shift_sql(_VECTORS, 2.5, 1)} SELECT id AS vec_id, {sql_text('v')} AS point FROM p1")
 def _(t):
-    out = V.mean_shift(t.embeddings, "vec_id", "embedding", 2.5, 1)
+    out = mean_shift(t.embeddings, "vec_id", "embedding", 2.5, 1)
     return out.select("vec_id", as_text("embedding").alias("point"))
 
 
-@query("mean_shift")
+@query("mean_shift", f"{_shift_sql(_VECTORS, 2.5, 5)} SELECT id AS vec_id, {sql_text('v')} AS point FROM p5")
 def _(t):
-    out = V.mean_shift(t.embeddings, "vec_id", "embedding", 2.5, 5)
+    out = mean_shift(t.embeddings, "vec_id", "embedding", 2.5, 5)
     return out.select("vec_id", as_text("embedding").alias("point"))
 
 
+# Customers by account balance and nation: most cells are too far apart to weigh anything.
+_SPOTS = "p0 AS (SELECT c_custkey AS id, [c_acctbal / 100.0::DOUBLE, c_nationkey * 10.0::DOUBLE] AS v FROM customer)"
+
+
+@query("mean_shift_cells", f"{_shift_sql(_SPOTS, 1.5, 5)} SELECT id, {sql_text('v')} AS point, true AS few_weighed FROM p5")
+def _(t):
+    spots = t.customer.select(F.col("c_custkey").alias("id"), F.array(F.col("c_acctbal") / 100.0, F.col("c_nationkey") * 10.0).alias("v"))
+    moved = shift(spots, "id", "v", 1.5, 5, block_rows=200)
+    return moved.points.select("id", as_text("v").alias("point"), F.lit(moved.weighed < 0.5 * moved.pairs).alias("few_weighed"))
+
+
 @query("map_space")
 def _(t):
     halves = t.embeddings.select("vec_id", F.slice("embedding", 1, 32).alias("x"), F.slice("embedding", 33, 32).alias("y"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fernwick.operators import ordered as O
 from fernwick.operators import relational as R
 from fernwick.operators import vectors as V
+from fernwick.operators.shift import mean_shift, shift
 from fernwick.operators import windows as W
 
 
@@ -156,10 +157,31 @@ def test_mean_shift(points, block):
     for _ in range(2):
         w = np.exp(-0.5 * ((x[:, None] - x[None]) ** 2).sum(2) / 2.5**2)
         x = w @ x / w.sum(1, keepdims=True)
-    got = V.mean_shift(table, "id", "vec", 2.5, 2, block_rows=block).collect()
+    got = mean_shift(table, "id", "vec", 2.5, 2, block_rows=block).collect()
     assert np.allclose(np.stack([r["vec"] for r in sorted(got)]), x)
 
 
+def test_mean_shift_leaves_far_cells_out(spark):
+    rng = np.random.default_rng(3)
+    m = np.concatenate([c + rng.normal(size=(30, 2)) for c in rng.uniform(0, 400, size=(20, 2))] + [np.zeros((100, 2))])
+    table = spark.createDataFrame([(f"p{k:04d}", v.tolist(), k) for k, v in enumerate(m)], "id string, vec array<double>, cell int")
+    x = m.copy()
+    for _ in range(5):
+        w = np.exp(-0.5 * ((x[:, None] - x[None]) ** 2).sum(2) / 1.5**2)
+        x = w @ x / w.sum(1, keepdims=True)
+    moved = shift(table, "id", "vec", 1.5, 5, block_rows=64)
+    assert np.allclose(np.stack([r["vec"] for r in sorted(moved.points.collect())]), x, rtol=0, atol=1e-9)
+    assert moved.pairs == 5 * 700**2 and moved.weighed < 0.3 * moved.pairs
+
+
+def test_farthest_first_with_string_ids(spark):
+    rows = [("b", [0.0]), ("z", [5.0]), ("a", [1.0]), ("y", [-3.0]), ("c", [5.0]), ("d", [2.0])]
+    df = spark.createDataFrame(rows, "name string, vec array<double>")
+    # From 1: 5 and -3 are equally far, "c" stands before "y" and "z"; then -3, then 2 (3 away, like nothing else).
+    assert V.farthest_first(df, "name", "vec", 3).ravel().tolist() == [5.0, -3.0, 1.0]
+    assert V.kmeans(df, "name", "vec", 2)[1].count() == 6
+
+
 def test_kmeans(points):
     m, table = points
     centres, rows = V.kmeans(table, "id", "vec", 4)
