@@ -191,7 +191,15 @@ def test_divergence(spark, seed):
     assert divergence.divergence(df.filter("false")).count() == 0
 
 
-def test_term_counts_both_ways(spark):
-    df = spark.createDataFrame(sourced(3), "text string, lang string, source string").repartition(3)
-    ways = [sorted(map(tuple, divergence.term_counts(df, 4, broadcast_rows=b, slice_words=s).collect())) for b, s in ((1000, 10**6), (0, 20))]
-    assert ways[0] == ways[1] and ways[0]
+def test_term_counts_of_any_slices(spark):
+    df = spark.createDataFrame(sourced(3), "text string, lang string, source string")
+    ways = [sorted(map(tuple, divergence.term_counts(df.repartition(p), 4, slice_words=s).collect())) for p, s in ((1, 10**6), (3, 20), (5, 1))]
+    assert ways[0] == ways[1] == ways[2] and ways[0]
+
+
+def test_a_term_of_many_batches(spark):
+    # Each chunk is another one, all hold one term; its rows fill several Arrow batches and wait for each other.
+    rows = [(" ".join(f"x{k}-{i}" for i in range(400)), "en", "ab"[k % 2]) for k in range(300)]
+    df = spark.createDataFrame(rows, "text string, lang string, source string")
+    assert sorted(map(tuple, divergence.term_counts(df, 300).collect())) == [("en", "a", "x", 60_000), ("en", "b", "x", 60_000)]
+    assert divergence.term_counts(df, 301).count() == 0
