@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -58,8 +59,11 @@ def forget_worker_cache(kind: str = "") -> None:
     """Free what `worker_cache` has kept in this process under names that begin with ``kind``: before another one of its
     kind, and in tasks that need the memory for other things."""
     kept = sys.modules.setdefault("_fernwick_worker", types.ModuleType("_fernwick_worker")).__dict__
-    for name in [n for n in kept if not n.startswith("__") and n.startswith(kind)]:
+    names = [n for n in kept if not n.startswith("__") and n.startswith(kind)]
+    for name in names:
         del kept[name]
+    if names:
+        gc.collect()  # encoders hold cycles, which stay until they are looked for
 
 
 def summed_arrays(df: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
