@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,23 +20,72 @@ from fernwick.session import cut_lineage
 
 # A list of kept terms up to this many rows (some tens of MB) is sent to every task.
 DICTIONARY_ROWS = 1_000_000
+DICTIONARY_BYTES = 128_000_000
 
 # The four special tokens at ids 0 to 3.
 SPECIALS = ("_bos_", "_pad_", "_eos_", "_unk_")
 
+# Counts up to this one have a bin of their own; beyond, each doubling has 64.
+_EXACT = 4096
+# Up to so many rows are numbered by a window; more by a distributed sort.
+_WINDOW_ROWS = 100_000
+# Counters of the sketch that leaves rare terms out.
+_SKETCH = 1 << 20
+
+
+def _bin(n: str):
+    wide = F.floor((F.log2(F.col(n).cast("double")) - 12) * 64) + _EXACT
+    return F.when(F.col(n) <= _EXACT, F.col(n)).otherwise(F.greatest(wide, F.lit(_EXACT))).cast("long")
+
+
+def _cut(counts: DataFrame, size: int, n: str) -> tuple[int, int] | None:
+    """The bin that the ``size``-th largest count lies in, and how many rows of it belong to the ``size`` largest; null if
+    there are fewer rows. A few thousand bins reach the driver."""
+    found = sorted(((r["b"], r["rows"]) for r in counts.groupBy(_bin(n).alias("b")).agg(F.count("*").alias("rows")).collect()), reverse=True)
+    left = size
+    for b, rows in found:
+        if rows >= left:
+            return b, left
+        left -= rows
+    return None
+
+
+def most_frequent(counts: DataFrame, size: int, col: str, n: str = "n") -> DataFrame:
+    """The ``size`` rows of the largest counts ``n``; ties go to the smaller ``col``.
+
+    A histogram of the counts tells where the cut lies. All rows above it stay where they are; only rows at the cut are
+    put in order, by a distributed sort: no task gets the best rows of all the others.
+    """
+    counts = cut_lineage(counts)
+    cut = _cut(counts, size, n) if size > 0 else (1 << 62, 0)
+    if cut is None:
+        return counts
+    b, need = cut
+    above, at = counts.filter(_bin(n) > b), counts.filter(_bin(n) == b)
+    if not need:
+        return above
+    placed = global_position(at, [F.desc(n), F.asc(col)], "_place")
+    return above.unionByName(placed.filter(F.col("_place") < need).drop("_place"))
+
+
+def _numbered(rows: DataFrame, order: Sequence, name: str, size: int) -> DataFrame:
+    """0-based places of at most ``size`` rows."""
+    if size <= _WINDOW_ROWS:
+        return rows.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
+    return global_position(rows, order, name)
+
+
 def build_vocab(tokens: DataFrame, max_vocab: int = 50000, min_freq: int = 0,
                 specials: Sequence[str] = SPECIALS, col: str = "token") -> DataFrame:
     """``(token, id, n)``: special tokens, then tokens by count.
 
-    The ``max_vocab`` most frequent tokens are taken first, then those with a count above
-    ``min_freq`` are kept. The result never has more than ``max_vocab`` rows plus the specials, and
-    each task passes at most ``max_vocab`` counted tokens on.
+    The ``max_vocab`` most frequent tokens are taken first, then those with a count above ``min_freq`` are kept, which
+    is the same the other way round. The result never has more than ``max_vocab`` rows plus the specials.
     """
     counts = tokens.groupBy(F.col(col).alias("token")).agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.desc("n"), "token").limit(max_vocab).filter(F.col("n") > min_freq)
-    # The window runs over at most max_vocab rows.
-    ranked = top.select("token", (F.row_number().over(Window.orderBy(F.desc("n"), "token"))
-                                  - 1 + len(specials)).cast("long").alias("id"), "n")
+    top = most_frequent(counts.filter(F.col("n") > min_freq), max_vocab, "token")
+    ranked = _numbered(top, [F.desc("n"), F.asc("token")], "_place", max_vocab).select(
+        "token", (F.col("_place") + len(specials)).cast("long").alias("id"), "n")
     marks = tokens.sparkSession.createDataFrame(
         [(s, i, None) for i, s in enumerate(specials)], "token string, id long, n long")
     return marks.unionByName(ranked) if specials else ranked
@@ -97,9 +148,8 @@ def resample_vocab(ids: DataFrame, size: int, col: str = "token_id") -> DataFram
     Ids that are not listed map to 0. The result has at most ``size`` + 2 rows.
     """
     counts = ids.groupBy(col).agg(F.count("*").alias("n"))
-    top = counts.orderBy(F.desc("n"), col).limit(size)
-    place = F.row_number().over(Window.orderBy(F.desc("n"), col)) + 1
-    ranked = top.select(F.col(col).alias("old_id"), place.cast("long").alias("new_id"))
+    top = _numbered(most_frequent(counts, size, col), [F.desc("n"), F.asc(col)], "_place", size)
+    ranked = top.select(F.col(col).alias("old_id"), (F.col("_place") + 2).cast("long").alias("new_id"))
     fixed = ids.sparkSession.createDataFrame([(0, 0), (1, 1)], "old_id long, new_id long")
     # A kept id that is frequent again takes its later place.
     rest = fixed.join(ranked.select("old_id"), "old_id", "left_anti")
@@ -108,19 +158,64 @@ def resample_vocab(ids: DataFrame, size: int, col: str = "token_id") -> DataFram
 
 def doc_term(df: DataFrame, tokens: str, id_col: str, ngram_range: tuple[int, int] = (1, 1),
              max_features: int | None = None) -> DataFrame:
-    """``(id, term, n)`` counts of lower-cased n-grams, of the ``max_features`` most frequent terms."""
+    """``(id, term, n)`` counts of lower-cased n-grams, of the ``max_features`` most frequent terms (ties go to the
+    smaller term)."""
     lo, hi = ngram_range
     low = df.select(id_col, F.transform(tokens, F.lower).alias("_t"))
-    grams = F.flatten(F.array(*[ngrams(F.col("_t"), n) for n in range(lo, hi + 1)])) if (lo, hi) != (1, 1) else F.col("_t")
-    terms = low.select(id_col, F.explode(grams).alias("term"))
-    if max_features is not None:
-        # The terms alone are counted first; the others are filtered out before (id, term) pairs are shuffled.
-        totals = terms.groupBy("term").agg(F.count("*").alias("_n"))
-        kept = totals.orderBy(F.desc("_n"), "term").limit(max_features).select("term")
-        # Their number is a parameter, which bounds the broadcast.
-        kept = F.broadcast(cut_lineage(kept)) if max_features <= DICTIONARY_ROWS else kept
-        terms = terms.join(kept, "term", "left_semi")
-    return terms.groupBy(id_col, "term").agg(F.count("*").alias("n")).select(id_col, "term", "n")
+    if max_features is None:
+        grams = F.flatten(F.array(*[ngrams(F.col("_t"), n) for n in range(lo, hi + 1)])) if (lo, hi) != (1, 1) else F.col("_t")
+        return low.select(id_col, F.explode(grams).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("n"))
+    rows = cut_lineage(_row_terms(low, id_col, lo, hi))
+    terms = rows.select(id_col, F.explode(F.arrays_zip("terms", "counts")).alias("t")).select(id_col, F.col("t.terms").alias("term"), F.col("t.counts").alias("n"))
+    totals = _without_rare(terms, id_col, max_features).groupBy("term").agg(F.sum("n").alias("_n"))
+    kept = cut_lineage(most_frequent(totals, max_features, "term", "_n").select("term"))
+    # Sent to all tasks if their number, a parameter, and their bytes allow it.
+    size = kept.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
+    kept = F.broadcast(kept) if max_features <= DICTIONARY_ROWS and size <= DICTIONARY_BYTES else kept
+    out = terms.join(kept, "term", "left_semi")
+    # A row is counted in its task; only ids that several rows have ask for a sum.
+    if low.groupBy(id_col).count().filter("count > 1").isEmpty():
+        return out.select(id_col, "term", "n")
+    return out.groupBy(id_col, "term").agg(F.sum("n").alias("n"))
+
+
+def _row_terms(low: DataFrame, id_col: str, lo: int, hi: int) -> DataFrame:
+    """Per row its distinct n-grams (``terms``) and how often each occurs (``counts``), counted on Arrow batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = []
+                for words in part.column(1).to_pylist():
+                    words = words or []
+                    found.append(Counter(chain.from_iterable(
+                        words if n == 1 else map(" ".join, zip(*(words[k:] for k in range(n)))) for n in range(lo, hi + 1))))
+                ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.ListArray.from_arrays(ends, pa.array(list(chain.from_iterable(found)), pa.string())),
+                     pa.ListArray.from_arrays(ends, pa.array([n for c in found for n in c.values()], pa.int64()))], names=[id_col, "terms", "counts"])
+
+    kind = T.StructType([low.schema[id_col], T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("counts", T.ArrayType(T.LongType()))])
+    return low.mapInArrow(run, kind)
+
+
+def _without_rare(terms: DataFrame, id_col: str, size: int, share: int = 16) -> DataFrame:
+    """``terms`` (``term``, ``n``) without most of those that cannot be among the ``size`` most frequent.
+
+    The ``size``-th largest count within a sixteenth of the ids is a lower bound of the one within all of them. Hashed
+    counters, each the sum of the terms that fall on it, are upper bounds of single terms. A term whose counter stays
+    below the lower bound goes before any term is shuffled; no kept term can.
+    """
+    some = terms.filter(F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(share)) == 0)
+    cut = _cut(cut_lineage(some.groupBy("term").agg(F.sum("n").alias("n"))), size, "n")
+    if cut is None or cut[0] < 2:
+        return terms
+    # The least count of a bin beyond the exact ones, with room for rounding.
+    least = cut[0] if cut[0] < _EXACT else int(2 ** ((cut[0] - _EXACT - 1) / 64 + 12))
+    place = F.pmod(F.xxhash64("term"), F.lit(_SKETCH))
+    heavy = terms.groupBy(place.alias("_place")).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("_place")
+    return terms.withColumn("_place", place).join(F.broadcast(heavy), "_place", "left_semi").drop("_place")
 
 
 def binarize(counts: DataFrame) -> DataFrame:
