@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from fernwick.operators.evaluate import rmse
 from fernwick.operators.features import dense_index
-from fernwick.operators.ordered import running_totals
+from fernwick.operators.ordered import average_ranks, running_totals
 from fernwick.operators.relational import top_bottom
 from fernwick.operators.vectors import attach_metadata, knn
 from fernwick.session import cut_lineage
@@ -37,15 +37,11 @@ def best_split(df: DataFrame, features: Sequence[str], target: str, min_leaf: in
         for c in features])))
     groups = long.groupBy("feature", "x").agg(
         F.count("*").alias("_n"), F.sum("y").alias("_s"), F.sum(F.col("y") * F.col("y")).alias("_s2"))
-    upto = running_totals(groups, ["feature", "x"], {"n": "_n", "s": "_s", "s2": "_s2"})
-    # Every feature has the same totals, so its own sums are those of the whole run minus a multiple.
-    sums = long.filter(F.col("feature") == features[0]).agg(
-        F.struct(F.count("*").alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("s2"))
-    ).scalar()
-    place = F.array_position(F.array(*[F.lit(c) for c in sorted(features)]), F.col("feature")) - 1
-    left = {c: F.col(c) - place * sums[c] for c in ("n", "s", "s2")}
-    rows = upto.select("feature", "x", *[c.alias(k) for k, c in left.items()],
-                       *[(sums[k] - c).alias(f"r_{k}") for k, c in left.items()])
+    upto = running_totals(groups, ["x"], {"n": "_n", "s": "_s", "s2": "_s2"}, ["feature"])
+    # One row per feature.
+    whole = groups.groupBy("feature").agg(*[F.sum(f"_{c}").alias(f"_t_{c}") for c in ("n", "s", "s2")])
+    rows = upto.join(F.broadcast(whole), "feature").select(
+        "feature", "x", "n", "s", "s2", *[(F.col(f"_t_{c}") - F.col(c)).alias(f"r_{c}") for c in ("n", "s", "s2")])
 
     def spread(n, s, s2):
         return F.col(n) * F.sqrt(F.greatest(F.col(s2) / F.col(n) - F.pow(F.col(s) / F.col(n), 2), F.lit(0.0)))
@@ -135,23 +131,18 @@ def adversarial_validation(train: DataFrame, valid: DataFrame, cols: Sequence[st
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(a, b, rho)``: correlation of average ranks for each pair of columns.
+    """``(a, b, rho)``: correlation of average ranks for each pair of columns, over the rows without a null.
 
-    Ranks come from running totals over sorted (column, value, count) rows. They are joined back
-    by value, and one aggregation gives all correlations.
+    All columns are sorted together as (column, value, row), ranks are made in the sorted blocks, and rows are put
+    together again once, by their number.
     """
     cols = list(cols)
-    known = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    counts = known.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("c"), F.col(c).alias("v")) for i, c in enumerate(cols)]))).groupBy(
-        "c", "v").agg(F.count("*").alias("n"))
-    total = known.agg(F.count("*")).scalar()
-    ranks = running_totals(counts, ["c", "v"], {"upto": "n"}).select(
-        "c", "v", (F.col("upto") - F.col("c") * total - (F.col("n") - 1) / 2).alias("rank"))
-    ranked = known
-    for i, c in enumerate(cols):
-        mine = ranks.filter(F.col("c") == i).select(F.col("v").alias(c), F.col("rank").alias(f"_r{i}"))
-        ranked = ranked.join(mine, c)
+    known = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna())
+    # The checkpoint keeps the numbers as they are.
+    long = known.withColumn("_row", F.monotonically_increasing_id()).select("_row", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(c).alias("v")) for i, c in enumerate(cols)])))
+    ranks = average_ranks(long, ["c"], "v", "_row")
+    ranked = ranks.groupBy("_row").agg(*[F.max(F.when(F.col("c") == i, F.col("rank"))).alias(f"_r{i}") for i in range(len(cols))])
     pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols))]
     row = ranked.agg(*[F.corr(f"_r{i}", f"_r{j}").alias(f"_{i}_{j}") for i, j in pairs])
     return row.select(F.inline(F.array(*[

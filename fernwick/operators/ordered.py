@@ -8,10 +8,12 @@ only one summary row per block is needed to turn slots into global positions.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fernwick.session import cut_lineage, same_keys_join
 
@@ -49,25 +51,72 @@ def global_position(df: DataFrame, order: Sequence, name: str = "pos") -> DataFr
     )
 
 
-def running_totals(df: DataFrame, order: Sequence, totals: Mapping[str, str]) -> DataFrame:
-    """Add inclusive running sums ``{new column: summed column}`` in the given total order."""
-    blocks = sorted_blocks(df, order)
-    sums = blocks.groupBy("_block").agg(*[F.sum(c).alias(f"_s_{n}") for n, c in totals.items()])
+def running_totals(
+    df: DataFrame, order: Sequence, totals: Mapping[str, str], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Add inclusive running sums ``{new column: summed column}`` in the given total order, which begins anew for each
+    of ``keys``; the sums of one key are never part of another's."""
+    keys = list(keys)
+    blocks = sorted_blocks(df, [*keys, *order])
+    sums = blocks.groupBy("_block", *keys).agg(*[F.sum(c).alias(f"_s_{n}") for n, c in totals.items()])
     starts = sums.select(
-        "_block", *[_before(sums, f"_s_{n}", "_block").alias(f"_c_{n}") for n in totals]
+        "_block", *keys, *[_before(sums, f"_s_{n}", "_block", keys).alias(f"_c_{n}") for n in totals]
     )
     inside = (
-        Window.partitionBy("_block")
+        Window.partitionBy("_block", *keys)
         .orderBy("_slot")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # One row per block, as above.
-    out = blocks.join(F.broadcast(starts), "_block")
+    # One row per block, and at most one more per key.
+    out = same_keys_join(blocks, starts, ["_block", *keys]) if keys else blocks.join(F.broadcast(starts), "_block")
     return out.withColumns(
         {n: F.col(f"_c_{n}") + F.sum(c).over(inside) for n, c in totals.items()}
     ).drop("_block", "_slot", *[f"_c_{n}" for n in totals])
 
 
+def average_ranks(df: DataFrame, keys: Sequence[str], value: str, row: str, name: str = "rank") -> DataFrame:
+    """Add the average rank (from 1) of each row's ``value`` within its key; ``row`` tells rows apart.
+
+    Rows are range-sorted by key, value and row, so a heavy value is spread over several blocks, and equal values get
+    their rank where they lie. Only values at the edge of a block can go on in another one: their places, two values
+    a block and key at most, are summed up and sent to all blocks. No row is joined by its value.
+    """
+    keys = list(keys)
+    blocks = sorted_blocks(df.select(*keys, value, row), [*keys, value, row])
+    parts = blocks.groupBy("_block", *keys).agg(
+        F.count("*").alias("_n"), F.min("_slot").alias("_first"), F.min(value).alias("_low"), F.max(value).alias("_high"))
+    parts = cut_lineage(parts)
+    starts = parts.select("_block", *keys, (_before(parts, "_n", "_block", keys) - F.col("_first")).alias("_shift"))
+    edges = parts.select(*keys, F.explode(F.array("_low", "_high")).alias(value)).distinct()
+    placed = blocks.join(F.broadcast(starts), ["_block", *keys]).withColumn("_at", F.col("_slot") + F.col("_shift"))
+    wide = placed.join(F.broadcast(edges), [*keys, value]).groupBy(*keys, value).agg(((F.min("_at") + F.max("_at")) / 2 + 1).alias("_wide"))
+
+    schema = T.StructType([*[f for f in placed.schema if f.name in (*keys, value, row)], T.StructField(name, T.DoubleType())])
+    names = [f.name for f in schema]
+
+    def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
+        for pdf in batches:
+            pdf = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
+            if not len(pdf):
+                continue
+            # The last value may go on in the next batch.
+            last = (pdf[[*keys, value]] == pdf[[*keys, value]].iloc[-1]).all(axis=1).to_numpy()
+            whole, kept = pdf[~last], pdf[last]
+            if len(whole):
+                yield _ranked(whole)
+        if kept is not None and len(kept):
+            yield _ranked(kept)
+
+    def _ranked(pdf: pd.DataFrame) -> pd.DataFrame:
+        at = pdf.groupby([*keys, value], sort=False)["_at"]
+        return pdf.assign(**{name: (at.transform("min") + at.transform("max")) / 2 + 1})[names]
+
+    ranked = placed.select(*[n for n in names if n != name], "_at").mapInPandas(rank, schema)
+    out = ranked.join(F.broadcast(wide), [*keys, value], "left")
+    return out.withColumn(name, F.coalesce("_wide", name)).drop("_wide")
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataFrame:
     """Keys with more than ``limit`` rows; there can be no more than rows / limit of them."""
     return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit).select(*keys)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import chain
@@ -9,7 +10,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -218,6 +219,26 @@ def _without_rare(terms: DataFrame, id_col: str, size: int, share: int = 16) ->
     return terms.withColumn("_place", place).join(F.broadcast(heavy), "_place", "left_semi").drop("_place")
 
 
+def bow_rows(counts: DataFrame, id_col: str, max_len: int, docs: DataFrame | None = None) -> DataFrame:
+    """``(id, terms, counts, length)``: sparse rows of a term-document table (``term``, ``n``), ready to be stacked.
+
+    Terms are numbered from 1 in their order; a row lists its terms and their counts in that order, the last
+    ``max_len`` of them, with zeros in front up to ``max_len``; ``length`` is the number of terms listed. Rows of
+    ``docs`` without a term have zeros alone.
+    """
+    numbered = global_position(counts.select("term").distinct(), ["term"], "_place")
+    placed = counts.join(numbered, "term").select(id_col, (F.col("_place") + 1).alias("_t"), F.col("n").cast("long").alias("_n"))
+    # A group is what one row of the table was before.
+    rows = placed.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("_t", "_n"))).alias("_row"))
+    if docs is not None:
+        rows = docs.select(id_col).join(rows, id_col, "left")
+    rows = rows.withColumn("_row", F.coalesce("_row", F.array().cast("array<struct<_t:bigint,_n:bigint>>")))
+    last = F.slice("_row", F.greatest(F.size("_row") - max_len + 1, F.lit(1)), F.lit(max_len))
+    rows = rows.withColumn("_row", last).withColumn("length", F.size("_row"))
+    zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(max_len) - F.col("length"))
+    return rows.select(id_col, F.concat(zeros, F.col("_row._t")).alias("terms"), F.concat(zeros, F.col("_row._n")).alias("counts"), "length")
+
+
 def binarize(counts: DataFrame) -> DataFrame:
     return counts.withColumn("n", F.signum("n").cast("long"))
 
@@ -251,6 +272,64 @@ def concat_corpus(df: DataFrame, tokens: str, id_col: str, eos: str = "<eos>") -
         (F.col("start") + F.col("_i")).alias("pos"), "token")
 
 
+def stream_windows(df: DataFrame, seq: str, id_col: str, width: int, step: int = 1) -> DataFrame:
+    """``(pos, items, next)``: windows of ``width`` items over the concatenated stream, every ``step`` positions from 0, as
+    long as an item follows. Windows go on through the ends of documents.
+
+    A window belongs to the document that it begins in. That document takes the ``width`` items behind its end from its
+    followers, however many they are: only the first ``width`` items of each document can be such, and they are looked
+    up by blocks of ``width`` positions, two for each end. Empty documents hold no position; ids must not repeat.
+    """
+    starts = stream_starts(df, seq, id_col).filter("n > 0")
+    total = starts.agg(F.sum("n")).scalar()
+    docs = df.select(id_col, F.col(seq).alias("_seq")).join(starts, id_col)
+    heads = docs.select("start", F.posexplode(F.slice("_seq", 1, width)).alias("_i", "_item"))
+    heads = heads.select((F.col("start") + F.col("_i")).alias("_p"), "_item")
+    blocks = heads.groupBy(F.expr(f"_p div {width}").alias("_b")).agg(F.collect_list(F.struct("_p", "_item")).alias("_heads"))
+    ends = starts.select(id_col, (F.col("start") + F.col("n")).alias("_end"))
+    asked = ends.select(id_col, "_end", F.explode(F.array(F.expr(f"_end div {width}"), F.expr(f"_end div {width} + 1"))).alias("_b"))
+    behind = asked.join(blocks, "_b").groupBy(id_col, "_end").agg(F.flatten(F.collect_list("_heads")).alias("_h"))
+    halo = behind.select(id_col, F.transform(F.sort_array(F.filter(
+        "_h", lambda x: (x["_p"] >= F.col("_end")) & (x["_p"] < F.col("_end") + width))), lambda x: x["_item"]).alias("_halo"))
+    rows = docs.join(halo, id_col, "left").select(
+        "start", "n", F.concat("_seq", F.coalesce("_halo", F.slice("_seq", 1, 0))).alias("_seq"))
+    first = (F.ceil(F.col("start") / step) * step - F.col("start")).cast("int")
+    last = F.least(F.col("n"), total - width - F.col("start")).cast("int") - 1
+    begins = F.when(last >= first, F.sequence(first, last, F.lit(step)))
+    found = rows.select("start", "_seq", F.explode(begins).alias("_at"))
+    return found.select((F.col("start") + F.col("_at")).alias("pos"), F.slice("_seq", F.col("_at") + 1, F.lit(width)).alias("items"),
+                        F.get("_seq", F.col("_at") + width).alias("next"))
+
+
+def drawn_windows(spark: SparkSession, rows: int, bptt: int, seed: str = "windows") -> DataFrame:
+    """``(window, start, length)``: windows of drawn lengths over ``rows`` rows, of which the last is a target only.
+
+    The first has ``bptt`` + 25 rows; later ones are drawn around ``bptt``, one in twenty around half of it, with
+    deviation 5 and at least 5 rows; there are at most ``rows // bptt - 1``. Draws are hashes of seed and window.
+    """
+    share = lambda what: (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|{what}|"), F.col("id").cast("string"))), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+    normal = F.sqrt(-2 * F.log(share("radius"))) * F.cos(share("angle") * (2 * math.pi))
+    mean = F.when(share("half") < 0.95, float(bptt)).otherwise(bptt / 2)
+    size = F.when(F.col("id") == 0, F.lit(bptt + 25)).otherwise(F.greatest(F.lit(5), (mean + 5 * normal).cast("long"))).cast("long")
+    drawn = running_totals(spark.range(max(0, rows // bptt - 1)).withColumn("_n", size), ["id"], {"_end": "_n"})
+    found = drawn.select(F.col("id").alias("window"), (F.col("_end") - F.col("_n")).alias("start"), F.col("_n").alias("length"))
+    return found.filter(F.col("start") < rows - 1).withColumn("length", F.least("length", F.lit(rows - 1) - F.col("start")))
+
+
+def lm_stream_drawn(df: DataFrame, ids: str, id_col: str, bs: int, bptt: int, seed: str = "windows", backwards: bool = False) -> DataFrame:
+    """`lm_stream` with windows of drawn lengths. Rows behind the last window are left out.
+
+    A row finds its window by blocks of ``bptt`` rows: each window is listed once for every block it touches.
+    """
+    stream = lm_stream(df, ids, id_col, bs, bptt, backwards).drop("window")
+    rows = (df.agg(F.sum(F.greatest(F.size(ids), F.lit(0)).cast("long"))).first()[0] or 0) // bs
+    windows = drawn_windows(df.sparkSession, rows, bptt, seed).withColumn(
+        "_b", F.explode(F.expr(f"sequence(start div {bptt}, (start + length - 1) div {bptt})")))
+    met = stream.withColumn("_b", F.expr(f"row div {bptt}")).join(windows, "_b")
+    return met.filter((F.col("row") >= F.col("start")) & (F.col("row") < F.col("start") + F.col("length"))).select(
+        "col", "row", "window", (F.col("row") - F.col("start")).alias("place"), "id", "target")
+
+
 def lm_stream(df: DataFrame, ids: str, id_col: str, bs: int, bptt: int, backwards: bool = False) -> DataFrame:
     """Training windows over the concatenated id stream.
 

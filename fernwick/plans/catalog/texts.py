@@ -408,6 +408,45 @@ def _(t):
     return V.lm_stream(ids, "ids", "doc_id", bs=8, bptt=20, backwards=True)
 
 
+@query("stream_windows", rf"""
+    WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents), s AS (SELECT w, sum(len(w)) OVER (ORDER BY doc_id) - len(w) AS start FROM d WHERE len(w) > 0),
+    st AS (SELECT CAST(start + i AS BIGINT) AS pos, w[i + 1] AS token FROM (SELECT start, w, unnest(range(len(w))) AS i FROM s)),
+    k AS (SELECT pos, list(token) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS items, lead(token, 8) OVER (ORDER BY pos) AS "next" FROM st)
+    SELECT pos, array_to_string(items, ' ') AS items, "next" FROM k WHERE pos % 8 = 0 AND "next" IS NOT NULL""")
+def _(t):
+    return V.stream_windows(_docs(t), "w", "doc_id", 8, 8).withColumn("items", F.array_join("items", " "))
+
+
+def _draw(what):
+    return f"((CAST('0x' || substr(md5('windows|{what}|' || k), 1, 13) AS BIGINT) + 0.5::DOUBLE) / {float(1 << 52)}::DOUBLE)"
+
+
+@query("lm_stream_drawn", f"""
+    WITH {_STREAM}, z AS (SELECT pos, length(token) AS id FROM st), nb AS (SELECT count(*) // 8 AS nb FROM z),
+    g AS (SELECT unnest(range(nb // 20 - 1)) AS k, nb FROM nb),
+    l AS (SELECT k, nb, CASE WHEN k = 0 THEN 45 ELSE greatest(5, CAST(trunc(CASE WHEN {_draw('half')} < 0.95::DOUBLE THEN 20.0::DOUBLE ELSE 10.0::DOUBLE END
+          + 5 * sqrt(-2 * ln({_draw('radius')})) * cos({_draw('angle')} * (2 * pi()))) AS BIGINT)) END AS n FROM g),
+    b AS (SELECT k, nb, n, CAST(sum(n) OVER (ORDER BY k) - n AS BIGINT) AS start FROM l),
+    r AS (SELECT k, start, unnest(range(start, least(start + n, nb - 1))) AS "row" FROM b WHERE start < nb - 1)
+    SELECT a.pos // nb AS col, "row", k AS "window", "row" - start AS place, CAST(a.id AS INTEGER) AS id, CAST(b.id AS INTEGER) AS target
+    FROM nb, z a JOIN z b ON b.pos = a.pos + 1 JOIN r ON r."row" = a.pos % (SELECT nb FROM nb) WHERE a.pos < nb * 8""")
+def _(t):
+    ids = cut_lineage(t.documents.select("doc_id", F.transform(
+        F.concat(T.words("text"), F.array(F.lit("<eos>"))), F.length).alias("ids")))
+    return V.lm_stream_drawn(ids, "ids", "doc_id", bs=8, bptt=20)
+
+
+@query("bow_rows", f"""
+    WITH {_DT}, k AS (SELECT term, row_number() OVER (ORDER BY term) AS t FROM (SELECT DISTINCT term FROM dt)),
+    g AS (SELECT doc_id, list(t ORDER BY t) AS t, list(n ORDER BY t) AS n FROM dt JOIN k USING (term) GROUP BY 1),
+    c AS (SELECT doc_id, coalesce(t, [])[greatest(coalesce(len(t), 0) - 99, 1):] AS t, coalesce(n, [])[greatest(coalesce(len(n), 0) - 99, 1):] AS n FROM documents LEFT JOIN g USING (doc_id)),
+    p AS (SELECT *, list_transform(range(100 - len(t)), lambda i: 0) AS z FROM c)
+    SELECT doc_id, array_to_string(list_concat(z, t), ' ') AS terms, array_to_string(list_concat(z, n), ' ') AS counts, CAST(len(t) AS INTEGER) AS length FROM p""")
+def _(t):
+    rows = V.bow_rows(_terms(t), "doc_id", 100, t.documents)
+    return rows.select("doc_id", *[F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("terms", "counts")], "length")
+
+
 _CTX = rf"""w AS (SELECT {WORDS} AS w FROM documents), x AS (SELECT w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) > 2),
     c AS (SELECT w[i] || ' ' || w[i + 1] AS context, w[i + 2] AS "next", count(*) AS n FROM x GROUP BY ALL)"""
 
