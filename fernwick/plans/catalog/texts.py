@@ -24,9 +24,18 @@ def _(t):
     return t.documents.select("doc_id", T.tokenize_code("text").alias("tokens"))
 
 
-@query("tokenize_docstring", rf"""
-    SELECT doc_id, array_to_string(regexp_extract_all(lower(string_split(text, chr(10) || chr(10))[1]), '[{_W}]+|[^{_SP}{_W}]'), ' ') AS tokens
-    FROM documents""")
+def _rule_tokens(col):
+    """Candidates by the pattern, then each one split where an ending or a word written together asks for it."""
+    cases = " ".join([rf"WHEN regexp_matches(z, '(?i)^.+n[''’]t$') THEN [left(z, length(z) - 3), right(z, 3)]",
+                      r"WHEN regexp_matches(z, '(?i)^.+[''’](s|d|m)$') THEN [left(z, length(z) - 2), right(z, 2)]",
+                      r"WHEN regexp_matches(z, '(?i)^.+[''’](re|ve|ll)$') THEN [left(z, length(z) - 3), right(z, 3)]",
+                      *[f"WHEN lower(z) = '{w}' THEN [left(z, {k}), substr(z, {k + 1})]" for w, k in T.TOGETHER.items()]])
+    pattern = T.token_pattern().replace("'", "''").replace(r"\-", "-")
+    return f"flatten(list_transform(regexp_extract_all({col}, '{pattern}', 1), lambda z: CASE {cases} ELSE [z] END))"
+
+
+@query("tokenize_docstring", f"""
+    SELECT doc_id, lower(array_to_string({_rule_tokens("string_split(text, chr(10) || chr(10))[1]")}, ' ')) AS tokens FROM documents""")
 def _(t):
     return t.documents.select("doc_id", T.join_tokens(T.tokenize_docstring("text")).alias("tokens"))
 
@@ -46,12 +55,41 @@ def _(t):
     return t.pages.select("page_id", T.sub_br("html").alias("html"))
 
 
-@query("mark_char_repeats")
+# Runs of equal characters are islands: their place minus their rank among equal ones stays the same.
+_CHAR_REPEATS = rf"""
+    ch AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?s).')) AS c, unnest(range(length(text))) AS i FROM documents),
+    isl AS (SELECT doc_id, c, i - row_number() OVER (PARTITION BY doc_id, c ORDER BY i) AS k, i FROM ch),
+    run AS (SELECT doc_id, c, min(i) AS place, count(*) AS n FROM isl GROUP BY doc_id, c, k),
+    reps AS (SELECT doc_id, string_agg(CASE WHEN n >= 4 AND NOT regexp_matches(c, '[{_SP}]') THEN ' tk_rep ' || n || ' ' || c || ' ' ELSE repeat(c, n) END, '' ORDER BY place) AS text
+             FROM run GROUP BY 1 UNION ALL SELECT doc_id, text FROM documents WHERE text = '')"""
+
+# A unit is a word with the signs behind it. Equal neighbours are islands; the unit behind an island belongs to it too if
+# it begins like the others (its signs go on), and what is left of it stays.
+_WORD_REPEATS = rf"""
+    pre AS (SELECT doc_id, text, regexp_extract(text, '^[^{_W}]+') AS head, regexp_extract(text, '[{_W}]+$') AS tail FROM reps),
+    u AS (SELECT doc_id, unnest(regexp_extract_all(text, '[{_W}]+[^{_W}]+')) AS u, unnest(range(len(regexp_extract_all(text, '[{_W}]+[^{_W}]+')))) AS i FROM pre),
+    ui AS (SELECT doc_id, u, i - row_number() OVER (PARTITION BY doc_id, u ORDER BY i) AS k, i FROM u),
+    ur AS (SELECT doc_id, u, min(i) AS place, count(*) AS n FROM ui GROUP BY doc_id, u, k),
+    ux AS (SELECT *, n >= 3 AND coalesce(starts_with(lead(u) OVER w, u), false) AS more, lead(u) OVER w AS behind FROM ur WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+    uy AS (SELECT *, coalesce(lag(more) OVER w, false) AS lost, lag(u) OVER w AS before FROM ux WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+    uz AS (SELECT *, n - CAST(lost AS INT) AS own, n - CAST(lost AS INT) + CAST(more AS INT) AS m FROM uy),
+    wreps AS (SELECT doc_id, string_agg(CASE WHEN lost THEN substr(u, length(before) + 1) ELSE '' END
+        || CASE WHEN m >= 4 THEN ' tk_wrep ' || (len(list_filter(regexp_split_to_array(repeat(u, m - 1), '[{_SP}]+'), lambda z: z <> '')) + 1) || ' ' || u || ' ' ELSE repeat(u, own) END, '' ORDER BY place) AS text
+        FROM uz GROUP BY 1),
+    words AS (SELECT doc_id, head || coalesce(w.text, '') || tail AS text FROM pre LEFT JOIN wreps w USING (doc_id) WHERE pre.text <> tail
+        UNION ALL SELECT doc_id, text FROM pre WHERE text = tail)"""
+
+_CAPS = rf"""array_to_string(list_transform(regexp_extract_all(text, '[{_W}]+|[^{_W}]+'), lambda w:
+        CASE WHEN w = upper(w) AND w <> lower(w) AND length(w) > 2 THEN ' t_up ' || lower(w) ELSE lower(w) END), '')"""
+
+
+@query("mark_char_repeats", f"WITH {_CHAR_REPEATS} SELECT doc_id, text FROM reps")
 def _(t):
     return t.documents.select("doc_id", T.mark_char_repeats("text").alias("text"))
 
 
-@query("mark_word_repeats")
+@query("mark_word_repeats", f"""
+    WITH reps AS (SELECT doc_id, text FROM documents), {_WORD_REPEATS} SELECT doc_id, text FROM words""")
 def _(t):
     return t.documents.select("doc_id", T.mark_word_repeats("text").alias("text"))
 
@@ -63,7 +101,12 @@ def _(t):
     return t.documents.select("doc_id", T.mark_caps("text").alias("text"))
 
 
-@query("proc_text")
+_MARKED = r"regexp_replace(regexp_replace(regexp_replace(text, '([/#])', ' \1 ', 'g'), ' {2,}', ' ', 'g'), '(?i)<[\s\x0b]*br[\s\x0b]*/?>', chr(10), 'g')"
+
+
+@query("proc_text", f"""
+    WITH {_CHAR_REPEATS}, {_WORD_REPEATS}, caps AS (SELECT doc_id, {_CAPS} AS text FROM words), marked AS (SELECT doc_id, {_MARKED} AS text FROM caps)
+    SELECT doc_id, array_to_string({_rule_tokens("text")}, ' ') AS tokens FROM marked""")
 def _(t):
     return t.documents.select("doc_id", T.join_tokens(T.proc_text("text")).alias("tokens"))
 
@@ -80,7 +123,9 @@ def _(t):
     return t.pages.select("page_id", T.repair_literals("html").alias("html"))
 
 
-@query("fixup")
+# The entities that pages hold: two names, and one that lost its end.
+@query("fixup", f"""
+    SELECT page_id, regexp_replace(replace(replace(replace({_replaced('html')}, '&copy;', '©'), '&middot;', '·'), '&amp', '&'), '  +', ' ', 'g') AS html FROM pages""")
 def _(t):
     return t.pages.select("page_id", T.fixup("html").alias("html"))
 

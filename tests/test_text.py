@@ -50,6 +50,41 @@ def check(spark, texts):
     assert run(spark, texts, T.tokenize("s")) == [plain(s) for s in texts]
 
 
+def rules(s):
+    """Plain version: the longest candidate without spaces is cut step by step."""
+    out = []
+    while s:
+        if s[0].isspace():
+            s = s[1:]
+            continue
+        whole = [w for w in T.WHOLE if s.lower().startswith(w)]
+        m = (re.match(r"(?:https?|ftp)://\S+", s) or re.match(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+", s) or re.match(r"\d+(?:[.,/:]\d+)+", s)
+             or re.match(r"\w+(?:\.(?:[^\W\dA-ZÀ-ÖØ-Þ]|\d)\w*)*(?:['’]\w+)*", s) or re.match(r"\.\.+|--+", s) or re.match(r"\S", s))
+        t = s[:len(whole[0])] if whole else m[0]
+        s = s[len(t):]
+        cut = None
+        if re.fullmatch(r"(?is).+n['’]t", t):
+            cut = len(t) - 3
+        elif re.fullmatch(r"(?is).+['’](s|re|ve|ll|d|m)", t):
+            cut = max(t.rfind("'"), t.rfind("’"))
+        elif t.lower() in T.TOGETHER:
+            cut = T.TOGETHER[t.lower()]
+        out += [t] if cut is None else [t[:cut], t[cut:]]
+    return out
+
+
+TOKENS = [
+    "Don't say can't, won't or ISN'T; she's, they'll, I'd've", "cannot gonna Dont o'clock l'aile rock 'n' roll '90s", "e.g. this, i.e. Mr. X at 5 p.m. vs. co-op.",
+    "<eos> a <BOS> <unk>x", "see https://a.b/c?d=e&f. mail me.you+x@mail.example.org now", "1.5 1,000.25 1/2 3:45 v1.2.3 10km 3d", "os.path.join end.Next U.S.A. a..b ... -- --- a--b well-known",
+    "it’s n't 't 's don’t", "x_y.z __init__ f(x)=y[0]", "", "  \n", "a'b'c's", "tcan't cannotx",
+]
+
+
+def test_rule_tokens(spark):
+    assert run(spark, TOKENS, T.rule_tokens("s")) == [rules(s) for s in TOKENS]
+    assert run(spark, ["Don't use os.path, e.g. can't!"], T.tokenize_docstring("s")) == [["do", "n't", "use", "os.path", ",", "e.g.", "ca", "n't", "!"]]
+
+
 def test_cases(spark):
     check(spark, CASES)
 
@@ -58,7 +93,7 @@ def test_whole_chain(spark):
     def chain(s):
         s = re.sub(r"([/#])", r" \1 ", caps(word_reps(reps(s))))
         s = re.sub(r"<\s*br\s*/?>", "\n", re.sub(" {2,}", " ", s), flags=re.I)
-        return re.findall(r"\w+|[^\s\w]", s)
+        return rules(s)
 
     assert run(spark, CASES, T.proc_text("s")) == [chain(s) for s in CASES]
 
