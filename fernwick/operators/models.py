@@ -95,14 +95,16 @@ def holdout_rmse(model, df: DataFrame, cols: Sequence[str], label: str) -> float
     return scored.agg(rmse("prediction", label)).first()[0]
 
 
-def drop_column_ablation(train: DataFrame, valid: DataFrame, cols: Sequence[str], label: str, **forest) -> DataFrame:
-    """``(dropped, rmse)``: the holdout error with all columns and without each of them."""
+def drop_column_ablation(train: DataFrame, valid: DataFrame, cols: Sequence[str], label: str, fit=None, **options) -> DataFrame:
+    """``(dropped, rmse)``: the holdout error with all columns and without each of them. ``fit`` takes rows, columns,
+    label and ``options``; a forest by default."""
+    fit = fit or random_forest
     train, valid = train.persist(), valid.persist()
     try:
         scores = []
         for dropped in (None, *cols):
             kept = [c for c in cols if c != dropped]
-            scores.append((dropped or "", holdout_rmse(random_forest(train, kept, label, **forest), valid, kept, label)))
+            scores.append((dropped or "", holdout_rmse(fit(train, kept, label, **options), valid, kept, label)))
     finally:
         train.unpersist()
         valid.unpersist()

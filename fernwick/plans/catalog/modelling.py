@@ -75,6 +75,69 @@ def _(t):
     return M.partial_dependence(model, sales(t), _COLS, {"l_quantity": [1, 25, 50], "flag": [0, 1, 2]})
 
 
+# Two features: their weights follow from variances and covariances.
+_TWO = """
+    rows AS (SELECT l_quantity AS a, l_discount AS b, ln(l_extendedprice) AS y, l_shipdate BETWEEN '2000-01-01' AND '2100-01-01' AS late FROM lineitem)"""
+
+
+def _two_weights(where):
+    return f"""SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my,
+      (covar_pop(a, y) * var_pop(b) - covar_pop(b, y) * covar_pop(a, b)) / (var_pop(a) * var_pop(b) - covar_pop(a, b) ** 2) AS wa,
+      (covar_pop(b, y) * var_pop(a) - covar_pop(a, y) * covar_pop(a, b)) / (var_pop(a) * var_pop(b) - covar_pop(a, b) ** 2) AS wb FROM rows {where}"""
+
+
+@query("partial_dependence_linear", f"""
+    WITH {_TWO}, w AS ({_two_weights('')})
+    SELECT a::DOUBLE AS l_quantity, b::DOUBLE AS l_discount, round(my + wa * (a - ma) + wb * (b - mb), 6) AS prediction FROM w, (VALUES (1), (25), (50)) x(a), (VALUES (0.0), (0.1)) z(b)
+    UNION ALL SELECT a::DOUBLE, NULL, round(my + wa * (a - ma), 6) FROM w, (VALUES (1), (25), (50)) x(a)""")
+def _(t):
+    cols = ["l_quantity", "l_discount"]
+    model = M.linear_regression(sales(t).select(*cols, "y"), cols, "y")
+    pair = M.partial_dependence(model, sales(t), cols, {"l_quantity": [1, 25, 50], "l_discount": [0.0, 0.1]})
+    one = M.partial_dependence(model, sales(t), cols, {"l_quantity": [1, 25, 50]})
+    out = pair.unionByName(one, allowMissingColumns=True)
+    return out.select("l_quantity", "l_discount", F.round("prediction", 6).alias("prediction"))
+
+
+@query("drop_column_linear", f"""
+    WITH {_TWO}, w AS ({_two_weights('WHERE NOT late')}),
+    o AS (SELECT regr_slope(y, a) AS sa, regr_intercept(y, a) AS ia, regr_slope(y, b) AS sb, regr_intercept(y, b) AS ib FROM rows WHERE NOT late)
+    SELECT '' AS dropped, round(sqrt(avg((y - my - wa * (a - ma) - wb * (b - mb)) ** 2)), 6) AS rmse FROM rows, w WHERE late
+    UNION ALL SELECT 'l_quantity', round(sqrt(avg((y - ib - sb * b) ** 2)), 6) FROM rows, o WHERE late
+    UNION ALL SELECT 'l_discount', round(sqrt(avg((y - ia - sa * a) ** 2)), 6) FROM rows, o WHERE late""")
+def _(t):
+    train, valid = _sides(t)
+    out = M.drop_column_ablation(train, valid, ["l_quantity", "l_discount"], "y", fit=M.linear_regression)
+    return out.withColumn("rmse", F.round("rmse", 6))
+
+
+@query("feature_importance_total", "SELECT 1.0::DOUBLE AS total, 5 AS features, 'l_quantity' AS first")
+def _(t):
+    """Importances of all features add up to 1; the price follows the quantity most."""
+    found = M.feature_importance(t.spark, M.random_forest(sales(t), _COLS, "y", trees=10), _COLS, keep=-1.0)
+    return found.agg(F.round(F.sum("imp"), 6).alias("total"), F.count("*").cast("int").alias("features"), F.max_by("cols", "imp").alias("first"))
+
+
+@query("tree_spread_mean", """
+    SELECT l_orderkey, l_partkey, l_linenumber, true AS mean_is_prediction, true AS spread_is_plain FROM lineitem WHERE l_shipdate BETWEEN '2000-01-01' AND '2100-01-01'""")
+def _(t):
+    """The mean over the trees is what the forest predicts, and no spread is negative."""
+    train, valid = _sides(t)
+    model = M.random_forest(train, _COLS, "y", trees=10, max_depth=5)
+    rows = model.transform(M.features_column(M.tree_spread(model, valid, _COLS), _COLS))
+    return rows.select("l_orderkey", "l_partkey", "l_linenumber", (F.abs(F.col("pred") - F.col("prediction")) < 1e-9).alias("mean_is_prediction"),
+                       (F.col("pred_std") >= 0).alias("spread_is_plain"))
+
+
+@query("adversarial_first", "SELECT 'days' AS cols")
+def _(t):
+    """The column that tells the sides apart, which were cut by it, comes first."""
+    train, valid = _sides(t)
+    days = F.datediff("l_shipdate", F.lit("1990-01-01").cast("date")).cast("double")
+    _, drift = M.adversarial_validation(train.withColumn("days", days), valid.withColumn("days", days), [*_COLS, "days"], trees=5, max_depth=5)
+    return drift.agg(F.max_by("cols", "imp").alias("cols"))
+
+
 @query("adversarial_validation")
 def _(t):
     train, valid = _sides(t)
@@ -152,7 +215,7 @@ def _docs(t):
 @query("text_embeddings")
 def _(t):
     _, rows = M.text_vectors(_docs(t), "w", size=32, min_count=5)
-    return rows.select("doc_id", F.size("vector").alias("dims"), F.element_at("vector", 1).alias("first"))
+    return rows.select("doc_id", F.size("vector").alias("dims"), F.array_join(F.transform("vector", lambda x: F.round(x, 6).cast("string")), " ").alias("vector"))
 
 
 @query("semantic_search")

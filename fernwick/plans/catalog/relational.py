@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from fernwick.functions.text import words
 from fernwick.operators import relational as R
 from fernwick.plans.catalog.registry import query
+from fernwick.session import bounded_broadcast
 
 WORDS = r"regexp_extract_all(text, '[\p{L}\p{N}_]+')"
 
@@ -208,16 +209,15 @@ def _(t):
 @query("lookup_or_default", rf"""
     WITH tok AS (SELECT doc_id, unnest({WORDS}) AS token FROM documents),
     dict AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) + 3 AS id FROM tok GROUP BY token
-             ORDER BY count(*) DESC, token LIMIT 200)
+             ORDER BY count(*) DESC, token LIMIT 60000)
     SELECT coalesce(id, 3) AS id, count(*) AS n FROM tok LEFT JOIN dict USING (token) GROUP BY 1""")
 def _(t):
     from fernwick.operators.vocab import build_vocab
 
     rows = t.documents.select(F.explode(words("text")).alias("token"))
-    vocab = build_vocab(rows, max_vocab=200, specials=["_bos_", "_pad_", "_eos_", "_unk_"])
-    known = vocab.filter("id > 3")
-    return R.lookup_or_default(rows, F.broadcast(known), "token", "id", 3).groupBy("id").agg(  # 200 rows
-        F.count("*").alias("n"))
+    vocab = build_vocab(rows, max_vocab=60_000, specials=["_bos_", "_pad_", "_eos_", "_unk_"])
+    known = bounded_broadcast(vocab.filter("id > 3").select("token", "id"))
+    return R.lookup_or_default(rows, known, "token", "id", 3).groupBy("id").agg(F.count("*").alias("n"))
 
 
 @query("lookup_ignore_case", """

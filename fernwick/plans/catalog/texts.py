@@ -14,6 +14,8 @@ from fernwick.session import bounded_broadcast, cut_lineage
 # Sizes of vocabularies and of term lists, as in the work that is covered.
 VOCAB = 60_000
 TERMS = 800_000
+# Words that a resampled vocabulary keeps.
+KEPT_WORDS = 5_000
 
 _SP = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
 _W = r"\p{L}\p{N}_"
@@ -261,7 +263,7 @@ def _(t):
 @query("resample_vocab", f"""
     WITH {_vocab_sql(VOCAB, 5, V.SPECIALS)},
     ids AS (SELECT coalesce(id, 3) AS id FROM tok LEFT JOIN vocab USING (token)),
-    r AS (SELECT id AS old_id, row_number() OVER (ORDER BY count(*) DESC, id) + 1 AS new_id FROM ids GROUP BY 1 QUALIFY new_id <= 201),
+    r AS (SELECT id AS old_id, row_number() OVER (ORDER BY count(*) DESC, id) + 1 AS new_id FROM ids GROUP BY 1 QUALIFY new_id <= {KEPT_WORDS + 1}),
     m AS (SELECT * FROM r UNION ALL SELECT 0, 0 WHERE 0 NOT IN (SELECT old_id FROM r) UNION ALL SELECT 1, 1 WHERE 1 NOT IN (SELECT old_id FROM r))
     SELECT coalesce(new_id, 0) AS new_id, count(*) AS n FROM ids LEFT JOIN m ON id = old_id GROUP BY 1""")
 def _(t):
@@ -270,7 +272,7 @@ def _(t):
     vocab = V.build_vocab(_tokens(t), VOCAB, 5)
     known = bounded_broadcast(vocab.select("token", F.col("id").alias("old_id")))
     ids = lookup_or_default(_tokens(t), known, "token", "old_id", 3).select("old_id")
-    mapping = V.resample_vocab(ids, 200, "old_id")
+    mapping = V.resample_vocab(ids, KEPT_WORDS, "old_id")
     return lookup_or_default(ids, bounded_broadcast(mapping), "old_id", "new_id", 0).groupBy("new_id").agg(
         F.count("*").alias("n"))
 

@@ -6,9 +6,9 @@ from fernwick.functions import text as T
 from fernwick.functions import vectors as X
 from fernwick.operators import vectors as V
 from fernwick.operators.shift import mean_shift, shift
-from fernwick.operators.vocab import build_vocab
 from fernwick.plans.catalog.registry import query
 from fernwick.plans.catalog.relational import WORDS
+from fernwick.session import cut_lineage
 
 # A vector as text: items in millionths.
 def as_text(c):
@@ -80,18 +80,20 @@ def _(t):
     return V.scaled_lookup(t.part.select(F.col("p_partkey").alias("vec_id")), t.embeddings, "vec_id", "embedding")[1]
 
 
+# Every token has a vector: the one that its hash names.
 @query("pool", rf"""
     WITH tok AS (SELECT doc_id, unnest({WORDS}) AS token, unnest(range(len({WORDS}))) AS pos FROM documents),
-    k AS (SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) - 1 AS vec_id FROM tok GROUP BY 1 ORDER BY count(*) DESC, token LIMIT 60000),
+    k AS (SELECT token, CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % (SELECT count(*) FROM embeddings) AS vec_id FROM (SELECT DISTINCT token FROM tok)),
     h AS (SELECT doc_id, pos, CAST(embedding AS DOUBLE[]) AS v FROM tok JOIN k USING (token) JOIN embeddings USING (vec_id)),
     l AS (SELECT doc_id, max_by(v, pos) AS last FROM h GROUP BY 1),
     d AS (SELECT doc_id, i, avg(x) AS a, max(x) AS m FROM (SELECT doc_id, unnest(v) AS x, unnest(range(len(v))) AS i FROM h) GROUP BY ALL),
     g AS (SELECT doc_id, list(a ORDER BY i) AS a, list(m ORDER BY i) AS m FROM d GROUP BY 1)
     SELECT doc_id, {sql_text('a')} AS mean, {sql_text('m')} AS "max", {sql_text('last')} AS last FROM g JOIN l USING (doc_id)""")
 def _(t):
-    docs = t.documents.select("doc_id", T.words("text").alias("w"))
-    vocab = build_vocab(docs.select(F.explode("w").alias("token")), 60_000, 0, []).select("token", F.col("id").alias("vec_id"))
-    vectors = vocab.join(t.embeddings.select("vec_id", "embedding"), "vec_id")
+    docs = cut_lineage(t.documents.select("doc_id", T.words("text").alias("w")))
+    tokens = docs.select(F.explode("w").alias("token")).distinct()
+    number = F.conv(F.substring(F.md5("token"), 1, 8), 16, 10).cast("long") % F.lit(t.embeddings.count())
+    vectors = tokens.withColumn("vec_id", number).join(t.embeddings.select("vec_id", "embedding"), "vec_id")
     out = V.pool(docs, "w", vectors, "doc_id", vec="embedding")
     return out.select("doc_id", *[as_text(c).alias(c) for c in ("mean", "max", "last")])
 
@@ -199,15 +201,18 @@ def _(t):
 
 
 # The map is solved by elimination: one step per unknown turns the rows of the normal equations into the weights.
-@query("cross_space_index", f"""
-    WITH RECURSIVE {_CENTRES}, a AS (SELECT vec_id, list_concat(v[1:32], [1.0::DOUBLE]) AS a, v[33:64] AS y FROM e),
+_MAPPED = f"""{_CENTRES}, a AS (SELECT vec_id, list_concat(v[1:32], [1.0::DOUBLE]) AS a, v[33:64] AS y FROM e),
     u AS (SELECT vec_id, unnest(a) AS x, unnest(range(33)) AS i, list_concat(a, y) AS z FROM a),
     g AS (SELECT i, j, sum(x * zj) AS g FROM (SELECT i, x, unnest(z) AS zj, unnest(range(65)) AS j FROM u) GROUP BY ALL),
     s AS (SELECT 0 AS k, i, list(g + CASE WHEN i = j AND i < 32 THEN 0.001::DOUBLE ELSE 0 END ORDER BY j) AS r FROM g GROUP BY i
       UNION ALL SELECT k + 1, i, CASE WHEN i = k THEN list_transform(r, lambda t: t / r[k + 1]) ELSE list_transform(list_zip(r, p), lambda t: t[1] - r[k + 1] / p[k + 1] * t[2]) END
       FROM (SELECT k, i, r, any_value(r) FILTER (i = k) OVER () AS p FROM s WHERE k < 33)),
     w AS (SELECT i, unnest(r[34:65]) AS w, unnest(range(32)) AS j FROM s WHERE k = 33),
-    m AS (SELECT vec_id, list(v ORDER BY j) AS v FROM (SELECT vec_id, j, sum(x * w) AS v FROM u JOIN w USING (i) GROUP BY ALL) GROUP BY 1),
+    m AS (SELECT vec_id, list(v ORDER BY j) AS v FROM (SELECT vec_id, j, sum(x * w) AS v FROM u JOIN w USING (i) GROUP BY ALL) GROUP BY 1)"""
+
+
+@query("cross_space_index", f"""
+    WITH RECURSIVE {_MAPPED},
     h AS (SELECT label AS query_id, vec_id, round(list_cosine_distance(m.v, q[33:64]), 9) AS distance FROM m, c),
     r AS (SELECT query_id, vec_id, distance, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS INTEGER) AS place FROM h QUALIFY place <= 5)
     SELECT query_id, vec_id, round(distance, 6) AS distance, place FROM r""")
@@ -288,6 +293,19 @@ def _kmeans_sql(k, rounds):
     return f"WITH {_E}, " + ", ".join(parts) + f" SELECT CAST(cluster AS INTEGER) AS cluster, label, count(*) AS n FROM a{rounds} GROUP BY ALL"
 
 
+@query("pca_components", """
+    SELECT CAST(a AS INTEGER) AS a, CAST(b AS INTEGER) AS b, CASE WHEN a = b THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS product,
+           CASE WHEN a = b THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS corr FROM range(3) x(a), range(3) y(b)""")
+def _(t):
+    """Components have length 1 and stand square to each other; what they take from the rows is uncorrelated."""
+    model, rows = V.pca(t.embeddings, "embedding", 3)
+    parts = model.pc.toArray().T
+    corr = rows.agg(*[F.corr(F.get("components", F.lit(a)), F.get("components", F.lit(b))).alias(f"{a}{b}") for a in range(3) for b in range(3)]).first()
+    clean = lambda x: round(float(x), 6) + 0.0
+    found = [(a, b, abs(clean(parts[a] @ parts[b])), abs(clean(corr[f"{a}{b}"]))) for a in range(3) for b in range(3)]
+    return t.spark.createDataFrame(found, "a int, b int, product double, corr double")
+
+
 @query("kmeans", _kmeans_sql(10, 10))
 def _(t):
     _, rows = V.kmeans(t.embeddings, "vec_id", "embedding", 10)
@@ -345,7 +363,8 @@ def _(t):
     return moved.points.select("id", as_text("v").alias("point"), F.lit(moved.weighed < 0.5 * moved.pairs).alias("few_weighed"))
 
 
-@query("map_space")
+@query("map_space", f"""
+    WITH RECURSIVE {_MAPPED} SELECT vec_id, round(list_cosine_distance(y, m.v), 6) AS distance FROM m JOIN a USING (vec_id)""")
 def _(t):
     halves = t.embeddings.select("vec_id", F.slice("embedding", 1, 32).alias("x"), F.slice("embedding", 33, 32).alias("y"))
     weights = V.fit_space_map(halves, "x", "y")
