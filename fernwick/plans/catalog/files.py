@@ -27,12 +27,13 @@ def _(t):
     return df.withColumn("code_tokens", F.array_join("code_tokens", "|"))
 
 
-@query("read_csv_dir_with_source", "SELECT CAST(1 AS BIGINT) AS n_files, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders")
+@query("read_csv_dir_with_source", "SELECT count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, count(*) AS named, true AS files FROM orders")
 def _(t):
     path = scratch_path(t.spark, "csvdir")
-    t.orders.select("o_orderkey", "o_totalprice").coalesce(1).write.csv(path, header=True)
+    t.orders.select("o_orderkey", "o_totalprice").write.csv(path, header=True)
     df = A.read_csv_dir_with_source(t.spark, path, "o_orderkey long, o_totalprice double")
-    return df.agg(F.countDistinct("file").alias("n_files"), F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+    return df.agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.count_if(F.col("file").startswith("part-")).alias("named"),
+                  (F.countDistinct("file") > 0).alias("files"))
 
 
 @query("load_tables", "SELECT 'nation' AS name, count(*) AS n FROM nation UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'region', count(*) FROM region")
@@ -58,9 +59,9 @@ def _(t):
 
 
 def _write_label_files(t, path):
-    """One small text file per task and label folder."""
-    t.conversations.filter("role <> 'system'").select("role", F.hex(F.encode("text", "utf-8")).alias("value")).repartition(
-        3, "role").write.partitionBy("role").text(path)
+    """Small text files in one folder per label, from as many tasks as the table has."""
+    t.conversations.filter("role <> 'system'").select("role", F.hex(F.encode("text", "utf-8")).alias("value")).write.option(
+        "maxRecordsPerFile", 200).partitionBy("role").text(path)
 
 
 @query("texts_labels_from_folders", "SELECT CASE role WHEN 'user' THEN CAST(0 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS label, text FROM conversations WHERE role <> 'system'")
@@ -170,7 +171,7 @@ def _(t):
 def _(t):
     path = scratch_path(t.spark, "images")
     rows = t.documents.select("lang", F.col("doc_id").cast("string").alias("value"))
-    rows.filter("lang <> 'en'").repartition(2, "lang").write.partitionBy("lang").text(path)
+    rows.filter("lang <> 'en'").write.option("maxRecordsPerFile", 200).partitionBy("lang").text(path)
     found = A.list_files(t.spark, path, ["txt"])
     return found.select(F.regexp_extract("path", "lang=([a-z]+)/", 1).alias("label")).distinct()
 

@@ -355,6 +355,14 @@ def _(t):
     return C.log_count_ratio(_labelled_terms(t), _labels(t)).withColumn("r", F.round("r", 9))
 
 
+@query("interpolate_ratio", f"""
+    WITH {_LAB}, {_sums('n')}, r AS (SELECT term, ln((p / (n1 + 1)) / (q / (n0 + 1))) AS r FROM pq, sz)
+    SELECT term, round(0.75::DOUBLE * (SELECT avg(r) FROM r) + 0.25::DOUBLE * r, 9) AS w FROM r""")
+def _(t):
+    weights = C.log_count_ratio(_labelled_terms(t), _labels(t)).select("term", F.col("r").alias("w"))
+    return C.interpolate_weights(weights, 0.25).select("term", F.round("w", 9).alias("w"))
+
+
 @query("log_count_ratio_one_vs_rest", f"""
     WITH {_LAB}, {_sums('1')} SELECT term, CAST(1 AS INTEGER) AS "class", round(ln((p / n1) / (q / n0)), 9) AS r FROM pq, sz
     UNION ALL SELECT term, 0, round(ln((q / n0) / (p / n1)), 9) FROM pq, sz""")
