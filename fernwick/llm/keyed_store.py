@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fernwick.llm.bpe import encoder, read_tokenizer, slices
-from fernwick.llm.common import arrow_map, mixed, only
+from fernwick.llm.common import arrow_map, mixed, only, store
 
 BUCKET_KEYS = 1_000
 GROUP_KEYS = 4
@@ -132,36 +132,23 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_i
     _write_index(spark, path)
 
 
-def stored_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Every document of the store, read from the payload: key, ``start`` (ids of all documents before it),
-    ``n_tokens`` and the unsigned crc32 of its ids."""
-    starts = F.broadcast(spark.read.parquet(f"{path}/shards").select("shard", "start"))
-    payload = spark.read.parquet(f"{path}/payload").select("shard", "before", "keys", "sizes", "ids")
+def _directory(spark: SparkSession, path: str) -> DataFrame:
+    """Every row of the store: ``key`` (`NULL_KEY` for null), ``shard``, ``block``, ``place`` and ``n_ids``. The ids
+    themselves are not read."""
+    payload = spark.read.parquet(f"{path}/payload").select("shard", "block", "keys", "sizes")
 
     def run(batch):
-        for start, before, keys, sizes, ids in zip(*[batch.column(k).to_pylist() for k in range(5)]):
-            size = np.frombuffer(sizes, "<u4").astype(np.int64)
-            ends = np.cumsum(size)
-            view = memoryview(ids)
-            crc = [zlib.crc32(view[4 * a:4 * b]) for a, b in zip(ends - size, ends)]
-            yield {"key": pa.array(keys, pa.int64()), "start": start + before + ends - size, "n_tokens": size,
-                   "ids_crc32": pa.array(crc, pa.int64())}
-
-    return arrow_map(payload.join(starts, "shard").select("start", "before", "keys", "sizes", "ids"),
-                     "key long, start long, n_tokens long, ids_crc32 long", run)
-
-
-def _write_index(spark: SparkSession, path: str) -> None:
-    payload = spark.read.parquet(f"{path}/payload").select("shard", "block", "before", "keys", "sizes")
-
-    def run(batch):
-        for shard, block, before, keys, sizes in zip(*[batch.column(k).to_pylist() for k in range(5)]):
+        for shard, block, keys, sizes in zip(*[batch.column(k).to_pylist() for k in range(4)]):
             size = np.frombuffer(sizes, "<u4").astype(np.int64)
             at = np.cumsum(size) - size
             yield {"key": pa.array([NULL_KEY if k is None else k for k in keys], pa.int64()), "shard": np.full(len(keys), shard, np.int32),
                    "block": np.full(len(keys), block, np.int32), "place": at, "n_ids": size}
 
-    rows = arrow_map(payload, "key long, shard int, block int, place long, n_ids long", run)
+    return arrow_map(payload, "key long, shard int, block int, place long, n_ids long", run)
+
+
+def _write_index(spark: SparkSession, path: str) -> None:
+    rows = _directory(spark, path)
     first = rows.groupBy("key").agg(F.min(F.struct("shard", "block", "place", "n_ids")).alias("at"), F.count("*").alias("rows"))
     total = spark.read.parquet(f"{path}/shards").agg(F.sum("rows")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_KEYS))
@@ -218,15 +205,34 @@ def read_keys(keys: DataFrame, path: str, key_col: str = "key") -> DataFrame:
     return at.join(blocks, ["shard", "block"]).select("key", cut.alias("ids"))
 
 
-def checked_rows(spark: SparkSession, path: str) -> DataFrame:
-    """``stored_rows``, each found again through the index: a key that the index misses or misplaces is an error."""
-    rows = stored_rows(spark, path)
-    starts = F.broadcast(spark.read.parquet(f"{path}/shards").select("shard", F.col("start").alias("shard_start")))
-    heads = spark.read.parquet(f"{path}/payload").select("shard", "block", "before")
-    found = look_up(rows.select("key"), path)
-    placed = found.join(heads, ["shard", "block"], "left").join(starts, "shard", "left").select(
-        F.col("key").alias("_key"), "found", (F.col("shard_start") + F.col("before") + F.col("place")).alias("first"), "rows")
-    both = rows.join(placed, rows["key"].eqNullSafe(placed["_key"]), "left")
-    good = F.col("found") & (F.col("start") >= F.col("first")) & ((F.col("rows") > 1) | (F.col("start") == F.col("first")))
-    start = F.when(good, F.col("start")).otherwise(F.raise_error(F.lit("the index misplaces a key")).cast("long"))
-    return both.select("key", start.alias("start"), "n_tokens", "ids_crc32")
+def indexed_rows(keys: DataFrame, path: str, key_col: str = "key") -> DataFrame:
+    """Every stored row of the keys: ``key``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids_crc32``, the
+    unsigned crc32 of its ids.
+
+    The index names block, place and length of each key's row; the places of one block are gathered, the block is
+    read once, and the ids are cut out there. Rows of a key that has several follow its first one; the directory
+    tells where. A key that the index does not hold is an error.
+    """
+    spark = keys.sparkSession
+    at = store(look_up(keys, path, key_col), "places")
+    held = F.when(F.col("found"), F.col("shard")).otherwise(F.raise_error(F.lit("the index misses a key")).cast("int"))
+    key = F.coalesce("key", F.lit(NULL_KEY)).alias("key")
+    places = at.filter("rows = 1 or not found").select(key, held.alias("shard"), "block", "place", "n_ids")
+    again = at.filter("rows > 1").select(key)
+    places = places.unionByName(_directory(spark, path).join(again, "key", "left_semi"))
+    # A block holds so many rows at most, whatever the number of rows of one key.
+    wanted = places.groupBy("shard", "block").agg(F.collect_list(F.struct("key", "place", "n_ids")).alias("wanted"))
+    starts = F.broadcast(spark.read.parquet(f"{path}/shards").select("shard", "start"))  # one row per shard
+    blocks = spark.read.parquet(f"{path}/payload").select("shard", "block", "before", "ids")
+    met = wanted.join(blocks, ["shard", "block"]).join(starts, "shard").select((F.col("start") + F.col("before")).alias("start"), "wanted", "ids")
+
+    def run(batch):
+        for start, wanted, ids in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            found = pa.StructArray.from_arrays(wanted.values.flatten(), ["key", "place", "n_ids"])
+            place, size = found.field("place").to_numpy(), found.field("n_ids").to_numpy()
+            view = memoryview(ids.as_buffer())
+            own = found.field("key").to_numpy()
+            yield {"key": pa.array(own, mask=own == NULL_KEY), "start": start + place, "n_tokens": size,
+                   "ids_crc32": pa.array([zlib.crc32(view[4 * a:4 * b]) for a, b in zip(place, place + size)], pa.int64())}
+
+    return arrow_map(met, "key long, start long, n_tokens long, ids_crc32 long", run)

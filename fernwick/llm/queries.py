@@ -16,7 +16,7 @@ from fernwick.llm.collision_ann import nearest, usable_rows
 from fernwick.llm.common import hash_fraction, store
 from fernwick.llm.divergence import SQL as DIVERGENCE_SQL
 from fernwick.llm.divergence import divergence
-from fernwick.llm.keyed_store import checked_rows, write_store
+from fernwick.llm.keyed_store import indexed_rows, write_store
 from fernwick.llm.edit_counts import apply_edits, build_trees
 from fernwick.llm.importance import resample
 from fernwick.llm.ngram_join import ngram_classes
@@ -94,8 +94,9 @@ def op4_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 def op5_keyed_store(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded and written in ascending id order, and read back through the index."""
     path = scratch_path(spark, "token-store")
-    write_store(load_table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), path, end_id=2)
-    return checked_rows(spark, path).withColumnRenamed("key", "doc_id")
+    docs = load_table(spark, folder, "documents")
+    write_store(docs, vocabulary("word_bpe_49k.json"), path, end_id=2)
+    return indexed_rows(docs.select("doc_id"), path, "doc_id").withColumnRenamed("key", "doc_id")
 
 
 @query

@@ -154,7 +154,7 @@ def test_store_round_trip(spark, tmp_path):
     path, lib = f"{tmp_path}/{uuid.uuid4().hex}", Tokenizer.from_file(WORD_BPE)
     keyed_store.write_store(table(spark, ROWS), WORD_BPE, path, block_ids=100)
     ids = [(i, lib.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in ROWS]
-    got = keyed_store.checked_rows(spark, path).orderBy("start").collect()
+    got = keyed_store.indexed_rows(table(spark, ROWS), path, "doc_id").orderBy("start").collect()
     same([(r.key, r.n_tokens, r.ids_crc32) for r in got], [(i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in ids])
     at = 0
     for r in got:
@@ -166,8 +166,12 @@ def test_store_round_trip(spark, tmp_path):
     read = {r.key: np.frombuffer(r.ids, "<u4").tolist() for r in keyed_store.read_keys(asked, path).collect()}
     assert set(read) == {3, 100, None} and (100, read[100]) in ids and (None, read[None]) in ids
     assert keyed_store.look_up(asked, path).filter("not found").count() == 1
+    some = keyed_store.indexed_rows(asked.filter("key is null or key > 0"), path).collect()
+    same([(r.key, r.start, r.n_tokens, r.ids_crc32) for r in some], [(r.key, r.start, r.n_tokens, r.ids_crc32) for r in got if r.key in (3, 100, None)])
+    with pytest.raises(Exception, match="misses a key"):
+        keyed_store.indexed_rows(asked, path).collect()
     keyed_store.write_store(empty(spark), WORD_BPE, f"{path}-empty")
-    assert keyed_store.checked_rows(spark, f"{path}-empty").count() == 0
+    assert keyed_store.indexed_rows(empty(spark), f"{path}-empty", "doc_id").count() == 0
 
 
 @pytest.mark.parametrize("n", [1, 2, 7, 1000, 3000])
