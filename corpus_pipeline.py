@@ -16,11 +16,14 @@ from fernwick.llm.toxicity import fit_noisy_or, score_toxicity
 from fernwick.session import load_table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+# Rows of one Arrow batch: texts are long, and a batch exists several times on its way to Python and back.
+BATCH_ROWS = 1_000
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """The columns of documents and ``row``, the place of the row in the stored table: its file and its number there. It
     tells rows apart whatever their ids are, and stays the same when a task runs again or splits change."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     try:
         place = docs.select(*COLUMNS, "_metadata.file_path", "_metadata.row_index")
     except AnalysisException:  # no stored table yet
