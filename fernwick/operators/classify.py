@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fernwick.functions.arrays import windows
+from fernwick.operators.ordered import dictionary_join
 from fernwick.session import bounded_broadcast, cut_lineage
 
 
@@ -72,7 +73,7 @@ def naive_bayes_predict(terms: DataFrame, ratios: DataFrame, prior: Column | flo
                         id_col: str = "doc_id") -> DataFrame:
     """``(id, score, pred)`` for every row of ``docs``: sum of n * r plus the prior, above 0."""
     prior = prior if isinstance(prior, Column) else F.lit(float(prior))
-    scored = terms.join(bounded_broadcast(ratios), "term").groupBy(id_col).agg(F.sum(F.col("n") * F.col("r")).alias("_s"))
+    scored = dictionary_join(terms, ratios, "term").groupBy(id_col).agg(F.sum(F.col("n") * F.col("r")).alias("_s"))
     score = F.coalesce("_s", F.lit(0.0)) + prior
     return docs.select(id_col).join(scored, id_col, "left").select(
         id_col, score.alias("score"), (score > 0).cast("int").alias("pred"))
@@ -93,7 +94,7 @@ def nb_softmax(terms: DataFrame, ratios: DataFrame, classes: int, id_col: str =
         w = F.lit(0.0)
     factor = (w + w_adj) / r_adj
     wide = wide.select("term", *[(factor * F.col(f"r{k}")).alias(f"r{k}") for k in range(classes)])
-    sums = terms.join(bounded_broadcast(wide), "term").groupBy(id_col).agg(*[F.sum(f"r{k}").alias(f"x{k}") for k in range(classes)])
+    sums = dictionary_join(terms, wide, "term").groupBy(id_col).agg(*[F.sum(f"r{k}").alias(f"x{k}") for k in range(classes)])
     top = F.greatest(*[F.col(f"x{k}") for k in range(classes)]) if classes > 1 else F.col("x0")
     exps = [F.exp(F.col(f"x{k}") - top) for k in range(classes)]
     total = sum(exps[1:], exps[0])

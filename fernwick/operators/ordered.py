@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fernwick.session import cut_lineage, same_keys_join
+from fernwick import session
+from fernwick.session import cut_lineage, fits, same_keys_join
 
 # Rows of one key that a single window task may hold before the key is cut into chunks.
 HOT_ROWS = 4_000_000
@@ -122,6 +123,30 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_ROWS) -> DataF
     return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit).select(*keys)
 
 
+# Parts that the rows of a frequent key are dealt to when they look something up.
+SALTS = 64
+
+
+def dictionary_join(
+    rows: DataFrame, table: DataFrame, key: str, how: str = "inner", limit: int = HOT_ROWS
+) -> DataFrame:
+    """Join ``rows`` to a table of unique keys. A small table is broadcast. Otherwise the rows of keys that more than
+    ``limit`` rows have are dealt to `SALTS` parts, and the table's row of such a key is sent to each of them.
+    """
+    if fits(table, session.BROADCAST_ROWS):
+        return rows.join(F.broadcast(cut_lineage(table)), key, how)
+    hot = hot_keys(rows.filter(F.col(key).isNotNull()), [key], limit)
+    if hot.isEmpty():
+        return rows.join(table, key, how)
+    # At most one key for every ``limit`` rows.
+    hot = cut_lineage(hot.select(F.col(key).alias("_hot")))
+    parts = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNull(), 0).otherwise(F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))).cast("int"))
+    spread = table.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    return parts.drop("_hot").join(spread.drop("_hot"), [key, "_salt"], how).drop("_salt")
+
+
 def keyed_position(
     df: DataFrame, keys: Sequence[str], order: Sequence, name: str = "_pos", limit: int = HOT_ROWS
 ) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fernwick.operators.ordered import dictionary_join
 from fernwick.session import cut_lineage, fits
 
 # Vectors sent to every task: 4,096 of 500 doubles are 16 MB.
@@ -194,9 +195,9 @@ def pool(docs: DataFrame, tokens: str, vectors: DataFrame, id_col: str, token: s
         return docs.select(id_col, tokens).mapInArrow(pooled, schema)
     rows = docs.select(id_col, F.posexplode(tokens).alias("_pos", token))
     dense_table = vectors.select(token, dense(vec).alias("_v"))
-    found = rows.join(dense_table, token).groupBy(id_col).agg(
+    found = dictionary_join(rows, dense_table, token).groupBy(id_col).agg(
         Summarizer.metrics("mean", "max").summary(F.col("_v")).alias("_s"), F.max_by(token, "_pos").alias(token))
-    return found.join(vectors, token).select(
+    return dictionary_join(found, vectors, token).select(
         id_col, vector_to_array("_s.mean").alias("mean"), vector_to_array("_s.max").alias("max"), F.col(vec).alias("last"))
 
 

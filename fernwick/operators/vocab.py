@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fernwick.functions.text import characters, ngrams
-from fernwick.operators.ordered import global_position, running_totals
+from fernwick.operators.ordered import dictionary_join, global_position, running_totals
 from fernwick import session
 from fernwick.session import cut_lineage
 
@@ -120,7 +120,7 @@ def _map_items(df: DataFrame, seq: str, id_col: str, pairs: DataFrame, key: str,
     # Rows are told apart by their number, not by an id that may repeat.
     stored = cut_lineage(df.select(id_col, seq)).withColumn("_row", F.monotonically_increasing_id())
     items = stored.select(id_col, "_row", F.posexplode_outer(seq).alias("_pos", key))
-    found = items.join(pairs, key, "left").select(
+    found = dictionary_join(items, pairs, key, "left").select(
         id_col, "_row", "_pos", F.when(F.col("_pos").isNotNull(), F.coalesce(value, F.lit(default).cast(kind))).alias("_v"))
     gathered = found.groupBy(id_col, "_row").agg(F.sort_array(F.collect_list(
         F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_v")))).alias("_items"))
@@ -348,10 +348,12 @@ def lm_stream(df: DataFrame, ids: str, id_col: str, bs: int, bptt: int, backward
     placed = docs.select(id_col, "start", "end").join(beyond, mine, "left").select(id_col, "start", "_beyond")
     total = starts.agg(F.sum("n")).scalar()
     rows = df.select(id_col, F.col(ids).alias("_ids")).join(placed, id_col)
-    step = -1 if backwards else 1
-    items = rows.select("start", "_beyond", "_ids", F.posexplode("_ids").alias("_i", "id")).select(
-        (F.col("start") + F.col("_i")).alias("_pos"), "id",
-        F.coalesce(F.get("_ids", F.col("_i") + step), F.col("_beyond")).alias("target"))
+    size = F.greatest(F.size("_ids") - 1, F.lit(0))
+    other = F.concat(F.array("_beyond"), F.slice("_ids", F.lit(1), size)) if backwards else F.concat(F.slice("_ids", F.lit(2), size), F.array("_beyond"))
+    # Each item meets its target inside the array, so that no row of an item carries the array.
+    pairs = F.zip_with("_ids", other, lambda x, y: F.struct(x.alias("id"), y.alias("target")))
+    items = rows.filter(F.size("_ids") > 0).select("start", F.posexplode(pairs).alias("_i", "_p")).select(
+        (F.col("start") + F.col("_i")).alias("_pos"), "_p.id", "_p.target")
     items = items.withColumn("_nb", F.floor(total / bs))
     items = items.filter(F.col("_pos") < F.col("_nb") * bs).withColumn("col", F.floor(F.col("_pos") / F.col("_nb")))
     down = F.col("_pos") % F.col("_nb")

@@ -251,3 +251,17 @@ def test_pool(spark, cells):
     got = {r["doc_id"]: (r["mean"], r["max"], r["last"]) for r in V.pool(docs, "w", vectors, "doc_id", local_cells=cells).collect()}
     assert set(got) == {1, 4}
     assert got[1] == ([2.0, -3.0], [4.0, -2.0], [1.0, -2.0]) and got[4] == ([4.0, -5.0],) * 3
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("bound,limit", [(1000, 10), (0, 10), (0, 10_000)])
+def test_dictionary_join_of_frequent_keys(spark, monkeypatch, how, bound, limit):
+    from fernwick import session
+
+    monkeypatch.setattr(session, "BROADCAST_ROWS", bound)
+    r = random.Random(2)
+    rows = [(k, r.choice(["the", "the", "the", "of", "x", "y", "missed", None])) for k in range(400)]
+    table = {"the": 1, "of": 2, "x": 3, "y": 4, "unused": 5}
+    got = O.dictionary_join(spark.createDataFrame(rows, "id long, key string").repartition(4), spark.createDataFrame(list(table.items()), "key string, v int"), "key", how, limit)
+    want = [(i, k, table.get(k)) for i, k in rows if how == "left" or k in table]
+    assert sorted(map(repr, ((x.id, x.key, x.v) for x in got.collect()))) == sorted(map(repr, want))
