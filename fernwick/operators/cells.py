@@ -73,11 +73,12 @@ class CellIndex:
         return low, apart
 
 
-def fit_centres(df: DataFrame, vec: str, cells: int, metric: str, sample: int = SAMPLE_ROWS, rounds: int = 12, seed: int = 1) -> np.ndarray:
-    """Centres of k-means on about ``sample`` rows, which a hash of the vector chooses."""
+def fit_centres(df: DataFrame, id_col: str, vec: str, cells: int, metric: str, sample: int = SAMPLE_ROWS, rounds: int = 12,
+                seed: int = 1) -> np.ndarray:
+    """Centres of k-means on about ``sample`` rows, which a hash of id and vector chooses; copies count once."""
     n = df.count()
     share = min(1.0, sample / max(1, n))
-    chosen = df.filter(F.pmod(F.xxhash64(vec), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+    chosen = df.filter(F.pmod(F.xxhash64(id_col, vec), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
     m = _ready(V._matrix(chosen.select(F.col(vec).cast("array<double>").alias("v")).limit(2 * sample).toPandas()["v"].tolist()), metric)
     if metric != "euclidean":
         m = m[(m != 0).any(1)] if len(m) else m
@@ -106,7 +107,7 @@ def build_index(df: DataFrame, id_col: str, vec: str, path: str | None = None, m
     path = path or scratch_path(spark, "cell-index")
     rows = df.select(id_col, F.col(vec).cast("array<double>").alias(vec)).filter(F.col(vec).isNotNull())
     cells = min(MAX_CELLS, cells or max(1, math.isqrt(rows.count())))
-    centres = fit_centres(rows, vec, cells, metric)
+    centres = fit_centres(rows, id_col, vec, cells, metric)
     schema = T.StructType([rows.schema[id_col], rows.schema[vec], T.StructField("cell", T.IntegerType()), T.StructField("apart", T.DoubleType())])
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -63,7 +63,7 @@ def shift(df: DataFrame, id_col: str, vec: str, bandwidth: float = 2.5, rounds:
     """
     points = df.select(id_col, F.col(vec).cast("array<double>").alias(vec)).filter(F.col(vec).isNotNull())
     n = points.count()
-    centres = fit_centres(points, vec, min(MAX_CELLS, max(1, math.ceil(8 * n / block_rows))), "euclidean")
+    centres = fit_centres(points, id_col, vec, min(MAX_CELLS, max(1, math.ceil(8 * n / block_rows))), "euclidean")
     schema = T.StructType([points.schema[id_col], points.schema[vec], T.StructField("cell", T.IntegerType())])
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
