@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from fernwick.llm.bpe import CUT, WHITE, Encoder, encoder, read_tokenizer, slices
 from fernwick.llm.common import arrow_map, only, store
+from fernwick.operators.ordered import keyed_position
 
 # Characters of a leaf, about.
 LEAF_CHARS = 512
@@ -162,13 +163,14 @@ def apply_edit_table(trees: DataFrame, edits: DataFrame, path: str, id_col: str
     id get its edits. Edits go in rounds of ``at_once`` per document, so a document with very many edits is never
     one group; each round is a join on the id. Edits of ids without a tree, and of the null id, are not used."""
     w_edits = edits.select(F.col(id_col).alias("_key"), F.col("seq").cast("long").alias("seq"), F.struct("start", "drop", "put").alias("e"))
-    w_edits = store(w_edits.filter("_key is not null"), "edits")
-    span = w_edits.agg(F.min("seq"), F.max("seq")).first()
+    # Rounds go by the number of an edit within its id, whatever the values of ``seq`` are.
+    w_edits = store(keyed_position(w_edits.filter("_key is not null"), ["_key"], ["seq"], "place"), "edits")
+    span = w_edits.agg(F.min("place"), F.max("place")).first()
     out = trees.select(id_col, "leaves", "counts", "n_tokens", F.col("n_tokens").alias("n_tokens_before"), F.lit(0).cast("long").alias("encoded_chars"))
     if span[0] is None:
         return out
     for first in range(span[0], span[1] + 1, at_once):
-        some = w_edits.filter(F.col("seq").between(first, first + at_once - 1))
+        some = w_edits.filter(F.col("place").between(first, first + at_once - 1))
         lists = some.groupBy("_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "e"))), lambda x: x["e"]).alias("edits"))
         joined = out.join(lists, out[id_col] == lists["_key"], "left")
         kept = ["n_tokens_before", "encoded_chars"]

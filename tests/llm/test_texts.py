@@ -89,6 +89,7 @@ def test_edit_tables(spark, library):
          [(i, len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in ROWS])
     edits = [(i, k, (i * 7 + k) % 50, k % 4, f" put{k}") for i in (1, 2, 200, 207, 999) for k in range(5)]
     rows = spark.createDataFrame(edits, "doc_id long, seq int, start int, drop int, put string")
+    stamps = rows.withColumn("seq", F.col("seq") * 10**12 - 3 * 10**12)  # as far apart as time stamps
     want = []
     for i, t in ROWS:
         t = t or ""
@@ -99,6 +100,8 @@ def test_edit_tables(spark, library):
     for at_once in (2, 100):
         out = edit_counts.apply_edit_table(trees, rows, BYTE_BPE, at_once=at_once).collect()
         same([(r.doc_id, "".join(r.leaves), r.n_tokens) for r in out], want)
+    out = edit_counts.apply_edit_table(trees, stamps, BYTE_BPE, at_once=3).collect()
+    same([(r.doc_id, "".join(r.leaves), r.n_tokens) for r in out], want)
     assert edit_counts.build_trees(empty(spark), BYTE_BPE).count() == 0
 
 
