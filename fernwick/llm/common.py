@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import types
@@ -64,6 +65,10 @@ def forget_worker_cache(kind: str = "") -> None:
         del kept[name]
     if names:
         gc.collect()  # encoders hold cycles, which stay until they are looked for
+    # The C library's call, where it has one: else what earlier tasks have freed stays with the process.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def summed_arrays(df: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
