@@ -55,7 +55,7 @@ def byte_alphabet() -> dict[int, str]:
 class Encoder:
     """Encodes pieces of text as the library does; made from the tokenizer's file in the tasks."""
 
-    def __init__(self, spec: str, leaf: int = LEAF):
+    def __init__(self, spec: str, leaf: int = LEAF, memo: int = MEMO):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(spec)
@@ -72,7 +72,7 @@ class Encoder:
         self.chars = byte_alphabet()
         self.table = str.maketrans({chr(i): "".join(self.chars[b] for b in chr(i).encode()) for i in range(256)})
         self.words: dict[str, bytes] = {}
-        self.chunks = _Chunks(self.encode)
+        self.chunks = _Chunks(self.encode, memo)
 
     @cached_property
     def token_bytes(self) -> list[bytes]:
@@ -150,18 +150,18 @@ class Encoder:
 
 
 class _Chunks(dict):
-    """Encoded chunks. The first ones stay: the frequent ones are among them. When these are ``MEMO``, later ones
+    """Encoded chunks. The first ones stay: the frequent ones are among them. When these are ``memo``, later ones
     are kept apart, and that part is emptied when it is full."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, memo: int):
         super().__init__()
-        self.encode, self.later = encode, {}
+        self.encode, self.memo, self.later = encode, memo, {}
 
     def __missing__(self, chunk):
         ids = self.later.get(chunk)
         if ids is None:
             ids = self.encode(chunk if isinstance(chunk, str) else chunk.decode())
-            if len(self) < MEMO:
+            if len(self) < self.memo:
                 self[chunk] = ids
             else:
                 if len(self.later) >= LATER:
@@ -180,8 +180,8 @@ CUT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 SLICE = 512
 
 
-def encoder(spec: str, leaf: int = LEAF) -> Encoder:
-    return worker_cache(f"bpe {hash(spec)} {leaf}", lambda: Encoder(spec, leaf))
+def encoder(spec: str, leaf: int = LEAF, memo: int = MEMO) -> Encoder:
+    return worker_cache(f"bpe {hash(spec)} {leaf} {memo}", lambda: Encoder(spec, leaf, memo))
 
 
 def slices(batch: pa.RecordBatch, rows: int = SLICE):

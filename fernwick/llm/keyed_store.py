@@ -21,6 +21,8 @@ from fernwick.llm.bpe import encoder, read_tokenizer, slices
 from fernwick.llm.common import arrow_map, mixed, only, store
 
 BUCKET_KEYS = 1_000
+# Chunks that a worker keeps for good while a store is written: nothing else asks for much memory there.
+STORE_MEMO = 1_000_000
 GROUP_KEYS = 4
 # Fixed value: stands for a null key inside the index.
 NULL_KEY = -(1 << 63)
@@ -99,7 +101,7 @@ def write_store(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_i
     end = np.array([end_id], "<u4").tobytes()
 
     def blocks(batches):
-        enc = encoder(spec.value)
+        enc = encoder(spec.value, memo=STORE_MEMO)
         shard, block, before = TaskContext.get().partitionId(), 0, 0
         keys, sizes, data, held = [], [], [], 0
 
