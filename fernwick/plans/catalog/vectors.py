@@ -189,11 +189,11 @@ def _(t):
 def _(t):
     from fernwick.operators import cells as C
 
-    index = C.build_index(_points(t), "o_orderkey", "point", metric="euclidean")
+    index = C.build_index(_points(t), "o_orderkey", "point", metric="euclidean", cells=150)
     orders = _points(t).select(F.col("o_orderkey").alias("query_id"), F.col("point").alias("query_vec"))
     rows = []
     for name, queries in (("customers", _customers(t)), ("orders", orders)):  # one index, several sets of queries
-        exact, near = C.search(index, queries, 10), C.search(index, queries, 10, probes=8)
+        exact, near = C.search(index, queries, 10), C.search(index, queries, 10, probes=6)
         wanted = exact.hits.count()
         found = near.hits.join(exact.hits, ["query_id", "o_orderkey"], "left_semi").count()
         rows.append((name, wanted, found >= 0.9 * wanted, near.compared < 0.1 * near.pairs, exact.compared < 0.1 * exact.pairs))
