@@ -359,7 +359,7 @@ _SPOTS = "p0 AS (SELECT c_custkey AS id, [c_acctbal / 100.0::DOUBLE, c_nationkey
 @query("mean_shift_cells", f"{_shift_sql(_SPOTS, 1.5, 5)} SELECT id, {sql_text('v')} AS point, true AS few_weighed FROM p5")
 def _(t):
     spots = t.customer.select(F.col("c_custkey").alias("id"), F.array(F.col("c_acctbal") / 100.0, F.col("c_nationkey") * 10.0).alias("v"))
-    moved = shift(spots, "id", "v", 1.5, 5, block_rows=200)
+    moved = shift(spots, "id", "v", 1.5, 5, block_rows=max(1, spots.count() // 6))  # some fifty cells
     return moved.points.select("id", as_text("v").alias("point"), F.lit(moved.weighed < 0.5 * moved.pairs).alias("few_weighed"))
 
 
