@@ -265,3 +265,25 @@ def test_dictionary_join_of_frequent_keys(spark, monkeypatch, how, bound, limit)
     got = O.dictionary_join(spark.createDataFrame(rows, "id long, key string").repartition(4), spark.createDataFrame(list(table.items()), "key string, v int"), "key", how, limit)
     want = [(i, k, table.get(k)) for i, k in rows if how == "left" or k in table]
     assert sorted(map(repr, ((x.id, x.key, x.v) for x in got.collect()))) == sorted(map(repr, want))
+
+
+@pytest.mark.parametrize("dim,wide", [(2, 60.0), (4, 1.0)])
+def test_points_of_a_mean_shift_travel_once_per_tile(spark, monkeypatch, dim, wide):
+    from fernwick.operators import shift as S
+
+    rng = np.random.default_rng(5)
+    m = rng.uniform(0, wide, size=(600, dim))
+    m[:200] = m[0]  # a cell larger than a tile
+    sent = []
+    tiles = S._tiles
+    monkeypatch.setattr(S, "_tiles", lambda met, line, count, rows: sent.append((tiles(met, line, count, rows), met, count)) or sent[-1][0])
+    x = m.copy()
+    for _ in range(2):
+        w = np.exp(-0.5 * ((x[:, None] - x[None]) ** 2).sum(2) / 1.5**2)
+        x = w @ x / w.sum(1, keepdims=True)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(m)], "id long, vec array<double>").repartition(4)
+    out = shift(df, "id", "vec", 1.5, 2, block_rows=32)
+    assert np.allclose(np.stack([r["vec"] for r in sorted(out.points.collect())]), x, rtol=0, atol=1e-9)
+    for pieces, met, count in sent:
+        cells = int((met.sum(1) * count).sum())  # what a shuffle by cell would send
+        assert sum(count[c] / n * len(lefts) for c, n, _, _, lefts, _ in pieces) < 0.5 * cells
