@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fernwick.functions.arrays import windows
 from fernwick.operators.ordered import dictionary_join
-from fernwick.session import bounded_broadcast, cut_lineage
+from fernwick.session import bounded_broadcast, cut_lineage, written
 
 
 def class_counts(terms: DataFrame, labels: DataFrame, id_col: str, y: str) -> tuple[DataFrame, Column, Column]:
@@ -141,14 +141,20 @@ def continue_text(seeds: DataFrame, best: DataFrame, tokens: str, width: int, st
                   ) -> DataFrame:
     """Greedy continuation: append the best next token ``steps`` times, up to ``stop``.
 
-    ``best`` has one row per context, so every step is one lookup join.
+    ``best`` has one row per context, so every step is one lookup join. It is made once and stored, and a step looks up
+    the contexts it asks for: while these are few they go to the stored rows, which are not shuffled.
     """
-    lookup = bounded_broadcast(best.select("context", F.col("next").alias("_next")))
+    lookup = written(best.select("context", F.col("next").alias("_next")), "next-tokens")
     out = seeds
-    for _ in range(steps):
+    for step in range(steps):
         ctx = F.array_join(F.slice(tokens, F.greatest(F.size(tokens) - width + 1, F.lit(1)), F.lit(width)), " ")
         done = F.element_at(tokens, -1) == stop
-        out = out.withColumn("context", ctx).join(lookup, "context", "left").withColumn(
+        out = out.withColumn("context", ctx)
+        # Each step reads the one before twice.
+        out = cut_lineage(out) if step else out
+        asked = out.select("context").filter(F.col("context").isNotNull()).distinct()
+        found = lookup.join(bounded_broadcast(asked), "context", "left_semi")
+        out = out.join(found, "context", "left").withColumn(
             tokens, F.when(done | F.col("_next").isNull(), F.col(tokens)).otherwise(
                 F.concat(tokens, F.array("_next")))).drop("context", "_next")
     return out
