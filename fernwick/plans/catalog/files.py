@@ -12,7 +12,8 @@ from fernwick.sources import files as A
 def _(t):
     path = scratch_path(t.spark, "shards")
     rows = t.documents.select(F.concat("source", F.lit(" m/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("repo_path"), F.col("text").alias("content"))
-    rows.repartition(4).write.csv(path, header=True, escape='"', quoteAll=True)
+    # A shard is read by one task: four at least, and about so many documents in each.
+    rows.repartition(max(4, -(-rows.count() // 8_192))).write.csv(path, header=True, escape='"', quoteAll=True)
     return A.read_csv_shards(t.spark, path)
 
 
