@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from fernwick.operators.ordered import global_position, keyed_position
 from fernwick.operators.relational import fit_mean_std, median, numeric_columns
 from fernwick.operators.sampling import get_sample
-from fernwick.session import cut_lineage, same_keys_join
+from fernwick.session import bounded_broadcast, cut_lineage, same_keys_join
 
 # Names that may become columns or places of a vector.
 MAX_NAMES = 10_000
@@ -44,12 +44,14 @@ def train_cats(df: DataFrame) -> DataFrame:
 def apply_cats(df: DataFrame, dictionary: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
     """Replace values by their codes in a dictionary; unseen values and nulls become null.
 
-    One left join per column; Spark broadcasts the dictionary where its size allows.
+    One left join per column. Codes are few as a rule: they are sent to the rows, so that the rows of a frequent value are
+    not shuffled to one task.
     """
     out = df
     for c in cols:
         codes = dictionary.filter(F.col("column") == c).select(
             F.col("value").alias("_v"), F.col("code").alias("_code"))
+        codes = bounded_broadcast(codes)
         out = out.join(codes, F.col(c).cast("string") == F.col("_v"), "left")
         out = out.withColumn(c + suffix, F.col("_code")).drop("_v", "_code")
     return out
