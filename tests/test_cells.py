@@ -88,3 +88,41 @@ def test_search_from_another_space(spark):
     np.testing.assert_array_equal(stored.weights, space.weights)
     # A row without y is found by what its x maps to.
     assert [r[:2] for r in rows(C.search(stored.index, ask, 1).hits)] == [(k, k) for k in range(0, 300, 10)]
+
+
+def test_queries_travel_once_per_tile(spark):
+    # Uniform directions: each query needs almost every cell, but cells that lie together take it as one row.
+    from fernwick.session import scratch
+
+    rng = np.random.default_rng(7)
+    table = [(k, v.tolist()) for k, v in enumerate(rng.normal(size=(400, 24)))]
+    df = spark.createDataFrame(table, "id long, vec array<double>")
+    ask = df.selectExpr("id AS query_id", "vec AS query_vec")
+    with scratch(spark) as folder:
+        found = C.search(C.build_index(df, "id", "vec", cells=40), ask, 5)
+        assert rows(found.hits) == plain(table, table, 5, "cosine")
+        assert spark.read.parquet(f"{folder}/cell-pairs-*").count() <= 3 * len(table)
+
+
+def test_blocks_leave_out_most_pairs(monkeypatch):
+    rng = np.random.default_rng(8)
+    v = rng.random(size=(4000, 3))
+    made, whole = [], V._distances
+    monkeypatch.setattr(V, "_distances", lambda q, r, m: made.append(len(q) * len(r)) or whole(q, r, m))
+    found = list(C._near_blocks(v, np.full(len(v), np.inf), v, 5, "euclidean"))
+    assert sum(made) < 0.25 * len(v) ** 2
+    a, b, d = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((b, d, a))
+    a, b = a[order], b[order]
+    d = whole(v, v, "euclidean")
+    for i in range(0, len(v), 97):
+        assert b[a == i][:5].tolist() == np.lexsort((np.arange(len(v)), d[i]))[:5].tolist()
+
+
+def test_vectors_with_a_null_do_not_spoil_the_cells(spark):
+    table = points(9, groups=20, each=20, dim=3, spread=0.01)
+    df = spark.createDataFrame([*table, ("null", [1.0, None, 1.0])], "id string, vec array<double>")
+    ask = spark.createDataFrame(table[::10], "query_id string, query_vec array<double>")
+    found = C.search(C.build_index(df, "id", "vec", metric="euclidean", cells=20), ask, 5)
+    assert rows(found.hits) == plain(table, table[::10], 5, "euclidean")
+    assert found.compared < 0.5 * found.pairs
