@@ -126,3 +126,12 @@ def test_vectors_with_a_null_do_not_spoil_the_cells(spark):
     found = C.search(C.build_index(df, "id", "vec", metric="euclidean", cells=20), ask, 5)
     assert rows(found.hits) == plain(table, table[::10], 5, "euclidean")
     assert found.compared < 0.5 * found.pairs
+
+
+def test_vectors_of_different_lengths_are_an_error():
+    import pyarrow as pa
+
+    # Three numbers a row on the average.
+    with pytest.raises(ValueError):
+        C._column(pa.array([[1.0, 2.0], [1.0, 2.0, 3.0, 4.0]]))
+    assert C._column(pa.array([[1.0, 2.0], [3.0, None]])).shape == (2, 2)
