@@ -9,6 +9,7 @@ from fernwick.functions import text as X
 from fernwick.operators import classify as C
 from fernwick.operators import evaluate as E
 from fernwick.operators import features as J
+from fernwick.operators import models as M
 
 
 def test_unescape_sends_entities_alone_to_python(spark):
@@ -73,3 +74,11 @@ def test_csv_shards_grow_in_number(spark, tmp_path):
     out = QUERIES["read_csv_shards"](spark, str(tmp_path))
     assert len(out.inputFiles()) == 5
     assert out.filter(F.col("content") == 'a "quoted"\nline').count() == 40_000
+
+
+def test_word_vectors_train_in_more_tasks(spark, monkeypatch):
+    monkeypatch.setattr(M, "TRAIN_WORDS", 100)
+    df = spark.createDataFrame([(k, ["a", "b", "c"] if k else None) for k in range(401)], "id int, w array<string>").filter("id > 0")
+    model, rows = M.text_vectors(df, "w", size=4)
+    assert model.getNumPartitions() == 12 and rows.count() == 400
+    assert M.text_vectors(df.limit(9), "w", size=4)[0].getNumPartitions() == 8
