@@ -30,6 +30,8 @@ BLOCK = 4_096
 QUERY_BLOCK = 256
 # Norm classes per doubling, and the classes of one range: norms of a block differ by a factor of 1.09 at most.
 CLASSES, SPAN = 32, 4
+# Sorted arrays whose ranks are compared together.
+ARRAYS = 32
 # Ranges with fewer vectors are put together, whatever their norms; blocks below twice that are verified in full.
 FEW = 256
 
@@ -138,7 +140,9 @@ class SortedArrays:
         self.first = self.n * np.arange(count)
         self.rank = np.empty(values.shape, np.uint16 if self.n < 1 << 16 else np.uint32)
         np.put_along_axis(self.rank, order.astype(np.int64), np.arange(self.n, dtype=self.rank.dtype)[None], 1)
-        self.apart, self.inside = np.empty_like(self.rank), np.empty(values.shape, bool)
+        part = min(count, ARRAYS)
+        self.apart, self.inside = np.empty((part, self.n), self.rank.dtype), np.empty((part, self.n), bool)
+        self.count_kind = np.uint8 if count < 1 << 8 else np.uint16
 
     def collisions(self, q: np.ndarray, radius: float) -> np.ndarray:
         """In how many arrays each vector lies in the query's window: its rank is between the window's ends."""
@@ -146,18 +150,48 @@ class SortedArrays:
         q = np.clip(q, -self.reach / 2, self.reach / 2)
         low = np.searchsorted(self.line, q - edge + self.base, "left") - self.first
         high = np.searchsorted(self.line, q + edge + self.base, "right") - self.first
-        kind = self.rank.dtype
-        np.subtract(self.rank, low[:, None].astype(kind), out=self.apart)
-        np.less(self.apart, (high - low)[:, None].astype(kind), out=self.inside)
-        return self.inside.sum(0, dtype=np.uint16)
-
-    def window_search(self, q: np.ndarray, want: int, need: int, radius: float) -> tuple[np.ndarray, float]:
-        """Vectors with at least ``need`` collisions in the first window that has ``want`` of them, and its radius."""
-        while True:
-            hit = np.flatnonzero(self.collisions(q, radius) >= need)
-            if len(hit) >= want or radius >= self.reach:
-                return hit, radius
-            radius *= GROWTH
+        low, wide = low[:, None].astype(self.rank.dtype), (high - low)[:, None].astype(self.rank.dtype)
+        out = np.zeros(self.n, self.count_kind)
+        # A few arrays at a time stay in the processor's cache.
+        for i in range(0, len(low), len(self.apart)):
+            rank = self.rank[i:i + len(self.apart)]
+            apart, inside = self.apart[:len(rank)], self.inside[:len(rank)]
+            np.subtract(rank, low[i:i + len(rank)], out=apart)
+            np.less(apart, wide[i:i + len(rank)], out=inside)
+            out += np.add.reduce(inside.view(np.uint8), axis=0, dtype=self.count_kind)
+        return out
+
+    def window_search(self, q: np.ndarray, want: int, need: int, radius: float, guess: int = 0) -> tuple[np.ndarray, float]:
+        """Vectors with at least ``need`` collisions in the first window that has ``want`` of them, and its radius. Wider
+        windows hold more, so the search may begin ``guess`` steps later and go back."""
+        steps = [radius]
+
+        def tried(at: int) -> tuple[np.ndarray, bool]:
+            while len(steps) <= at:
+                steps.append(steps[-1] * GROWTH)
+            hit = np.flatnonzero(self.collisions(q, steps[at]) >= need)
+            return hit, len(hit) >= want or steps[at] >= self.reach
+
+        at = guess
+        hit, enough = tried(at)
+        while not enough:
+            at += 1
+            hit, enough = tried(at)
+        if at == guess:
+            while at:
+                less, enough = tried(at - 1)
+                if not enough:
+                    break
+                hit, at = less, at - 1
+        return hit, steps[at]
+
+
+def _best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the ``k`` largest scores, ties by id."""
+    if len(score) > 2 * k and np.isfinite(score).all():
+        near = np.flatnonzero(score >= np.partition(score, -k)[-k])
+        return near[np.lexsort((ids[near], -score[near]))[:k]]
+    return np.lexsort((ids, -score))[:k]
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, count: int = PROJECTIONS, share: float = 0.8,
@@ -199,10 +233,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, count: int = PR
                 if want == n:
                     hit = np.arange(n)
                 else:
-                    hit, radius = arrays.window_search(at[j], want, need, radius * GROWTH**-2)
+                    hit, radius = arrays.window_search(at[j], want, need, radius * GROWTH**-2, 2 if j else 0)
                 hit = hit[own[hit] != qown[j]]
                 score = data[hit] @ asked[j]
-                best = np.lexsort((ids[hit], -score))[:k]
+                best = _best(ids[hit], score, k)
                 for col, got in zip(out, (np.full(len(best), qown[j]), np.full(len(best), qids[j]), ids[hit][best], score[best])):
                     col.append(got)
             yield dict(zip(("_query", "query_id", "vec_id", "score"), map(np.concatenate, out)))

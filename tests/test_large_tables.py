@@ -3,9 +3,11 @@
 import html
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from fernwick.functions import text as X
+from fernwick.llm import collision_ann as A
 from fernwick.operators import classify as C
 from fernwick.operators import evaluate as E
 from fernwick.operators import features as J
@@ -82,3 +84,30 @@ def test_word_vectors_train_in_more_tasks(spark, monkeypatch):
     model, rows = M.text_vectors(df, "w", size=4)
     assert model.getNumPartitions() == 12 and rows.count() == 400
     assert M.text_vectors(df.limit(9), "w", size=4)[0].getNumPartitions() == 8
+
+
+def test_window_search_begins_near_the_last_radius():
+    rng = np.random.default_rng(5)
+    for count in (128, 300):
+        value = rng.standard_normal((count, 700)).round(2)
+        order = np.argsort(value, 1, kind="stable")
+        arrays = A.SortedArrays(np.take_along_axis(value, order, 1), order.astype("i4"))
+        q, seen = rng.standard_normal(count), []
+        for radius in (0.4, 1.0, 50.0):
+            want = ((value >= (q - radius)[:, None]) & (value <= (q + radius)[:, None])).sum(0)
+            assert arrays.collisions(q, radius).tolist() == want.tolist()
+        plain = arrays.collisions
+        arrays.collisions = lambda at, radius: seen.append(radius) or plain(at, radius)
+        for start in (0.1, 0.9, 30.0):
+            hit, radius = arrays.window_search(q, 140, round(0.8 * count), start)
+            near = radius / A.GROWTH**2
+            for guess in (0, 1, 2, 5):
+                seen.clear()
+                got, at = arrays.window_search(q, 140, round(0.8 * count), near, guess)
+                again = arrays.window_search(q, 140, round(0.8 * count), near)
+                assert got.tolist() == again[0].tolist() and at == again[1]
+            got, at = arrays.window_search(q, 140, round(0.8 * count), start, 3)
+            assert got.tolist() == hit.tolist() and at == radius
+    ids, score = rng.permutation(500), rng.integers(0, 60, 500) / 7
+    for k in (1, 20, 300, 600):
+        assert A._best(ids, score, k).tolist() == np.lexsort((ids, -score))[:k].tolist()
