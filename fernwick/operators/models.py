@@ -132,18 +132,25 @@ def adversarial_validation(train: DataFrame, valid: DataFrame, cols: Sequence[st
     return model, feature_importance(train.sparkSession, model, cols)
 
 
+# Values that one task ranks or puts together.
+RANK_ROWS = 1_000_000
+
+
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(a, b, rho)``: correlation of average ranks for each pair of columns, over the rows without a null.
 
     All columns are sorted together as (column, value, row), ranks are made in the sorted blocks, and rows are put
-    together again once, by their number.
+    together again once, by their number. Many rows are dealt to parts of about `RANK_ROWS`.
     """
     cols = list(cols)
     known = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna())
     # The checkpoint keeps the numbers as they are.
     long = known.withColumn("_row", F.monotonically_increasing_id()).select("_row", F.inline(F.array(*[
         F.struct(F.lit(i).alias("c"), F.col(c).alias("v")) for i, c in enumerate(cols)])))
-    ranks = average_ranks(long, ["c"], "v", "_row")
+    parts = -(-known.count() * len(cols) // RANK_ROWS)
+    many = parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranks = average_ranks(long, ["c"], "v", "_row", parts=parts if many else None)
+    ranks = ranks.repartition(parts, "_row") if many else ranks
     ranked = ranks.groupBy("_row").agg(*[F.max(F.when(F.col("c") == i, F.col("rank"))).alias(f"_r{i}") for i in range(len(cols))])
     pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols))]
     row = ranked.agg(*[F.corr(f"_r{i}", f"_r{j}").alias(f"_{i}_{j}") for i, j in pairs])

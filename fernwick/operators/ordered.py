@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,9 +24,10 @@ HOT_ROWS = 4_000_000
 _SLOT_MASK = (1 << 33) - 1
 
 
-def sorted_blocks(df: DataFrame, order: Sequence) -> DataFrame:
-    """``df`` in total order, with ``_block`` and ``_slot`` giving each row's place."""
-    stored = cut_lineage(df.orderBy(*order))
+def sorted_blocks(df: DataFrame, order: Sequence, parts: int | None = None) -> DataFrame:
+    """``df`` in total order, with ``_block`` and ``_slot`` giving each row's place; in ``parts`` blocks, else as many as
+    the session's shuffles have."""
+    stored = cut_lineage(df.orderBy(*order) if parts is None else df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
     return stored.withColumns(
         {
             "_block": F.spark_partition_id(),
@@ -75,15 +77,16 @@ def running_totals(
     ).drop("_block", "_slot", *[f"_c_{n}" for n in totals])
 
 
-def average_ranks(df: DataFrame, keys: Sequence[str], value: str, row: str, name: str = "rank") -> DataFrame:
-    """Add the average rank (from 1) of each row's ``value`` within its key; ``row`` tells rows apart.
+def average_ranks(df: DataFrame, keys: Sequence[str], value: str, row: str, name: str = "rank", parts: int | None = None) -> DataFrame:
+    """Add the average rank (from 1) of each row's ``value`` within its key; ``row`` tells rows apart. ``parts`` is the
+    number of blocks, as in `sorted_blocks`.
 
     Rows are range-sorted by key, value and row, so a heavy value is spread over several blocks, and equal values get
     their rank where they lie. Only values at the edge of a block can go on in another one: their places, two values
     a block and key at most, are summed up and sent to all blocks. No row is joined by its value.
     """
     keys = list(keys)
-    blocks = sorted_blocks(df.select(*keys, value, row), [*keys, value, row])
+    blocks = sorted_blocks(df.select(*keys, value, row), [*keys, value, row], parts)
     parts = blocks.groupBy("_block", *keys).agg(
         F.count("*").alias("_n"), F.min("_slot").alias("_first"), F.min(value).alias("_low"), F.max(value).alias("_high"))
     parts = cut_lineage(parts)
@@ -95,23 +98,39 @@ def average_ranks(df: DataFrame, keys: Sequence[str], value: str, row: str, name
     schema = T.StructType([*[f for f in placed.schema if f.name in (*keys, value, row)], T.StructField(name, T.DoubleType())])
     names = [f.name for f in schema]
 
+    same = [*keys, value]
+
     def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
+        # Of the last value, which may go on in the next batch: its rows' numbers, its first place and its columns.
+        held, first, mark = [], 0, None
         for pdf in batches:
-            pdf = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
             if not len(pdf):
                 continue
-            # The last value may go on in the next batch.
-            last = (pdf[[*keys, value]] == pdf[[*keys, value]].iloc[-1]).all(axis=1).to_numpy()
-            whole, kept = pdf[~last], pdf[last]
+            at, cols = pdf["_at"].to_numpy(), [pdf[c] for c in same]
+            begins = np.zeros(len(pdf), bool)
+            begins[0] = mark is None or any(c.iloc[0] != m for c, m in zip(cols, mark))
+            for c in cols:
+                begins[1:] |= c.to_numpy()[1:] != c.to_numpy()[:-1]
+            starts = np.flatnonzero(begins)
+            if not len(starts):
+                held.append(pdf[row])
+                continue
+            if starts[0]:
+                held.append(pdf[row].iloc[:starts[0]])
+            yield from _held(held, first, mark)
+            sizes = np.diff(starts)
+            whole = pdf.iloc[starts[0]:starts[-1]]
             if len(whole):
-                yield _ranked(whole)
-        if kept is not None and len(kept):
-            yield _ranked(kept)
-
-    def _ranked(pdf: pd.DataFrame) -> pd.DataFrame:
-        at = pdf.groupby([*keys, value], sort=False)["_at"]
-        return pdf.assign(**{name: (at.transform("min") + at.transform("max")) / 2 + 1})[names]
+                places = np.repeat((at[starts[:-1]] + at[starts[:-1]] + sizes - 1) / 2 + 1, sizes)
+                places[whole[same].isna().any(axis=1).to_numpy()] = np.nan
+                yield whole.assign(**{name: places})[names]
+            held, first, mark = [pdf[row].iloc[starts[-1]:]], at[starts[-1]], [c.iloc[starts[-1]] for c in cols]
+        yield from _held(held, first, mark)
+
+    def _held(held: list[pd.Series], first: int, mark: list | None) -> Iterator[pd.DataFrame]:
+        place = np.nan if mark is None or any(pd.isna(m) for m in mark) else (first + first + sum(map(len, held)) - 1) / 2 + 1
+        for part in held:
+            yield pd.DataFrame({**dict(zip(same, mark)), row: part, name: place}, index=part.index)[names]
 
     ranked = placed.select(*[n for n in names if n != name], "_at").mapInPandas(rank, schema)
     out = ranked.join(F.broadcast(wide), [*keys, value], "left")

@@ -4,6 +4,7 @@ import html
 import random
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from fernwick.functions import text as X
@@ -12,6 +13,7 @@ from fernwick.operators import classify as C
 from fernwick.operators import evaluate as E
 from fernwick.operators import features as J
 from fernwick.operators import models as M
+from fernwick.operators import ordered as O
 
 
 def test_unescape_sends_entities_alone_to_python(spark):
@@ -111,3 +113,26 @@ def test_window_search_begins_near_the_last_radius():
     ids, score = rng.permutation(500), rng.integers(0, 60, 500) / 7
     for k in (1, 20, 300, 600):
         assert A._best(ids, score, k).tolist() == np.lexsort((ids, -score))[:k].tolist()
+
+
+def test_ranks_are_made_in_parts_of_bounded_size(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(rng.choice([1.0, 1.0, 1.0, 2.0, 5.0, rng.random()]), rng.randrange(4), rng.random()) for _ in range(2_000)]
+    df = spark.createDataFrame(rows, "a double, b int, y double")
+    want = pd.DataFrame(rows, columns=["a", "b", "y"]).rank().corr()
+    seen, plain = [], O.sorted_blocks
+
+    def blocks(df, order, parts=None):
+        seen.append(plain(df, order, parts))
+        return seen[-1]
+
+    monkeypatch.setattr(O, "sorted_blocks", blocks)
+    monkeypatch.setattr(M, "RANK_ROWS", 300)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        for r in M.spearman_matrix(df, ["a", "b", "y"]).collect():
+            assert abs(r["rho"] - want.loc[r["a"], r["b"]]) < 2e-4
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sizes = [r["count"] for r in seen[0].groupBy("_block").count().collect()]
+    assert len(sizes) > 15 and max(sizes) < 1_000
