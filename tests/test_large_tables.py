@@ -136,3 +136,18 @@ def test_ranks_are_made_in_parts_of_bounded_size(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     sizes = [r["count"] for r in seen[0].groupBy("_block").count().collect()]
     assert len(sizes) > 15 and max(sizes) < 1_000
+
+
+def test_ratings_meet_each_table_once(spark):
+    rng = random.Random(9)
+    ratings = spark.createDataFrame([(k, rng.randrange(20), rng.randrange(15), rng.random()) for k in range(300)], "row_id long, u int, i int, r double")
+    model = M.CollabModel(ratings, "u", "i", "r", "row_id", factors=2, rounds=1)
+    plan = model._known(ratings.select("u", "i"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2
+    users, items = ({r[0]: (r[1], r[2]) for r in side.collect()} for side in (model.users, model.items))
+    first = sorted((min(r.row_id for r in ratings.collect() if r.u == u), u) for u in users)
+    assert [users[u][0] for _, u in first] == list(range(len(users)))
+    mean = ratings.agg(F.avg("r")).first()[0]
+    for r in model._known(ratings.select("u", "i")).collect():
+        assert abs(r["_base"] - mean - users[r.u][1] - items[r.i][1]) < 1e-9 and (r["_u"], r["_i"]) == (users[r.u][0], items[r.i][0])
+    assert model.predict(ratings.select("u", "i")).filter("prediction IS NOT NULL").count() == 300
