@@ -151,3 +151,12 @@ def test_ratings_meet_each_table_once(spark):
     for r in model._known(ratings.select("u", "i")).collect():
         assert abs(r["_base"] - mean - users[r.u][1] - items[r.i][1]) < 1e-9 and (r["_u"], r["_i"]) == (users[r.u][0], items[r.i][0])
     assert model.predict(ratings.select("u", "i")).filter("prediction IS NOT NULL").count() == 300
+
+
+def test_ablation_keeps_the_columns_of_its_fits_alone(spark, monkeypatch):
+    from fernwick.plans.catalog import QUERIES
+
+    seen = []
+    monkeypatch.setattr(M, "drop_column_ablation", lambda train, valid, cols, label, **_: seen.append((train.columns, valid.columns, [*cols, label])))
+    QUERIES["drop_column_ablation"](spark, "/root/testdata/sf0.001")
+    assert all(set(at) == set(seen[0][2]) for at in seen[0][:2])
