@@ -76,6 +76,10 @@ TOGETHER = {"cannot": 3, "gonna": 3, "gotta": 3, **{w: len(w) - 2 for w in (
     "aint arent cant couldnt didnt doesnt dont hadnt hasnt havent isnt mustnt shouldnt wasnt werent wont wouldnt").split()}}
 
 
+# Bytes of the shortest and the longest of them. Beyond ASCII only the Kelvin sign is lower-cased to ASCII, to a k; they have none.
+_TOGETHER_LENGTHS = (min(map(len, TOGETHER)), max(map(len, TOGETHER)))
+
+
 def token_pattern(whole: Sequence[str] = WHOLE) -> str:
     """The rules that find tokens, the first that fits at a place: whole marks and shortened words, links, mail addresses,
     numbers with separators, words (with dots before small letters and with apostrophes inside), runs of dots or
@@ -101,7 +105,7 @@ def rule_tokens(col: str | Column) -> Column:
         for rule in reversed(CLITICS):
             out = F.when(t.rlike(rule), F.array(F.regexp_extract(t, rule, 1), F.regexp_extract(t, rule, 2))).otherwise(out)
         # Few tokens are split; the others pass by one look.
-        likely = t.rlike("['’]") | F.lower(t).isin(*TOGETHER)
+        likely = t.contains("'") | t.contains("’") | (F.octet_length(t).between(*_TOGETHER_LENGTHS) & F.lower(t).isin(*TOGETHER))
         return F.when(likely, out).otherwise(F.array(t))
 
     return F.flatten(F.transform(found, split))
@@ -159,7 +163,8 @@ def mark_caps(col: str | Column) -> Column:
     runs = F.regexp_extract_all(_c(col), F.lit(f"([{WORD_CHARS}]+|[^{WORD_CHARS}]+)"), F.lit(1))
 
     def one(w: Column) -> Column:
-        upper = (w == F.upper(w)) & (w != F.lower(w)) & (F.length(w) > 2)
+        # The length is looked at first: most runs between words are a single space.
+        upper = (F.length(w) > 2) & (w == F.upper(w)) & (w != F.lower(w))
         return F.concat(F.when(upper, F.lit(f" {TOK_UP} ")).otherwise(F.lit("")), F.lower(w))
 
     return F.array_join(F.transform(runs, one), "")

@@ -160,3 +160,10 @@ def test_ablation_keeps_the_columns_of_its_fits_alone(spark, monkeypatch):
     monkeypatch.setattr(M, "drop_column_ablation", lambda train, valid, cols, label, **_: seen.append((train.columns, valid.columns, [*cols, label])))
     QUERIES["drop_column_ablation"](spark, "/root/testdata/sf0.001")
     assert all(set(at) == set(seen[0][2]) for at in seen[0][:2])
+
+
+def test_tokens_without_apostrophes_are_passed_by_without_a_pattern(spark):
+    df = spark.createDataFrame([("CANNOT cannots go\u212a gonna\u0130 don't don\u2019t aint A I'm",), (None,)], "t string")
+    out = df.select(X.rule_tokens("t").alias("t"))
+    assert out.first()[0] == ["CAN", "NOT", "cannots", "go\u212a", "gonna\u0130", "do", "n't", "do", "n\u2019t", "ai", "nt", "A", "I", "'m"]
+    assert "RLIKE ['" not in out._jdf.queryExecution().optimizedPlan().toString()
