@@ -30,8 +30,8 @@ BLOCK = 4_096
 QUERY_BLOCK = 256
 # Norm classes per doubling, and the classes of one range: norms of a block differ by a factor of 1.09 at most.
 CLASSES, SPAN = 32, 4
-# Sorted arrays whose ranks are compared together.
-ARRAYS = 32
+# Sorted arrays whose ranks are compared together: smaller pieces took longer.
+ARRAYS = 128
 # Ranges with fewer vectors are put together, whatever their norms; blocks below twice that are verified in full.
 FEW = 256
 
@@ -152,7 +152,6 @@ class SortedArrays:
         high = np.searchsorted(self.line, q + edge + self.base, "right") - self.first
         low, wide = low[:, None].astype(self.rank.dtype), (high - low)[:, None].astype(self.rank.dtype)
         out = np.zeros(self.n, self.count_kind)
-        # A few arrays at a time stay in the processor's cache.
         for i in range(0, len(low), len(self.apart)):
             rank = self.rank[i:i + len(self.apart)]
             apart, inside = self.apart[:len(rank)], self.inside[:len(rank)]
