@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fernwick.functions.arrays import windows
 from fernwick.operators.ordered import dictionary_join
 from fernwick.session import bounded_broadcast, cut_lineage, written
 
@@ -122,12 +127,49 @@ def interpolate_weights(weights: DataFrame, beta: float = 0.25, w: str = "w") ->
 
 # ---------------------------------------------------------------- next tokens
 
+# Tokens of the rows that are counted together: some 20 MB of numbers. A longer row is counted alone.
+COUNTED_TOKENS = 1 << 18
+
 
 def context_counts(df: DataFrame, tokens: str, width: int = 2) -> DataFrame:
-    """``(context, next, n)`` counts of each run of ``width`` tokens and the token after it."""
-    rows = df.select(F.inline(windows(F.col(tokens), width, 1))).select(
-        F.array_join("items", " ").alias("context"), F.col("next"))
-    return rows.groupBy("context", "next").agg(F.count("*").alias("n"))
+    """``(context, next, n)`` counts of each run of ``width`` tokens and the token after it. Null tokens are left out of a
+    context, but not of its length.
+
+    Rows of some `COUNTED_TOKENS` together are counted by the numbers of their tokens, so that strings are made once for
+    each run that differs from the others there; then the counts are added up.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < len(ends):
+                begin = ends[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(ends, begin + COUNTED_TOKENS, "right")))
+                flat, last = lists.slice(at, end - at).flatten(), ends[at:end] - begin
+                at = end
+                # The last ``width`` tokens of a row begin no run.
+                starts = np.flatnonzero(np.repeat(last, np.diff(last, prepend=0)) - np.arange(len(flat)) > width)
+                if not len(starts):
+                    continue
+                codes = flat.dictionary_encode(null_encoding="encode").indices.to_numpy().astype(np.int64)
+                kinds = span = int(codes.max()) + 1
+                key = codes[starts]
+                for k in range(1, width + 1):
+                    if span * kinds >= 1 << 63:  # runs so far are numbered anew
+                        key, span = np.unique(key, return_inverse=True)[1], len(starts)
+                    key, span = key * kinds + codes[starts + k], span * kinds
+                _, first, n = np.unique(key, return_index=True, return_counts=True)
+                *parts, after = [flat.take(pa.array(starts[first] + k)) for k in range(width + 1)]
+                # Arrow's join drops a row of nulls alone.
+                parts[0] = pc.if_else(reduce(pc.and_, map(pc.is_null, parts)), "", parts[0])
+                yield pa.RecordBatch.from_arrays(
+                    [pc.binary_join_element_wise(*parts, " ", null_handling="skip"), after, pa.array(n, pa.int64())], names=["context", "next", "n"])
+
+    kind = df.select(tokens).schema[0].dataType.elementType
+    rows = df.select(F.col(tokens).cast("array<string>")).mapInArrow(run, "context string, next string, n long")
+    return rows.groupBy("context", F.col("next").cast(kind).alias("next")).agg(F.sum("n").alias("n"))
 
 
 def next_tokens(counts: DataFrame, unk: str | None = None, k: int = 1) -> DataFrame:
