@@ -206,12 +206,19 @@ def perplexity(counts: DataFrame) -> DataFrame:
     """One row: exp of the mean cross entropy of the add-one smoothed next-token counts.
 
     The sum of ``-n log((n + 1) / (c + v))`` over all pairs is one over contexts of ``c log(c + v)`` less one
-    over pairs of ``n log(n + 1)``, so counts and context sizes are never joined. The counts are read twice, so
-    they are written to the reliable checkpoint first.
+    over pairs of ``n log(n + 1)``, so counts and context sizes are never joined. Each pair is read once and counts for its
+    context and for its next token; what is stored is how many contexts have each size ``c``, and how many next tokens
+    there are (``v``). ``T`` tokens have some ``sqrt(2 T)`` different sizes at most.
     """
-    counts = cut_lineage(counts)
-    vocab = counts.select("next").distinct().agg(F.count("*")).scalar()
-    sizes = counts.groupBy("context").agg(
-        F.sum("n").alias("_c"), F.sum(F.col("n") * F.log(F.col("n") + 1)).alias("_own"))
-    loss = F.sum(F.col("_c") * F.log(F.col("_c") + vocab) - F.col("_own")) / F.sum("_c")
-    return sizes.agg(F.exp(loss).alias("perplexity"))
+    n, none = F.col("n"), F.lit(0).cast(counts.schema["n"].dataType)
+
+    def end(key: str, first: bool, size: Column, own: Column) -> Column:
+        return F.struct(F.lit(first).alias("_first"), F.col(key).cast("string").alias("_key"), size.alias("_n"), own.alias("_own"))
+
+    ends = counts.select(F.inline(F.array(end("context", True, n, n * F.log(n + 1)), end("next", False, none, F.lit(0.0)))))
+    keys = ends.groupBy("_first", "_key").agg(F.sum("_n").alias("_c"), F.sum("_own").alias("_own"))
+    sizes = cut_lineage(keys.groupBy("_first", "_c").agg(F.count("*").alias("_keys"), F.sum("_own").alias("_own")))
+    vocab = sizes.filter(~F.col("_first")).agg(F.sum("_keys")).scalar()
+    whole = F.col("_c") * F.col("_keys")
+    loss = F.sum(whole * F.log(F.col("_c") + vocab) - F.col("_own")) / F.sum(whole)
+    return sizes.filter("_first").agg(F.exp(loss).alias("perplexity"))

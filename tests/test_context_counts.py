@@ -1,9 +1,11 @@
-"""Counts of runs of tokens, on rows of their own."""
+"""Counts of runs of tokens and the perplexity that they give, on rows of their own."""
 
+import math
 import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from fernwick.operators import classify as C
 
@@ -51,3 +53,23 @@ def test_runs_are_counted_on_batches(spark):
     df = spark.createDataFrame([(k, ["a", "b", "c"] * 100) for k in range(50)], "id int, w array<string>").coalesce(1)
     plan = C.context_counts(df, "w", 2)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and "Generate" not in plan
+
+
+def test_perplexity_stores_sizes_not_pairs(spark, monkeypatch):
+    r = random.Random(2)
+    pairs = [(f"c{k}", f"n{j}", r.randrange(1, 4)) for k in range(300) for j in range(k % 5 + 1)] + [(None, "n0", 2), ("c0", None, 1)]
+    stored = []
+    monkeypatch.setattr(C, "cut_lineage", lambda df: stored.append(df.checkpoint()) or stored[-1])
+    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    got = C.perplexity(spark.createDataFrame(pairs, "context string, next string, n long")).first()[0]
+    sizes, kinds = Counter(), len({p[1] for p in pairs})
+    for c, _, n in pairs:
+        sizes[c] += n
+    want = math.exp(sum(-math.log((n + 1) / (sizes[c] + kinds)) * n for c, _, n in pairs) / sum(sizes.values()))
+    assert abs(got - want) < 1e-9 * want
+    assert sum(df.count() for df in stored) <= len(set(sizes.values())) + 1
+
+
+def test_perplexity_of_nothing(spark):
+    assert C.perplexity(spark.createDataFrame([], "context string, next string, n long")).collect()[0][0] is None
+    assert C.context_counts(spark.createDataFrame([(None,), ([],)], "w array<string>"), "w").select(F.sum("n")).first()[0] is None
