@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +17,9 @@ from fernwick.operators.ordered import dictionary_join, global_position, running
 from fernwick import session
 from fernwick.session import cut_lineage
 
+# Tokens of the rows that are counted together: some 20 MB of numbers. A longer row is counted alone.
+COUNTED_TOKENS = 1 << 18
+
 # A list of kept terms up to this many rows (some tens of MB) is sent to every task.
 DICTIONARY_ROWS = 1_000_000
 DICTIONARY_BYTES = 128_000_000
@@ -168,7 +169,9 @@ def doc_term(df: DataFrame, tokens: str, id_col: str, ngram_range: tuple[int, in
         return low.select(id_col, F.explode(grams).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("n"))
     rows = cut_lineage(_row_terms(low, id_col, lo, hi))
     terms = rows.select(id_col, F.explode(F.arrays_zip("terms", "counts")).alias("t")).select(id_col, F.col("t.terms").alias("term"), F.col("t.counts").alias("n"))
-    totals = _without_rare(terms, id_col, max_features).groupBy("term").agg(F.sum("n").alias("_n"))
+    least = _least_count(terms, id_col, max_features)
+    # Of the totals, too, only those are stored that can be among the most frequent.
+    totals = _without_rare(terms, id_col, max_features, least=least).groupBy("term").agg(F.sum("n").alias("_n")).filter(F.col("_n") >= least)
     kept = cut_lineage(most_frequent(totals, max_features, "term", "_n").select("term"))
     # Sent to all tasks if their number, a parameter, and their bytes allow it.
     size = kept.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
@@ -181,39 +184,80 @@ def doc_term(df: DataFrame, tokens: str, id_col: str, ngram_range: tuple[int, in
 
 
 def _row_terms(low: DataFrame, id_col: str, lo: int, hi: int) -> DataFrame:
-    """Per row its distinct n-grams (``terms``) and how often each occurs (``counts``), counted on Arrow batches."""
+    """Per row its distinct n-grams (``terms``) and how often each occurs (``counts``).
+
+    Rows of some `COUNTED_TOKENS` together are counted by the numbers of their tokens, so that strings are made once for
+    each n-gram of a row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = []
-                for words in part.column(1).to_pylist():
-                    words = words or []
-                    found.append(Counter(chain.from_iterable(
-                        words if n == 1 else map(" ".join, zip(*(words[k:] for k in range(n)))) for n in range(lo, hi + 1))))
-                ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+            lists = batch.column(1)
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < len(ends):
+                begin = ends[at - 1] if at else 0
+                end = max(at + 1, int(np.searchsorted(ends, begin + COUNTED_TOKENS, "right")))
+                rows, terms, counts = _counted(lists.slice(at, end - at).flatten(), ends[at:end] - begin, lo, hi)
+                order = np.argsort(rows, kind="stable")
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=end - at))])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.ListArray.from_arrays(ends, pa.array(list(chain.from_iterable(found)), pa.string())),
-                     pa.ListArray.from_arrays(ends, pa.array([n for c in found for n in c.values()], pa.int64()))], names=[id_col, "terms", "counts"])
+                    [batch.column(0).slice(at, end - at), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), terms.take(pa.array(order))),
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(counts[order], pa.int64()))], names=[id_col, "terms", "counts"])
+                at = end
 
     kind = T.StructType([low.schema[id_col], T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("counts", T.ArrayType(T.LongType()))])
     return low.mapInArrow(run, kind)
 
 
-def _without_rare(terms: DataFrame, id_col: str, size: int, share: int = 16) -> DataFrame:
+def _counted(flat: pa.Array, ends: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Row number, n-gram and count of each different n-gram of rows whose tokens are ``flat``, up to ``ends``."""
+    words = flat.dictionary_encode(null_encoding="encode")
+    codes, kinds = words.indices.to_numpy().astype(np.int64), max(len(words.dictionary), 1)
+    sizes = np.diff(ends, prepend=0)
+    row, left = np.repeat(np.arange(len(ends)), sizes), np.repeat(ends, sizes) - np.arange(len(flat))
+    rows, terms, counts = [], [], []
+    for n in range(lo, hi + 1):
+        starts = np.flatnonzero(left >= n)
+        key, span = row[starts], len(ends)
+        for k in range(n):
+            if span * kinds >= 1 << 63:  # n-grams so far are numbered anew
+                key, span = np.unique(key, return_inverse=True)[1], len(starts) + 1
+            key, span = key * kinds + codes[starts + k], span * kinds
+        _, first, found = np.unique(key, return_index=True, return_counts=True)
+        parts = [flat.take(pa.array(starts[first] + k)) for k in range(n)]
+        terms.append(pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0])
+        rows.append(row[starts[first]]), counts.append(found)
+    rows, terms, counts = np.concatenate(rows), pa.concat_arrays(terms), np.concatenate(counts)
+    if lo < hi and pc.any(pc.match_substring(words.dictionary, " ")).as_py():
+        # Tokens with spaces in them: n-grams of different lengths may be the same text.
+        texts = terms.dictionary_encode(null_encoding="encode")
+        key = rows * len(texts.dictionary) + texts.indices.to_numpy()
+        _, first, place = np.unique(key, return_index=True, return_inverse=True)
+        rows, terms, counts = rows[first], terms.take(pa.array(first)), np.bincount(place, counts).astype(np.int64)
+    return rows, terms, counts
+
+
+def _least_count(terms: DataFrame, id_col: str, size: int, share: int = 16) -> int:
+    """A lower bound of the ``size``-th largest count of ``terms`` (``term``, ``n``): the one within a sixteenth of the ids."""
+    some = terms.filter(F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(share)) == 0)
+    cut = _cut(cut_lineage(some.groupBy("term").agg(F.sum("n").alias("n"))), size, "n")
+    if cut is None:
+        return 0
+    # The least count of a bin beyond the exact ones, with room for rounding.
+    return cut[0] if cut[0] < _EXACT else int(2 ** ((cut[0] - _EXACT - 1) / 64 + 12))
+
+
+def _without_rare(terms: DataFrame, id_col: str, size: int, share: int = 16, least: int | None = None) -> DataFrame:
     """``terms`` (``term``, ``n``) without most of those that cannot be among the ``size`` most frequent.
 
-    The ``size``-th largest count within a sixteenth of the ids is a lower bound of the one within all of them. Hashed
-    counters, each the sum of the terms that fall on it, are upper bounds of single terms. A term whose counter stays
-    below the lower bound goes before any term is shuffled; no kept term can.
+    The ``size``-th largest count is at least ``least``. Hashed counters, each the sum of the terms that fall on it, are
+    upper bounds of single terms. A term whose counter stays below the lower bound goes before any term is shuffled; no
+    kept term can.
     """
-    some = terms.filter(F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(share)) == 0)
-    cut = _cut(cut_lineage(some.groupBy("term").agg(F.sum("n").alias("n"))), size, "n")
-    if cut is None or cut[0] < 2:
+    least = _least_count(terms, id_col, size, share) if least is None else least
+    if least < 2:
         return terms
-    # The least count of a bin beyond the exact ones, with room for rounding.
-    least = cut[0] if cut[0] < _EXACT else int(2 ** ((cut[0] - _EXACT - 1) / 64 + 12))
     place = F.pmod(F.xxhash64("term"), F.lit(_SKETCH))
     heavy = terms.groupBy(place.alias("_place")).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("_place")
     return terms.withColumn("_place", place).join(F.broadcast(heavy), "_place", "left_semi").drop("_place")
