@@ -68,6 +68,29 @@ def test_probes_give_most_neighbours(spark):
     assert found.compared < 0.35 * found.pairs
 
 
+def test_probes_leave_out_cells_that_hold_nothing_nearer(spark):
+    table, queries = points(10, groups=30, each=60, dim=3, spread=0.01), points(10, groups=30, each=4, dim=3, spread=0.01)
+    df = spark.createDataFrame(table, "id string, vec array<double>")
+    ask = spark.createDataFrame(queries, "query_id string, query_vec array<double>")
+    found = C.search(C.build_index(df, "id", "vec", metric="euclidean", cells=30), ask, 5, probes=6)
+    assert rows(found.hits) == plain(table, queries, 5, "euclidean")
+    assert found.compared < 0.12 * found.pairs  # 6 of 30 cells are 0.2
+
+
+def test_blocks_are_left_out_by_single_queries(monkeypatch):
+    # Few queries, far from each other, in a cell of many rows.
+    rng = np.random.default_rng(11)
+    v, q = rng.random(size=(8000, 3)), rng.random(size=(64, 3))
+    made, whole = [], C._lengths
+    monkeypatch.setattr(C, "_lengths", lambda a, b: made.append(whole(a, b).size) or whole(a, b))
+    a, b, d = (np.concatenate(x) for x in zip(*C._near_blocks(q, np.full(64, np.inf), v, 5, "euclidean")))
+    assert sum(made) < 0.25 * len(q) * len(v)
+    want = V._distances(q, v, "euclidean")
+    for i in range(64):
+        mine = np.lexsort((b[a == i], d[a == i]))[:5]
+        assert b[a == i][mine].tolist() == np.lexsort((np.arange(8000), want[i]))[:5].tolist()
+
+
 def test_small_tables(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 2.0])], "id long, vec array<double>")
     ask = spark.createDataFrame([(9, [1.0, 1.0]), (8, None)], "query_id long, query_vec array<double>")
