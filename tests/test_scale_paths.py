@@ -174,6 +174,38 @@ def test_mean_shift_leaves_far_cells_out(spark):
     assert moved.pairs == 5 * 700**2 and moved.weighed < 0.3 * moved.pairs
 
 
+@pytest.mark.parametrize("dim", [1, 2])
+def test_mean_shift_of_many_points_in_a_plane(spark, monkeypatch, dim):
+    from fernwick.operators import shift as S
+
+    rng = np.random.default_rng(4)
+    m = np.concatenate([rng.uniform(0, 12, size=(300, dim)), np.full((150, dim), 3.25), rng.uniform(200, 203, size=(50, dim)), np.full((1, dim), -70.0)])
+    x = m.copy()
+    for _ in range(3):
+        w = np.exp(-0.5 * ((x[:, None] - x[None]) ** 2).sum(2) / 1.5**2)
+        x = w @ x / w.sum(1, keepdims=True)
+    monkeypatch.setattr(S, "GRID_ROWS", 100)
+    # No pair of points is weighed one by one.
+    monkeypatch.setattr(S, "fit_centres", None)
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(m)], "id long, vec array<double>").repartition(3)
+    moved = shift(table, "id", "vec", 1.5, 3)
+    assert np.allclose(np.stack([r["vec"] for r in sorted(moved.points.collect())]), x, rtol=0, atol=1e-11)
+    assert moved.pairs == 3 * len(m) ** 2 and 0.5 * moved.pairs < moved.weighed < 0.9 * moved.pairs
+
+
+def test_mean_shift_in_a_plane_goes_by_cells_where_a_grid_cannot(spark, monkeypatch):
+    from fernwick.operators import shift as S
+
+    m = np.random.default_rng(6).uniform(0, 60, size=(300, 2))
+    x = m.copy()
+    w = np.exp(-0.5 * ((x[:, None] - x[None]) ** 2).sum(2) / 1.5**2)
+    x = w @ x / w.sum(1, keepdims=True)
+    monkeypatch.setattr(S, "GRID_ROWS", 100)
+    monkeypatch.setattr(S, "GRID_NUMBERS", 1000)
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(m)], "id long, vec array<double>")
+    assert np.allclose(np.stack([r["vec"] for r in sorted(mean_shift(table, "id", "vec", 1.5, 1).collect())]), x, rtol=0, atol=1e-9)
+
+
 def test_farthest_first_with_string_ids(spark):
     rows = [("b", [0.0]), ("z", [5.0]), ("a", [1.0]), ("y", [-3.0]), ("c", [5.0]), ("d", [2.0])]
     df = spark.createDataFrame(rows, "name string, vec array<double>")
