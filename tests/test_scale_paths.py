@@ -206,6 +206,24 @@ def test_mean_shift_in_a_plane_goes_by_cells_where_a_grid_cannot(spark, monkeypa
     assert np.allclose(np.stack([r["vec"] for r in sorted(mean_shift(table, "id", "vec", 1.5, 1).collect())]), x, rtol=0, atol=1e-9)
 
 
+def test_mean_shift_of_points_that_lie_near_each_other(spark, monkeypatch):
+    from fernwick.operators import shift as S
+
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(400, 12))
+    x = m = x / np.sqrt((x * x).sum(1, keepdims=True)) + 3
+    for _ in range(4):
+        w = np.exp(-0.5 * ((x[:, None] - x[None]) ** 2).sum(2) / 6.0**2)
+        x = w @ x / w.sum(1, keepdims=True)
+    made, tiles = [], S._tiles
+    monkeypatch.setattr(S, "_tiles", lambda *a: made.append(1) or tiles(*a))
+    table = spark.createDataFrame([(f"p{k:03d}", v.tolist()) for k, v in enumerate(m)], "id string, vec array<double>").repartition(3)
+    moved = shift(table, "id", "vec", 6.0, 4, block_rows=64)
+    assert np.allclose(np.stack([r["vec"] for r in sorted(moved.points.collect())]), x, rtol=0, atol=1e-12)
+    assert moved.weighed == moved.pairs == 4 * 400**2
+    assert len(made) == 1  # later rounds need no pairs of points
+
+
 def test_farthest_first_with_string_ids(spark):
     rows = [("b", [0.0]), ("z", [5.0]), ("a", [1.0]), ("y", [-3.0]), ("c", [5.0]), ("d", [2.0])]
     df = spark.createDataFrame(rows, "name string, vec array<double>")
