@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 from fernwick.functions.text import characters, ngrams
 from fernwick.operators.ordered import dictionary_join, global_position, running_totals
 from fernwick import session
-from fernwick.session import cut_lineage
+from fernwick.session import cut_lineage, written
 
 # Tokens of the rows that are counted together: some 20 MB of numbers. A longer row is counted alone.
 COUNTED_TOKENS = 1 << 18
@@ -23,6 +24,10 @@ COUNTED_TOKENS = 1 << 18
 # A list of kept terms up to this many rows (some tens of MB) is sent to every task.
 DICTIONARY_ROWS = 1_000_000
 DICTIONARY_BYTES = 128_000_000
+# By how much the bound that a sixteenth of the rows gives is raised at first.
+GUESS = 4
+# Texts whose numbers are sent to every task (32 MB).
+HASHED_TERMS = 4_000_000
 
 # The four special tokens at ids 0 to 3.
 SPECIALS = ("_bos_", "_pad_", "_eos_", "_unk_")
@@ -167,12 +172,18 @@ def doc_term(df: DataFrame, tokens: str, id_col: str, ngram_range: tuple[int, in
     if max_features is None:
         grams = F.flatten(F.array(*[ngrams(F.col("_t"), n) for n in range(lo, hi + 1)])) if (lo, hi) != (1, 1) else F.col("_t")
         return low.select(id_col, F.explode(grams).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("n"))
-    rows = cut_lineage(_row_terms(low, id_col, lo, hi))
-    terms = rows.select(id_col, F.explode(F.arrays_zip("terms", "counts")).alias("t")).select(id_col, F.col("t.terms").alias("term"), F.col("t.counts").alias("n"))
-    least = _least_count(terms, id_col, max_features)
-    # Of the totals, too, only those are stored that can be among the most frequent.
-    totals = _without_rare(terms, id_col, max_features, least=least).groupBy("term").agg(F.sum("n").alias("_n")).filter(F.col("_n") >= least)
+    # Tokens are stored, n-grams are not: they take many times the space, and are counted anew for each length.
+    low = written(low, "tokens")
+    words, odd = low.agg(F.sum(F.greatest(F.size("_t"), F.lit(0)).cast("long")), F.max(F.exists(
+        "_t", lambda x: x.isNull() | x.contains(" ")))).first()
+    least = _least_count(_terms(_row_terms(low.filter(_some(id_col)), id_col, lo, hi), id_col), id_col, max_features)
+    # With a space in a token, n-grams of different lengths may be the same text, and are counted together.
+    levels = [(lo, hi)] if odd else [(n, n) for n in range(lo, hi + 1)]
+    totals = _totals(low, id_col, max_features, levels, GUESS * least, words or 0) if least > 1 else None
+    if totals is None:
+        totals = _totals(low, id_col, max_features, levels, least, words or 0, known=True)
     kept = cut_lineage(most_frequent(totals, max_features, "term", "_n").select("term"))
+    terms = _terms(_row_terms(low, id_col, lo, hi, kept=_hashes(kept)), id_col)
     # Sent to all tasks if their number, a parameter, and their bytes allow it.
     size = kept.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
     kept = F.broadcast(kept) if max_features <= DICTIONARY_ROWS and size <= DICTIONARY_BYTES else kept
@@ -183,8 +194,55 @@ def doc_term(df: DataFrame, tokens: str, id_col: str, ngram_range: tuple[int, in
     return out.groupBy(id_col, "term").agg(F.sum("n").alias("n"))
 
 
-def _row_terms(low: DataFrame, id_col: str, lo: int, hi: int) -> DataFrame:
-    """Per row its distinct n-grams (``terms``) and how often each occurs (``counts``).
+def _totals(low: DataFrame, id_col: str, size: int, levels: Sequence[tuple[int, int]], least: int, words: int, known: bool = False) -> DataFrame | None:
+    """``(term, _n)``: totals of n-grams, of the ``size`` most frequent at least. The ``size``-th largest is taken to be ``least`` at
+    least; null if that is not ``known`` and turns out to be wrong."""
+    made, both = None, None
+    for lo, hi in levels:
+        # An n-gram is no more frequent than the two shorter ones in it.
+        terms = _terms(_row_terms(low, id_col, lo, hi, None if made is None else _hashes(made)), id_col)
+        terms = _without_rare(terms, id_col, size, least=least) if words <= least * _SKETCH else terms
+        # Of the totals, too, only those are stored that can be among the most frequent.
+        made = written(terms.groupBy("term").agg(F.sum("n").alias("_n")).filter(F.col("_n") >= least), "totals")
+        both = made if both is None else both.unionByName(made)
+        cut = _cut(both, size, "_n")
+        least = max(least, _floor(cut[0])) if cut else least
+    return both.filter(F.col("_n") >= least) if known or cut else None
+
+
+def _terms(rows: DataFrame, id_col: str) -> DataFrame:
+    """`_row_terms` as rows of id, term and count."""
+    return rows.select(id_col, F.explode(F.arrays_zip("terms", "counts")).alias("t")).select(id_col, F.col("t.terms").alias("term"), F.col("t.counts").alias("n"))
+
+
+def _hashed(terms: pa.Array) -> np.ndarray:
+    """A number of each text; different texts seldom have the same."""
+    return hash_array(pc.fill_null(terms, "").to_numpy(zero_copy_only=False), categorize=False)
+
+
+def _hashes(terms: DataFrame) -> np.ndarray | None:
+    """The numbers of the texts in ``term``, in order; null if they are too many to be sent to all tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_hashed(batch.column(0)).view(np.int64))], names=["h"])
+
+    if terms.count() > HASHED_TERMS:
+        return None
+    return np.unique(terms.select("term").mapInArrow(run, "h long").toArrow()["h"].to_numpy().view(np.uint64))
+
+
+def _among(terms: pa.Array, hashes: np.ndarray) -> np.ndarray:
+    """Whether a text can be one of those whose numbers are ``hashes``."""
+    if not len(hashes):
+        return np.zeros(len(terms), bool)
+    own = _hashed(terms)
+    return hashes[np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)] == own
+
+
+def _row_terms(low: DataFrame, id_col: str, lo: int, hi: int, parts: np.ndarray | None = None, kept: np.ndarray | None = None) -> DataFrame:
+    """Per row its distinct n-grams (``terms``) and how often each occurs (``counts``); only those whose two shorter n-grams can
+    be among ``parts``, and that can be among ``kept``, where these are given (`_hashes`).
 
     Rows of some `COUNTED_TOKENS` together are counted by the numbers of their tokens, so that strings are made once for
     each n-gram of a row.
@@ -198,7 +256,10 @@ def _row_terms(low: DataFrame, id_col: str, lo: int, hi: int) -> DataFrame:
             while at < len(ends):
                 begin = ends[at - 1] if at else 0
                 end = max(at + 1, int(np.searchsorted(ends, begin + COUNTED_TOKENS, "right")))
-                rows, terms, counts = _counted(lists.slice(at, end - at).flatten(), ends[at:end] - begin, lo, hi)
+                rows, terms, counts = _counted(lists.slice(at, end - at).flatten(), ends[at:end] - begin, lo, hi, parts)
+                if kept is not None:
+                    here = _among(terms, kept)
+                    rows, terms, counts = rows[here], terms.filter(pa.array(here)), counts[here]
                 order = np.argsort(rows, kind="stable")
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=end - at))])
                 yield pa.RecordBatch.from_arrays(
@@ -210,23 +271,36 @@ def _row_terms(low: DataFrame, id_col: str, lo: int, hi: int) -> DataFrame:
     return low.mapInArrow(run, kind)
 
 
-def _counted(flat: pa.Array, ends: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+def _counted(flat: pa.Array, ends: np.ndarray, lo: int, hi: int, parts: np.ndarray | None = None) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Row number, n-gram and count of each different n-gram of rows whose tokens are ``flat``, up to ``ends``."""
     words = flat.dictionary_encode(null_encoding="encode")
     codes, kinds = words.indices.to_numpy().astype(np.int64), max(len(words.dictionary), 1)
     sizes = np.diff(ends, prepend=0)
     row, left = np.repeat(np.arange(len(ends)), sizes), np.repeat(ends, sizes) - np.arange(len(flat))
     rows, terms, counts = [], [], []
-    for n in range(lo, hi + 1):
-        starts = np.flatnonzero(left >= n)
-        key, span = row[starts], len(ends)
+
+    def keys(key: np.ndarray, span: int, starts: np.ndarray, n: int) -> np.ndarray:
+        """Numbers that tell n-grams with different ``key`` or tokens apart."""
         for k in range(n):
             if span * kinds >= 1 << 63:  # n-grams so far are numbered anew
                 key, span = np.unique(key, return_inverse=True)[1], len(starts) + 1
             key, span = key * kinds + codes[starts + k], span * kinds
-        _, first, found = np.unique(key, return_index=True, return_counts=True)
-        parts = [flat.take(pa.array(starts[first] + k)) for k in range(n)]
-        terms.append(pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0])
+        return key
+
+    def texts_at(starts: np.ndarray, n: int) -> pa.Array:
+        joined = [flat.take(pa.array(starts + k)) for k in range(n)]
+        return pc.binary_join_element_wise(*joined, " ") if n > 1 else joined[0]
+
+    for n in range(lo, hi + 1):
+        starts = np.flatnonzero(left >= n)
+        if parts is not None and n > 1:
+            short = np.flatnonzero(left >= n - 1)
+            _, first, place = np.unique(keys(np.zeros(len(short), np.int64), 1, short, n - 1), return_index=True, return_inverse=True)
+            known = np.zeros(len(flat) + 1, bool)
+            known[short] = _among(texts_at(short[first], n - 1), parts)[place]
+            starts = starts[known[starts] & known[starts + 1]]
+        _, first, found = np.unique(keys(row[starts], len(ends), starts, n), return_index=True, return_counts=True)
+        terms.append(texts_at(starts[first], n))
         rows.append(row[starts[first]]), counts.append(found)
     rows, terms, counts = np.concatenate(rows), pa.concat_arrays(terms), np.concatenate(counts)
     if lo < hi and pc.any(pc.match_substring(words.dictionary, " ")).as_py():
@@ -238,14 +312,23 @@ def _counted(flat: pa.Array, ends: np.ndarray, lo: int, hi: int) -> tuple[np.nda
     return rows, terms, counts
 
 
+def _some(id_col: str, share: int = 16):
+    """Whether a row is in the sixteenth of the ids that bounds are taken from."""
+    return F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(share)) == 0
+
+
 def _least_count(terms: DataFrame, id_col: str, size: int, share: int = 16) -> int:
     """A lower bound of the ``size``-th largest count of ``terms`` (``term``, ``n``): the one within a sixteenth of the ids."""
-    some = terms.filter(F.pmod(F.xxhash64(id_col, F.lit("sample")), F.lit(share)) == 0)
+    some = terms.filter(_some(id_col, share))
     cut = _cut(cut_lineage(some.groupBy("term").agg(F.sum("n").alias("n"))), size, "n")
     if cut is None:
         return 0
-    # The least count of a bin beyond the exact ones, with room for rounding.
-    return cut[0] if cut[0] < _EXACT else int(2 ** ((cut[0] - _EXACT - 1) / 64 + 12))
+    return _floor(cut[0])
+
+
+def _floor(b: int) -> int:
+    """The least count of a bin; beyond the exact ones, with room for rounding."""
+    return b if b < _EXACT else int(2 ** ((b - _EXACT - 1) / 64 + 12))
 
 
 def _without_rare(terms: DataFrame, id_col: str, size: int, share: int = 16, least: int | None = None) -> DataFrame:

@@ -53,3 +53,47 @@ def test_totals_below_the_bound_are_not_stored(spark, monkeypatch):
     totals = Counter(t for _, w in rows for n in (1, 2) for t in (" ".join(w[k:k + n]) for k in range(len(w) - n + 1)))
     assert {tuple(r) for r in got} == set(sorted(totals.items(), key=lambda x: (-x[1], x[0]))[:3])
     assert stored[0] < 10
+
+
+def test_ngrams_are_counted_that_are_made_of_frequent_ones(spark, monkeypatch):
+    # Two words in three are rare: no n-gram that has one of them is shuffled, and no n-gram is stored for a row.
+    rows = [(k, [w for j in range(6) for w in ("a", "b", "c", f"rare{k}-{j}", f"other{k}-{j}")]) for k in range(300)]
+    df = spark.createDataFrame(rows, "id long, w array<string>")
+    made, real = [], V._terms
+    monkeypatch.setattr(V, "_terms", lambda *a: made.append(real(*a)) or made[-1])
+    got = {(x.id, x.term): x.n for x in V.doc_term(df, "w", "id", (1, 3), 6).collect()}
+    totals = Counter(t for _, w in rows for n in (1, 2, 3) for t in (" ".join(w[k:k + n]) for k in range(len(w) - n + 1)))
+    top = dict(sorted(totals.items(), key=lambda x: (-x[1], x[0]))[:6])
+    assert set(top) == {"a", "b", "c", "a b", "b c", "a b c"}
+    assert got == {(i, t): n for (i, t), n in _plain(rows, 1, 3).items() if t in top}
+    assert [m.count() for m in made[2:4]] == [600, 300]
+
+
+def test_a_bound_that_was_guessed_too_high_is_taken_back(spark, monkeypatch):
+    rows = [(k, [f"w{k % 5}", f"v{k % 7}", "a"]) for k in range(400)]
+    df = spark.createDataFrame(rows, "id long, w array<string>")
+    asked, real = [], V._totals
+    monkeypatch.setattr(V, "GUESS", 1000)
+    monkeypatch.setattr(V, "_totals", lambda *a, **k: asked.append(real(*a, **k)) or asked[-1])
+    got = V.doc_term(df, "w", "id", (1, 2), 9).groupBy("term").agg({"n": "sum"}).collect()
+    totals = Counter(t for _, w in rows for n in (1, 2) for t in (" ".join(w[k:k + n]) for k in range(len(w) - n + 1)))
+    assert {tuple(r) for r in got} == set(sorted(totals.items(), key=lambda x: (-x[1], x[0]))[:9])
+    assert len(asked) == 2 and asked[0] is None
+
+
+@pytest.mark.parametrize("words", [["a", "b", None], ["a", "a b", "b", "x"]])
+def test_most_frequent_of_texts_that_several_lengths_make(spark, words):
+    r = random.Random(3)
+    rows = [(k, [r.choice(words) for _ in range(9)]) for k in range(200)]
+    df = spark.createDataFrame(rows, "id long, w array<string>")
+    got = {(x.id, x.term): x.n for x in V.doc_term(df, "w", "id", (1, 3), 3).collect()}
+    plain = Counter()
+    for i, w in rows:
+        for n in (1, 2, 3):
+            for k in range(len(w) - n + 1):
+                plain[i, None if None in w[k:k + n] else " ".join(w[k:k + n])] += 1
+    totals = Counter()
+    for (_, t), n in plain.items():
+        totals[t] += n
+    top = [t for t, _ in sorted(totals.items(), key=lambda x: (-x[1], x[0] or ""))[:3]]
+    assert got == {(i, t): n for (i, t), n in plain.items() if t in top and t is not None}
