@@ -337,3 +337,22 @@ def test_points_of_a_mean_shift_travel_once_per_tile(spark, monkeypatch, dim, wi
     for pieces, met, count in sent:
         cells = int((met.sum(1) * count).sum())  # what a shuffle by cell would send
         assert sum(count[c] / n * len(lefts) for c, n, _, _, lefts, _ in pieces) < 0.5 * cells
+
+
+def test_ratings_of_a_fit_are_dealt_to_more_blocks_when_there_are_many(spark, monkeypatch):
+    from fernwick.operators import models as M
+
+    r = random.Random(5)
+    rows = [(u, i, float((u * 3 + i * 5) % 7 + r.random()), u * 40 + i) for u in range(30) for i in range(40) if r.random() < 0.5]
+    df = spark.createDataFrame(rows, "u long, i long, rating double, row long").repartition(3)
+    seen, real = [], M.ALS
+    monkeypatch.setattr(M, "ALS", lambda **k: seen.append(k) or real(**k))
+    few = M.CollabModel(df, "u", "i", "rating", "row", factors=8, rounds=6, reg=0.01).predict(df).collect()
+    monkeypatch.setattr(M, "BLOCK_RATINGS", 25)
+    many = M.CollabModel(df, "u", "i", "rating", "row", factors=8, rounds=6, reg=0.01).predict(df).collect()
+    blocks = -(-len(rows) // 25)
+    assert [k["numUserBlocks"] for k in seen] == [k["numItemBlocks"] for k in seen] == [10, blocks]
+    assert "finalStorageLevel" not in seen[0] and seen[1]["finalStorageLevel"] == "DISK_ONLY"
+    for out in (few, many):
+        assert len(out) == len(rows)
+        assert np.sqrt(np.mean([(x.prediction - x.rating) ** 2 for x in out])) < 0.5 * np.std([x[2] for x in rows])
